@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,9 +50,24 @@ def ddl(dtype: T.DataType) -> str:
     return dtype.simpleString().upper()
 
 
+# Where Spark keeps a table column's declared CHAR/VARCHAR length and its DEFAULT expression.
+_LENGTH = "__CHAR_VARCHAR_TYPE_STRING"
+_DEFAULT = "CURRENT_DEFAULT"
+
+
+def has_length(field: T.StructField) -> bool:
+    return _LENGTH in (field.metadata or {})
+
+
 def target_ddl(schema: T.StructType) -> str:
     """The column list of a ``CREATE TABLE`` statement."""
-    return ", ".join(f"{quote(f.name)} {ddl(f.dataType)}" for f in schema.fields)
+    return ", ".join(f"{quote(f.name)} {(f.metadata or {}).get(_LENGTH) or ddl(f.dataType)}" for f in schema.fields)
+
+
+def omitted(field: T.StructField) -> Column:
+    """What a target column holds in a row that does not carry it: its DEFAULT, or NULL."""
+    default = (field.metadata or {}).get(_DEFAULT)
+    return (F.expr(default) if default else F.lit(None)).cast(field.dataType).alias(field.name)
 
 
 def map_leaves(dtype: T.DataType, leaf: Callable[[T.DataType], T.DataType]) -> T.DataType:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.errors import SyncError
+from tablesync.functions.types import omitted
 from tablesync.sources.names import quote
 
 
@@ -77,7 +78,7 @@ def merge_frame(target: DataFrame, source: DataFrame, keys: Sequence[str], small
     """The target after the upsert. The source must hold one row per key (see ``dedup_last``).
 
     Every target row that matches is updated, duplicates too; target columns the source does not carry
-    keep their value, and are NULL on insert. Not a full outer join: adaptive execution can split a
+    keep their value, and are NULL (or their DEFAULT) on insert. Not a full outer join: adaptive execution can split a
     hot key only on the preserved side of a left join, and the target is where keys repeat. Inserts
     are an anti join against the target's distinct keys, which each map task reduces before its shuffle.
 
@@ -106,9 +107,8 @@ def merge_frame(target: DataFrame, source: DataFrame, keys: Sequence[str], small
     if small_source:
         # No more distinct keys than the source has rows, hence under the same size check.
         seen = seen.join(F.broadcast(keyed.select(_names(keys))), _names(keys), "left_semi")
-    types = {f.name: f.dataType for f in target.schema.fields}
     inserts = keyed.join(hint(seen.distinct()), _names(keys), "left_anti").select(
-        [(F.col(quote(c)) if c in written else F.lit(None).cast(types[c])).alias(c) for c in target.columns]
+        [F.col(quote(f.name)) if f.name in written else omitted(f) for f in target.schema.fields]
     )
     return updates.unionByName(inserts)
 

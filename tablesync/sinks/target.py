@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.errors import SyncError
-from tablesync.functions.types import target_ddl
+from tablesync.functions.types import omitted, target_ddl
 from tablesync.sinks import files
 from tablesync.sources.names import EntityName, quote
 
@@ -100,11 +100,11 @@ def clean_versions(spark: SparkSession, target: Target) -> list[str]:
 
 
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The frame's columns under the schema's names and order, NULL where it has none; types unchanged."""
+    """The frame's columns under the schema's names and order; types unchanged, absent ones filled."""
     have = {c.lower(): c for c in df.columns}
     return df.select(
         [
-            (F.col(quote(have[f.name.lower()])) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            F.col(quote(have[f.name.lower()])).alias(f.name) if f.name.lower() in have else omitted(f)
             for f in schema.fields
         ]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.errors import SyncError
-from tablesync.functions.types import is_nested, normalize_for_write, target_ddl, write_schema
+from tablesync.functions.types import has_length, is_nested, normalize_for_write, target_ddl, write_schema
 from tablesync.operators.dedup import SEQUENCE, dedup_last
 from tablesync.operators.merge import merge_frame, merge_into, missing_names
 from tablesync.session import scratch_dir
@@ -85,7 +85,7 @@ def _land(df: DataFrame, schema: T.StructType, path: str, max_records: int | Non
         measures.append(F.sum(size).alias("bytes"))
     seen = Observation()
     observed = frame.observe(seen, *measures)
-    if frame.schema.simpleString() == schema.simpleString():
+    if frame.schema.simpleString() == schema.simpleString() and not any(map(has_length, schema.fields)):
         options = {"maxRecordsPerFile": max_records} if max_records else {}
         observed.write.options(**options).parquet(path)
     else:
@@ -183,12 +183,14 @@ class StagedWrite:
         """Run the write; returns one row: ``rows`` submitted, before any de-duplication, and ``files`` staged."""
         self._leave("committed")
         target = find_target(self.spark, self.name, self.location)
-        if target.exists and self.mode != "replace":
-            lacking = missing_names(self.schema.names, self.spark.table(self.name.quoted).columns)
-            if lacking:
-                raise SyncError(f"{self.output}: {self.name} has no column {', '.join(map(repr, lacking))}")
         if not target.exists and self.mode != "replace":
             target = _create(self.spark, target, self.schema, self.tag)
+        # Resolved once: on a file target this lists every data file.
+        self.current = self.spark.table(self.name.quoted) if target.exists else None
+        if self.mode != "replace":
+            lacking = missing_names(self.schema.names, self.current.columns)
+            if lacking:
+                raise SyncError(f"{self.output}: {self.name} has no column {', '.join(map(repr, lacking))}")
         land = getattr(self, f"_{self.mode}_{target.kind}")
         rows, count = land(target)
         return self.spark.createDataFrame([(rows, count)], "rows BIGINT, files BIGINT")
@@ -201,7 +203,7 @@ class StagedWrite:
         stage = target.stage_dir(self.tag)
         files.remove(self.spark, stage)  # left by a writer that died
         try:
-            rows, _ = _land(self.frame, self.spark.table(self.name.quoted).schema, stage, self.max_records)
+            rows, _ = _land(self.frame, self.current.schema, stage, self.max_records)
             count = files.data_files(self.spark, stage)
             files.rename(self.spark, stage, target.batch_dir(self.tag))
         finally:
@@ -216,44 +218,43 @@ class StagedWrite:
             count = files.data_files(self.spark, f"{path}/{self.tag}")
             publish(self.spark, target, schema, version)
         except BaseException:
-            files.remove(self.spark, path)
+            if find_target(self.spark, self.name, self.location).version != version:
+                files.remove(self.spark, path)
             raise
         return rows, count
 
     def _replace_published(self, target: Target) -> tuple[int, int]:
         return self._new_version(target, self.frame, self.schema)
 
-    def _staged_source(self, stage: str, schema: T.StructType) -> tuple[DataFrame, int, int, bool]:
-        """Stage the raw rows, then read them back de-duplicated.
+    def _staged_source(self, stage: str) -> tuple[DataFrame, list[str], int, int, bool]:
+        """Stage the raw rows, then read them back de-duplicated: source, keys, rows, files, is it small.
 
         Staging computes the source once although the merge reads it twice, freezes it against a
         changed answer on retry, casts it to the target's types, and gives its size.
         """
-        have = {f.name.lower(): f for f in schema.fields}
+        have = {f.name.lower(): f for f in self.current.schema.fields}
         fields = [have.get(f.name.lower(), f) for f in self.frame.schema.fields]
-        staged_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
+        staged_schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields])
         rows, size = _land(self.frame, staged_schema, stage, self.max_records)
         spelled = {f.name.lower(): f.name for f in fields}
         keys = [spelled[k.lower()] for k in self.keys]
         order = [spelled[c.lower()] for c in self.order_by]
         last = dedup_last(self.spark.read.schema(staged_schema).parquet(stage), keys, order)
         source = last.select([F.col(quote(spelled[c.lower()])) for c in self.schema.names])
-        return source, rows, files.data_files(self.spark, stage), size is not None and size <= self.broadcast_bytes
+        small = size is not None and size <= self.broadcast_bytes
+        return source, keys, rows, files.data_files(self.spark, stage), small
 
-    def _merged(self, stage: str) -> tuple[DataFrame, T.StructType, int, int]:
-        current = self.spark.table(self.name.quoted)
-        source, rows, count, small = self._staged_source(stage, current.schema)
-        spelled = {c.lower(): c for c in source.columns}
-        keys = [spelled[k.lower()] for k in self.keys]
-        return merge_frame(current, source, keys, small_source=small), current.schema, rows, count
+    def _merged(self, stage: str) -> tuple[DataFrame, int, int]:
+        source, keys, rows, count, small = self._staged_source(stage)
+        return merge_frame(self.current, source, keys, small_source=small), rows, count
 
     def _merge_published(self, target: Target) -> tuple[int, int]:
         stage = target.stage_dir(self.tag)
         files.remove(self.spark, stage)
         try:
-            merged, schema, rows, count = self._merged(stage)
+            merged, rows, count = self._merged(stage)
             if rows:
-                self._new_version(target, merged, schema)
+                self._new_version(target, merged, self.current.schema)
         finally:
             files.remove(self.spark, stage)
         return rows, count
@@ -267,8 +268,7 @@ class StagedWrite:
     # -- file tables of the session catalog -------------------------------------------------------
 
     def _append_table(self, target: Target) -> tuple[int, None]:
-        into = self.spark.table(self.name.quoted).schema
-        return self._counted(lambda frame: aligned(frame, into).write.insertInto(self.name.quoted))
+        return self._counted(lambda frame: aligned(frame, self.current.schema).write.insertInto(self.name.quoted))
 
     def _swap_location(self, target: Target, frame: DataFrame, schema: T.StructType) -> tuple[int, int]:
         if target.provider != "parquet" or target.partitioned:
@@ -279,13 +279,14 @@ class StagedWrite:
             count = files.data_files(self.spark, path)
             self.spark.sql(f"ALTER TABLE {self.name.quoted} SET LOCATION '{path}'")
         except BaseException:
-            files.remove(self.spark, path)
+            if find_target(self.spark, self.name).location == target.location:
+                files.remove(self.spark, path)
             raise
         self.spark.catalog.refreshTable(self.name.quoted)
         return rows, count
 
     def _replace_table(self, target: Target) -> tuple[int, int]:
-        into = self.spark.table(self.name.quoted).schema
+        into = self.current.schema
         if into.simpleString() != self.schema.simpleString():
             raise SyncError(
                 f"{self.output}: {self.name} is a file table, whose schema and data cannot change in one step; "
@@ -296,9 +297,9 @@ class StagedWrite:
     def _merge_table(self, target: Target) -> tuple[int, int]:
         stage = scratch_dir(self.spark, "stage")
         try:
-            merged, schema, rows, count = self._merged(stage)
+            merged, rows, count = self._merged(stage)
             if rows:
-                self._swap_location(target, merged, schema)
+                self._swap_location(target, merged, self.current.schema)
         finally:
             files.remove(self.spark, stage)
         return rows, count
@@ -314,9 +315,8 @@ class StagedWrite:
     def _merge_v2(self, target: Target) -> tuple[int, int]:
         stage = scratch_dir(self.spark, "stage")
         try:
-            source, rows, count, _ = self._staged_source(stage, self.spark.table(self.name.quoted).schema)
-            spelled = {c.lower(): c for c in source.columns}
-            merge_into(self.spark, self.name.quoted, source, [spelled[k.lower()] for k in self.keys])
+            source, keys, rows, count, _ = self._staged_source(stage)
+            merge_into(self.spark, self.name.quoted, source, keys)
         finally:
             files.remove(self.spark, stage)
         return rows, count
