@@ -1,9 +1,12 @@
 import os
+import sys
 import tempfile
 
 import pytest
 
-from tablesync.session import build_session
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+
+from tablesync.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +18,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": f"{root}/checkpoint",
             "spark.sql.warehouse.dir": f"{root}/warehouse",
         },

@@ -1,0 +1,328 @@
+import datetime
+import os
+import uuid
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablesync.errors import SyncError
+from tablesync.operators.dedup import SEQUENCE, with_sequence
+from tablesync.sinks import files
+from tablesync.sinks import write as sinks
+from tablesync.sinks.target import clean_versions, find_target
+from tablesync.sinks.write import StagedWrite, append, ensure_target, merge, replace, write
+from tablesync.sources.read import current_name, read_table
+
+
+@pytest.fixture
+def name(spark):
+    name = f"t_{uuid.uuid4().hex[:12]}"
+    yield name
+    kind = find_target(spark, current_name(spark, name)).kind
+    spark.sql(f"DROP {'TABLE' if kind == 'table' else 'VIEW'} IF EXISTS {name}")
+
+
+def frame(spark, *rows, ddl="id BIGINT, name STRING"):
+    return spark.createDataFrame(list(rows), ddl)
+
+
+def rows(spark, name):
+    return sorted((tuple(r) for r in read_table(spark, name).collect()), key=str)
+
+
+def leftovers(spark, name):
+    location = find_target(spark, current_name(spark, name)).location
+    return files.children(spark, f"{location}/_stage")
+
+
+def test_append_creates_then_adds_and_keeps_duplicates(spark, name):
+    result = append(frame(spark, (1, "a"), (2, "b")), name)
+    assert result.columns == ["rows", "files"] and result.first()["rows"] == 2
+    append(frame(spark, (2, "b")), name)
+    assert rows(spark, name) == [(1, "a"), (2, "b"), (2, "b")]
+    assert leftovers(spark, name) == []
+
+
+def test_append_by_name_without_case_fills_the_rest_with_null(spark, name):
+    append(frame(spark, (1, "a", "x"), ddl="id BIGINT, name STRING, extra STRING"), name)
+    append(frame(spark, ("b", 2), ddl="NAME STRING, Id BIGINT"), name)
+    assert rows(spark, name) == [(1, "a", "x"), (2, "b", None)]
+
+
+@pytest.mark.parametrize("mode", ["append", "merge"])
+def test_a_column_the_target_lacks_is_refused(spark, name, mode):
+    append(frame(spark, (7,), ddl="id BIGINT"), name)
+    with pytest.raises(SyncError, match="no column 'name', 'more'"):
+        write(frame(spark, (1, "a", 2), ddl="id BIGINT, name STRING, more INT"), name, mode, keys=["id"], order_by=["id"])
+    assert rows(spark, name) == [(7,)]
+
+
+def test_replace_then_merge(spark, name):
+    replace(frame(spark, (1, "a"), (2, "b")), name)
+    replace(frame(spark, (3, "c")), name)
+    merge(frame(spark, (3, "changed"), (4, "d")), name, ["id"], ["name"])
+    assert rows(spark, name) == [(3, "changed"), (4, "d")]
+
+
+def test_merge_into_a_missing_target_keeps_the_last_row(spark, name):
+    result = merge(frame(spark, (1, "a", 1), (1, "b", 2), ddl="id BIGINT, name STRING, at INT"), name, ["id"], ["at"], columns=["id", "name"])
+    assert result.first()["rows"] == 2
+    assert rows(spark, name) == [(1, "b")]
+
+
+def test_merge_is_idempotent(spark, name):
+    append(frame(spark, (1, "a"), (None, "n")), name)
+    for _ in range(2):
+        merge(frame(spark, (1, "b"), (None, "m"), (5, "e")), name, ["id"], ["name"])
+        assert rows(spark, name) == [(1, "b"), (5, "e"), (None, "m")]
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20], ids=["shuffled", "broadcast"])
+def test_merge_without_a_broadcast_gives_the_same(spark, name, limit):
+    append(spark.range(1000).select("id", F.lit("old").alias("name")), name)
+    source = spark.range(500, 1500).select("id", F.lit("new").alias("name"))
+    merge(source.unionByName(source), name, ["id"], ["id"], broadcast_bytes=limit)
+    counts = {r["name"]: r["count"] for r in read_table(spark, name).groupBy("name").count().collect()}
+    assert counts == {"old": 500, "new": 1000}
+
+
+def test_replace_takes_the_new_schema(spark, name):
+    append(frame(spark, (1, "x"), ddl="id BIGINT, gone STRING"), name)
+    replace(frame(spark, (1, "a")), name)
+    assert read_table(spark, name).columns == ["id", "name"]
+
+
+def test_replace_may_read_what_it_replaces(spark, name):
+    append(frame(spark, (1, "a"), (2, "b")), name)
+    replace(read_table(spark, name).where("id = 2"), name)
+    assert rows(spark, name) == [(2, "b")]
+
+
+def test_empty_writes(spark, name):
+    empty = frame(spark)
+    append(empty, name)
+    assert read_table(spark, name).dtypes == [("id", "bigint"), ("name", "string")] and rows(spark, name) == []
+    append(frame(spark, (1, "a")), name)
+    append(empty, name)
+    assert merge(empty, name, ["id"], ["id"]).first()["rows"] == 0
+    assert rows(spark, name) == [(1, "a")]
+    replace(empty, name)
+    assert read_table(spark, name).columns == ["id", "name"] and rows(spark, name) == []
+
+
+def test_empty_merge_creates_the_target(spark, name):
+    merge(frame(spark), name, ["id"], ["id"])
+    assert read_table(spark, name).columns == ["id", "name"]
+
+
+def test_ensure_target(spark, name):
+    ensure_target(spark, name, frame(spark).schema)
+    ensure_target(spark, name, frame(spark, ddl="other INT").schema)
+    assert read_table(spark, name).columns == ["id", "name"]
+
+
+def test_exact_values(spark, name):
+    ddl = "id BIGINT, amount DECIMAL(38,9), ts TIMESTAMP, ntz TIMESTAMP_NTZ, name STRING"
+    at = datetime.datetime(2026, 9, 10, 1, 2, 3, 7)
+
+    def row(i, amount, text=None):
+        return (i, Decimal(amount), at, at, text)
+
+    append(frame(spark, row(1, "12345678901234567890.123456789"), row(2, "1.5"), ddl=ddl), name)
+    append(frame(spark, row(3, "2.25"), ddl=ddl), name)
+    got = {r["id"]: r for r in read_table(spark, name).collect()}
+    assert got[1]["amount"] == Decimal("12345678901234567890.123456789") and got[3]["amount"] == Decimal("2.25")
+    assert got[1]["ts"] == at and got[1]["ntz"] == at
+    replace(frame(spark, row(9, "0.000000001"), ddl=ddl), name)
+    merge(frame(spark, row(9, "1", "changed"), row(10, "2", "new"), row(10, "3", "newer"), ddl=ddl), name, ["id"], ["amount"])
+    got = {r["id"]: (r["name"], r["amount"]) for r in read_table(spark, name).collect()}
+    assert got == {9: ("changed", Decimal(1)), 10: ("newer", Decimal(3))}
+    assert dict(read_table(spark, name).dtypes) == {
+        "id": "bigint", "amount": "decimal(38,9)", "ts": "timestamp", "ntz": "timestamp_ntz", "name": "string",
+    }
+
+
+def test_nested_columns_land_and_come_back(spark, name):
+    df = spark.sql(
+        "SELECT 1L AS id, named_struct('n', 1, 'we`ird', 1.5BD) AS rec, array('a', 'b') AS tags, map('k', 9L) AS m "
+        "UNION ALL SELECT 2L, NULL, NULL, NULL"
+    )
+    merge(df, name, ["id"], ["id"])
+    merge(df.where("id = 1"), name, ["id"], ["id"])
+    got = {r["id"]: r for r in read_table(spark, name).collect()}
+    assert got[1]["rec"]["we`ird"] == Decimal("1.5") and got[1]["tags"] == ["a", "b"] and got[1]["m"] == {"k": 9}
+    assert got[2]["rec"] is None
+
+
+@pytest.mark.parametrize("mode", ["append", "merge"])
+def test_store_assignment(spark, name, mode):
+    append(frame(spark, (1, 1), ddl="id BIGINT, big BIGINT"), name)
+    settings = {"keys": ["id"], "order_by": ["id"]} if mode == "merge" else {}
+    write(frame(spark, (2, Decimal(9007199254740993)), ddl="id INT, big DECIMAL(20,0)"), name, mode, **settings)
+    assert rows(spark, name) == [(1, 1), (2, 9007199254740993)]
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        write(frame(spark, (3, Decimal(18446744073709551615)), ddl="id INT, big DECIMAL(20,0)"), name, mode, **settings)
+    with pytest.raises(Exception, match="CANNOT_SAFELY_CAST"):
+        write(frame(spark, (3, "7"), ddl="id INT, big STRING"), name, mode, **settings)
+    assert rows(spark, name) == [(1, 1), (2, 9007199254740993)]
+    assert leftovers(spark, name) == []
+
+
+def test_narrow_integers_create_int_columns(spark, name):
+    append(spark.sql("SELECT 1Y AS a, 2S AS b"), name)
+    assert read_table(spark, name).dtypes == [("a", "int"), ("b", "int")]
+
+
+def test_checks_before_any_job(spark, name):
+    df = frame(spark, (1, "a"))
+    nested = spark.sql("SELECT array(1) AS tags, 1 AS id")
+    cases = [
+        (lambda: write(df, name, "upsert"), "write mode"),
+        (lambda: append(df, name, schema_policy="evolve"), "schema policy"),
+        (lambda: merge(df, name, [], ["id"]), "at least one key"),
+        (lambda: merge(df, name, ["ID"], ["id"]), "'ID'"),
+        (lambda: merge(nested, name, ["tags"], ["id"]), "'tags' nested"),
+        (lambda: merge(df, name, ["id"], []), "ordering"),
+        (lambda: merge(df, name, ["id"], ["gone"]), "'gone'"),
+        (lambda: merge(df, name, ["id"], ["id"], columns=["name"]), "'id' not among"),
+        (lambda: append(df.withColumnRenamed("name", "_SYNC_SEQ"), name), "reserved"),
+        (lambda: replace(df.withColumnRenamed("name", SEQUENCE), name), "reserved"),
+        (lambda: append(df, name, options={"entity": "a..b", "format": "x"}), "'format'.*a..b"),
+        (lambda: append(spark.sql("SELECT map(1, 2) AS m"), name), "'m'"),
+    ]
+    for call, message in cases:
+        with pytest.raises(SyncError, match=message):
+            call()
+    assert not spark.catalog.tableExists(name)
+    merge(nested, name, ["id"], ["id"])  # a flat key beside a nested column is fine
+
+
+def test_the_entity_option_names_the_target(spark, name):
+    append(frame(spark, (1, "a")), "some_output", options={"entity": name})
+    assert rows(spark, name) == [(1, "a")]
+
+
+def test_a_numbered_frame_merges_by_its_sequence(spark, name):
+    df = with_sequence(frame(spark, (1, "b"), (1, "z"), (1, "a")), ["name"])
+    merge(df, name, ["id"], [SEQUENCE])
+    assert rows(spark, name) == [(1, "z")] and read_table(spark, name).columns == ["id", "name"]
+
+
+def test_a_write_commits_once(spark, name):
+    df = frame(spark, (1, "a"))
+    with StagedWrite(df, name, "append") as staged:
+        staged.commit()
+        with pytest.raises(RuntimeError, match="already committed"):
+            staged.commit()
+        with pytest.raises(RuntimeError, match="already committed"):
+            staged.abort()
+    with StagedWrite(df, name, "append") as staged:
+        pass
+    with pytest.raises(RuntimeError, match="already aborted"):
+        staged.commit()
+    assert rows(spark, name) == [(1, "a")]
+
+
+@pytest.mark.parametrize("mode", ["append", "replace", "merge"])
+def test_a_failure_before_publishing_leaves_the_target_alone(spark, name, mode, monkeypatch):
+    append(frame(spark, (1, "a")), name)
+    before = find_target(spark, current_name(spark, name))
+    broken = frame(spark, (2, "b")).withColumn("name", F.when(F.col("id") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("name")))
+    with StagedWrite(broken, name, mode, keys=["id"], order_by=["id"]) as staged:
+        with pytest.raises(Exception, match="boom"):
+            staged.commit()
+        with pytest.raises(RuntimeError, match="already committed"):
+            staged.commit()
+
+    def fail(*args):
+        raise OSError("publish failed")
+
+    monkeypatch.setattr(sinks, "publish", fail)
+    monkeypatch.setattr(files, "rename", fail)
+    with pytest.raises(OSError, match="publish failed"):
+        write(frame(spark, (3, "c")), name, mode, keys=["id"], order_by=["id"])
+    assert rows(spark, name) == [(1, "a")]
+    assert find_target(spark, current_name(spark, name)) == before
+    assert leftovers(spark, name) == [] and clean_versions(spark, before) == []
+
+
+def test_a_failed_cleanup_does_not_fail_the_write(spark, name, monkeypatch):
+    append(frame(spark, (1, "a")), name)
+    real = files._at
+
+    class NoDelete:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, attribute):
+            if attribute == "delete":
+                raise OSError("no delete")
+            return getattr(self.fs, attribute)
+
+    monkeypatch.setattr(files, "_at", lambda s, p: (NoDelete(real(s, p)[0]), real(s, p)[1]))
+    merge(frame(spark, (1, "b")), name, ["id"], ["id"])
+    assert rows(spark, name) == [(1, "b")]
+
+
+def test_a_tagged_append_lands_once(spark, name):
+    df = frame(spark, (1, "a"))
+    assert append(df, name, tag="batch-1").first()["rows"] == 1
+    assert append(df, name, tag="batch-1").first()["rows"] == 0
+    append(df, name, tag="batch-2")
+    assert rows(spark, name) == [(1, "a"), (1, "a")]
+
+
+def test_old_versions_stay_readable_until_cleaned(spark, name):
+    append(frame(spark, (1, "a")), name)
+    old = read_table(spark, name)
+    replace(frame(spark, (2, "b")), name)
+    assert [tuple(r) for r in old.collect()] == [(1, "a")]
+    target = find_target(spark, current_name(spark, name))
+    assert len(clean_versions(spark, target)) == 1 and clean_versions(spark, target) == []
+    assert rows(spark, name) == [(2, "b")]
+
+
+def test_files_roll(spark, name):
+    result = append(spark.range(100).coalesce(1), name, max_records_per_file=10)
+    assert tuple(result.first()) == (100, 10)
+
+
+def test_location(spark, name, tmp_path):
+    append(frame(spark, (1, "a")), name, location=f"{tmp_path}/here")
+    assert os.path.isdir(f"{tmp_path}/here") and rows(spark, name) == [(1, "a")]
+    spark.sql(f"DROP VIEW {name}")
+    with pytest.raises(SyncError, match="glob"):
+        append(frame(spark, (1, "a")), name, location=f"{tmp_path}/a*b")
+
+
+def test_foreign_views_are_not_written(spark, name):
+    spark.sql(f"CREATE VIEW {name} AS SELECT 1 AS id")
+    with pytest.raises(SyncError, match="not published"):
+        append(spark.range(1), name)
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_file_table(spark, name):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, name VARCHAR(5), extra INT DEFAULT 7) USING parquet")
+    assert tuple(append(frame(spark, (1, "a"), (2, "b")), name).first()) == (2, None)
+    assert rows(spark, name) == [(1, "a", 7), (2, "b", 7)]
+    merge(frame(spark, (2, "B", 1), (3, "c", 1), ddl="id INT, name STRING, extra INT"), name, ["id"], ["id"])
+    merge(frame(spark, (4, "d")), name, ["id"], ["id"])
+    assert rows(spark, name) == [(1, "a", 7), (2, "B", 1), (3, "c", 1), (4, "d", 7)]
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        merge(frame(spark, (1, "toolong")), name, ["id"], ["id"])
+    append(frame(spark, (5, "e")), name)
+    assert len(rows(spark, name)) == 5
+    replace(frame(spark, (9, "z", 0), ddl="id BIGINT, name STRING, extra INT"), name)
+    assert rows(spark, name) == [(9, "z", 0)]
+    with pytest.raises(SyncError, match="cannot change in one step"):
+        replace(frame(spark, (1,), ddl="id BIGINT"), name)
+
+
+def test_partitioned_table_takes_appends_only(spark, name):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, day INT) USING parquet PARTITIONED BY (day)")
+    append(frame(spark, (1, 5), (2, 6), ddl="id BIGINT, day INT"), name)
+    assert rows(spark, name) == [(1, 5), (2, 6)]
+    with pytest.raises(SyncError, match="only append"):
+        merge(frame(spark, (1, 7), ddl="id BIGINT, day INT"), name, ["id"], ["id"])
