@@ -13,8 +13,8 @@ from tablesync.session import ensure_checkpoint_dir
 from tablesync.sources.names import quote
 
 SEQUENCE = "_sync_seq"
-_RANK = "_sync_rank"
 _ROW = "_sync_row"
+_TIED = "_sync_tied"
 
 
 def _orderable(dtype: T.DataType) -> bool:
@@ -41,21 +41,28 @@ def dedup_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], ties
 
     Spark has no arrival order, so the order must be named. Rows that tie on it are told apart by the
     remaining columns (``break``), the same way on every run and every retry, or refused (``error``).
-    The rank limit runs before the shuffle as well: each map task sends at most one row per key
-    (with ``error``: its tied rows), so a key that holds most of the rows does not load one task.
+    The row limit runs before the shuffle as well: each map task sends at most one row per key (two
+    with ``error``), so a key that holds most of the rows does not load one task.
     """
     if not keys or not order_by:
         raise SyncError("dedup_last needs at least one key and one ordering column")
     by_key = Window.partitionBy([F.col(quote(k)) for k in keys])
+    row = F.col(_ROW)
     if ties == "break":
         latest = by_key.orderBy([c.desc() for c in _ordering(df, order_by, keys)])
-        return df.withColumn(_ROW, F.row_number().over(latest)).where(F.col(_ROW) == 1).drop(_ROW)
+        return df.withColumn(_ROW, F.row_number().over(latest)).where(row == 1).drop(_ROW)
     if ties != "error":
         raise SyncError("ties must be 'break' or 'error'")
-    latest = by_key.orderBy([F.col(quote(c)).desc() for c in order_by])
-    top = df.withColumn(_RANK, F.rank().over(latest)).withColumn(_ROW, F.row_number().over(latest)).where(F.col(_RANK) == 1)
+    order = [F.col(quote(c)) for c in order_by]
+    latest = by_key.orderBy([c.desc() for c in order])
+    top = df.withColumn(_ROW, F.row_number().over(latest)).where(row <= 2)
+    tied = F.lag(F.struct(order)).over(latest).eqNullSafe(F.struct(order)) & (row == 2)
     message = F.lit(f"two rows of one key tie on {', '.join(order_by)}; name a tie-break column")
-    return top.where(F.when(F.col(_ROW) > 1, F.raise_error(message).cast("boolean")).otherwise(True)).drop(_RANK, _ROW)
+    return (
+        top.withColumn(_TIED, tied)
+        .where(F.when(F.col(_TIED), F.raise_error(message).cast("boolean")).otherwise(row == 1))
+        .drop(_ROW, _TIED)
+    )
 
 
 def with_sequence(df: DataFrame, order_by: Sequence[str], name: str = SEQUENCE, start: int = 0) -> DataFrame:

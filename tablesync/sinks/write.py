@@ -140,12 +140,14 @@ class StagedWrite:
         max_records_per_file: int | None = None,
         broadcast_bytes: int = BROADCAST_BYTES,
         tag: str | None = None,
+        catalog: str | None = None,
+        schema: str | None = None,
     ):
         options = dict(options or {})
         check_write(df, output, mode, keys, order_by, schema_policy)
         errors = [f"unknown output option '{key}'; known options: {', '.join(_OPTIONS)}" for key in options if key not in _OPTIONS]
         try:
-            self.name = current_name(df.sparkSession, options.get("entity") or output)
+            self.name = current_name(df.sparkSession, options.get("entity") or output, catalog, schema)
         except SyncError as error:
             errors.append(str(error))
         if errors:
@@ -183,14 +185,14 @@ class StagedWrite:
         """Run the write; returns one row: ``rows`` submitted, before any de-duplication, and ``files`` staged."""
         self._leave("committed")
         target = find_target(self.spark, self.name, self.location)
-        if not target.exists and self.mode != "replace":
+        if not target.exists and target.kind == "v2" and self.mode != "replace":
             target = _create(self.spark, target, self.schema, self.tag)
-        # Resolved once: on a file target this lists every data file.
+        # Resolved once: on a file target this lists every data file. None: a published target to be.
         self.current = self.spark.table(self.name.quoted) if target.exists else None
-        if self.mode != "replace":
-            lacking = missing_names(self.schema.names, self.current.columns)
-            if lacking:
-                raise SyncError(f"{self.output}: {self.name} has no column {', '.join(map(repr, lacking))}")
+        self.into = self.schema if self.current is None or self.mode == "replace" else self.current.schema
+        lacking = missing_names(self.schema.names, self.into.names)
+        if lacking:
+            raise SyncError(f"{self.output}: {self.name} has no column {', '.join(map(repr, lacking))}")
         land = getattr(self, f"_{self.mode}_{target.kind}")
         rows, count = land(target)
         return self.spark.createDataFrame([(rows, count)], "rows BIGINT, files BIGINT")
@@ -198,25 +200,27 @@ class StagedWrite:
     # -- published: a view over Parquet batches ---------------------------------------------------
 
     def _append_published(self, target: Target) -> tuple[int, int]:
+        if self.current is None:
+            return self._new_version(target, self.frame)
         if files.exists(self.spark, target.batch_dir(self.tag)):
             return 0, 0  # this batch has landed before: a replay
         stage = target.stage_dir(self.tag)
         files.remove(self.spark, stage)  # left by a writer that died
         try:
-            rows, _ = _land(self.frame, self.current.schema, stage, self.max_records)
+            rows, _ = _land(self.frame, self.into, stage, self.max_records)
             count = files.data_files(self.spark, stage)
             files.rename(self.spark, stage, target.batch_dir(self.tag))
         finally:
             files.remove(self.spark, stage)
         return rows, count
 
-    def _new_version(self, target: Target, frame: DataFrame, schema: T.StructType) -> tuple[int, int]:
+    def _new_version(self, target: Target, frame: DataFrame) -> tuple[int, int]:
         version = f"v-{uuid.uuid4().hex[:16]}"
         path = f"{target.location}/{version}"
         try:
-            rows, _ = _land(frame, schema, f"{path}/{self.tag}", self.max_records)
+            rows, _ = _land(frame, self.into, f"{path}/{self.tag}", self.max_records)
             count = files.data_files(self.spark, f"{path}/{self.tag}")
-            publish(self.spark, target, schema, version)
+            publish(self.spark, target, self.into, version)
         except BaseException:
             if find_target(self.spark, self.name, self.location).version != version:
                 files.remove(self.spark, path)
@@ -224,7 +228,7 @@ class StagedWrite:
         return rows, count
 
     def _replace_published(self, target: Target) -> tuple[int, int]:
-        return self._new_version(target, self.frame, self.schema)
+        return self._new_version(target, self.frame)
 
     def _staged_source(self, stage: str) -> tuple[DataFrame, list[str], int, int, bool]:
         """Stage the raw rows, then read them back de-duplicated: source, keys, rows, files, is it small.
@@ -232,7 +236,7 @@ class StagedWrite:
         Staging computes the source once although the merge reads it twice, freezes it against a
         changed answer on retry, casts it to the target's types, and gives its size.
         """
-        have = {f.name.lower(): f for f in self.current.schema.fields}
+        have = {f.name.lower(): f for f in self.into.fields}
         fields = [have.get(f.name.lower(), f) for f in self.frame.schema.fields]
         staged_schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields])
         rows, size = _land(self.frame, staged_schema, stage, self.max_records)
@@ -246,6 +250,8 @@ class StagedWrite:
 
     def _merged(self, stage: str) -> tuple[DataFrame, int, int]:
         source, keys, rows, count, small = self._staged_source(stage)
+        if self.current is None:
+            return source, rows, count
         return merge_frame(self.current, source, keys, small_source=small), rows, count
 
     def _merge_published(self, target: Target) -> tuple[int, int]:
@@ -253,8 +259,8 @@ class StagedWrite:
         files.remove(self.spark, stage)
         try:
             merged, rows, count = self._merged(stage)
-            if rows:
-                self._new_version(target, merged, self.current.schema)
+            if rows or self.current is None:
+                self._new_version(target, merged)
         finally:
             files.remove(self.spark, stage)
         return rows, count
@@ -268,7 +274,7 @@ class StagedWrite:
     # -- file tables of the session catalog -------------------------------------------------------
 
     def _append_table(self, target: Target) -> tuple[int, None]:
-        return self._counted(lambda frame: aligned(frame, self.current.schema).write.insertInto(self.name.quoted))
+        return self._counted(lambda frame: aligned(frame, self.into).write.insertInto(self.name.quoted))
 
     def _swap_location(self, target: Target, frame: DataFrame, schema: T.StructType) -> tuple[int, int]:
         if target.provider != "parquet" or target.partitioned:
@@ -286,13 +292,12 @@ class StagedWrite:
         return rows, count
 
     def _replace_table(self, target: Target) -> tuple[int, int]:
-        into = self.current.schema
-        if into.simpleString() != self.schema.simpleString():
+        if self.current.schema.simpleString() != self.schema.simpleString():
             raise SyncError(
                 f"{self.output}: {self.name} is a file table, whose schema and data cannot change in one step; "
                 "drop it and let the sink recreate it"
             )
-        return self._swap_location(target, self.frame, into)
+        return self._swap_location(target, self.frame, self.current.schema)
 
     def _merge_table(self, target: Target) -> tuple[int, int]:
         stage = scratch_dir(self.spark, "stage")

@@ -1,5 +1,3 @@
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,7 +18,6 @@ def test_last_row_per_key_and_null_keys(spark):
 def test_ties_break_the_same_way_however_rows_are_spread(spark):
     rows = [(k, 0, f"v{i}", [i]) for i in range(50) for k in range(3)]
     df = spark.createDataFrame(rows, "k INT, seq INT, v STRING, a ARRAY<INT>")
-    random.seed(1)
     seen = set()
     for parts in (1, 3, 7):
         seen.add(tuple(sorted(map(str, dedup_last(df.repartition(parts), ["k"], ["seq"]).collect()))))
@@ -34,6 +31,11 @@ def test_ties_can_be_refused(spark):
     clean = dedup_last(df.where("k = 2"), ["k"], ["seq"], ties="error")
     assert [tuple(r) for r in clean.collect()] == [(2, 2, "d")] and clean.columns == df.columns
     assert dedup_last(df, ["k"], ["seq", "v"], ties="error").count() == 2
+    nulls = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (2, 1, "c"), (2, None, "d")], "k INT, seq INT, v STRING")
+    with pytest.raises(Exception, match="tie on seq"):
+        dedup_last(nulls, ["k"], ["seq"], ties="error").collect()
+    below = df.unionByName(spark.createDataFrame([(1, 6, "top")], "k INT, seq INT, v STRING"))
+    assert {r["v"] for r in dedup_last(below, ["k"], ["seq"], ties="error").collect()} == {"top", "d"}
 
 
 def test_keys_and_order_are_needed(spark):
