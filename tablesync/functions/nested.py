@@ -147,6 +147,14 @@ def encode_exact(df: DataFrame) -> DataFrame:
     return df.select(out)
 
 
+def _strict_cast(name: str, dtype: T.DataType) -> Column:
+    """Text to a flat type; what does not fit is an error in any ANSI mode, naming the column, not the value."""
+    text = F.col(quote(name))
+    value = text.try_cast(dtype)
+    message = F.lit(f"column '{name}' is not a valid {ddl(dtype)}")
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+
+
 def decode_staged(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The inverse of :func:`encode_exact`: text columns back to the types of ``schema``, strictly."""
     types = {f.name: f.dataType for f in schema.fields}
@@ -155,5 +163,5 @@ def decode_staged(df: DataFrame, schema: T.StructType) -> DataFrame:
         if isinstance(field.dataType, T.StringType) and is_nested(dtype):
             df = parse_nested(df, field.name, dtype)
         elif dtype != field.dataType:
-            df = df.withColumn(field.name, F.col(quote(field.name)).cast(dtype))
+            df = df.withColumn(field.name, _strict_cast(field.name, dtype))
     return df

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.session import scratch_dir
-from tablesync.sinks.write import ensure_target
 from tablesync.sources.names import quote
 from tablesync.sources.read import read_table
 
@@ -60,8 +59,5 @@ class ScratchTarget:
     def __exit__(self, *exc) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {quote(self.name)}")
 
-    def create(self, df: DataFrame) -> None:
-        ensure_target(self.spark, self.name, df.schema, self.settings["location"])
-
     def read(self) -> DataFrame:
         return read_table(self.spark, self.name)

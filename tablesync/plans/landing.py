@@ -5,6 +5,8 @@ These run their writes when called; the result is the lazy read of the target.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,30 +140,38 @@ def write_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of three file batches, in the order of their time windows."""
+_WINDOWS = (
+    {"upper": "2024-01-10 00:00:00"},
+    {"lower": "2024-01-10 00:00:00", "upper": "2024-01-20 00:00:00"},
+    {"lower": "2024-01-20 00:00:00"},
+)
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, columns: list[str]) -> Iterator[DataFrame]:
+    """The events table as a file stream: three time windows arrive one after the other.
+
+    The caller drains the stream after each arrival, so that each window is one micro-batch.
+    """
     landing = scratch_dir(spark, "landing")
-    events = load(spark, sf_dir, "events")
-    edges = [None, "2024-01-10 00:00:00", "2024-01-20 00:00:00", None]
-    for lower, upper in zip(edges, edges[1:]):
-        # One file per window, so that one micro-batch is one window.
-        incremental(events, "ts", lower, upper).coalesce(1).write.mode("append").parquet(landing)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    events = load(spark, sf_dir, "events").select(columns)
+    for window in _WINDOWS:
+        incremental(events, "ts", **window).write.mode("append").parquet(landing)
+        yield spark.readStream.schema(events.schema).parquet(landing)
 
 
 @register(f"SELECT user_id, event_id, ts, value FROM ({last('events', 'user_id', 'ts DESC, event_id DESC')})")
 def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _event_stream(spark, sf_dir).select("user_id", "event_id", "ts", "value")
+    checkpoint = scratch_dir(spark, "stream")
     with ScratchTarget(spark) as target:
-        target.create(stream)
-        stream_merge(stream, target.name, ["user_id"], ["ts", "event_id"], scratch_dir(spark, "stream")).awaitTermination()
+        for stream in _arrivals(spark, sf_dir, ["user_id", "event_id", "ts", "value"]):
+            stream_merge(stream, target.name, ["user_id"], ["ts", "event_id"], checkpoint, **target.settings).awaitTermination()
         return target.read()
 
 
 @register("SELECT event_id, ts, user_id, value FROM events")
 def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _event_stream(spark, sf_dir).select("event_id", "ts", "user_id", "value")
+    checkpoint = scratch_dir(spark, "stream")
     with ScratchTarget(spark) as target:
-        target.create(stream)
-        stream_append(stream, target.name, scratch_dir(spark, "stream")).awaitTermination()
+        for stream in _arrivals(spark, sf_dir, ["event_id", "ts", "user_id", "value"]):
+            stream_append(stream, target.name, checkpoint, **target.settings).awaitTermination()
         return target.read()

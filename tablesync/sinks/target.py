@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tablesync.errors import SyncError
 from tablesync.functions.types import omitted, target_ddl
 from tablesync.sinks import files
-from tablesync.sources.names import EntityName, quote
+from tablesync.sources.names import EntityName, literal, quote
 
 _LOCATION = "tablesync.location"
 _VERSION = "tablesync.version"
@@ -81,7 +81,7 @@ def publish(spark: SparkSession, target: Target, schema: T.StructType, version:
     source = quote(f"{target.location}/{version}/*")
     spark.sql(
         f"CREATE OR REPLACE VIEW {target.name.quoted} "
-        f"TBLPROPERTIES ('{_LOCATION}' = '{target.location}', '{_VERSION}' = '{version}') "
+        f"TBLPROPERTIES ('{_LOCATION}' = {literal(target.location)}, '{_VERSION}' = '{version}') "
         f"AS SELECT {columns} FROM parquet.{source}"
     )
 
@@ -114,4 +114,4 @@ def create_file_table(
     spark: SparkSession, name: str, schema: T.StructType, path: str, max_records: int | None = None
 ) -> None:
     options = f"OPTIONS ('maxRecordsPerFile' = '{max_records}') " if max_records else ""
-    spark.sql(f"CREATE TABLE {name} ({target_ddl(schema)}) USING parquet {options}LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({target_ddl(schema)}) USING parquet {options}LOCATION {literal(path)}")

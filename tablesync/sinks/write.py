@@ -16,7 +16,7 @@ from tablesync.operators.merge import merge_frame, merge_into, missing_names
 from tablesync.session import scratch_dir
 from tablesync.sinks import files
 from tablesync.sinks.target import Target, aligned, create_file_table, find_target, publish
-from tablesync.sources.names import EntityName, quote
+from tablesync.sources.names import EntityName, literal, quote
 from tablesync.sources.read import current_name, prune
 
 MODES = ("append", "replace", "merge")
@@ -283,7 +283,7 @@ class StagedWrite:
         try:
             rows, _ = _land(frame, schema, path, self.max_records)
             count = files.data_files(self.spark, path)
-            self.spark.sql(f"ALTER TABLE {self.name.quoted} SET LOCATION '{path}'")
+            self.spark.sql(f"ALTER TABLE {self.name.quoted} SET LOCATION {literal(path)}")
         except BaseException:
             if find_target(self.spark, self.name).location == target.location:
                 files.remove(self.spark, path)

@@ -11,6 +11,11 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class EntityName:
     catalog: str

@@ -1,7 +1,7 @@
 import pytest
 
 from tablesync.errors import SyncError
-from tablesync.sources.names import quote, resolve_entity
+from tablesync.sources.names import literal, quote, resolve_entity
 
 
 @pytest.mark.parametrize(
@@ -35,3 +35,8 @@ def test_an_unresolved_default_is_named(text, catalog, schema, named):
 def test_quoting():
     assert quote("we`ird") == "`we``ird`"
     assert resolve_entity("a.b.c d").quoted == "`a`.`b`.`c d`"
+
+
+def test_literals(spark):
+    for text in ("it's", "a\\b", "\\'", ""):
+        assert spark.sql(f"SELECT {literal(text)}").first()[0] == text

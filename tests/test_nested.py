@@ -106,3 +106,17 @@ def test_exact_text_round_trip(spark):
 def test_38_digits_survive(spark):
     df = spark.sql("SELECT cast('12345678901234567890123456789.123456789' AS DECIMAL(38,9)) AS d")
     assert decode_staged(encode_exact(df), df.schema).first()["d"] == Decimal("12345678901234567890123456789.123456789")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_staged_text_is_an_error(spark, ansi):
+    schema = spark.createDataFrame([], "d DECIMAL(5,2), t TIMESTAMP_NTZ").schema
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for column, values in (("d", ("secret", None)), ("t", (None, "secret"))):
+            text = spark.createDataFrame([("1.25", "2026-01-01T00:00:00.000001"), values], "d STRING, t STRING")
+            with pytest.raises(Exception, match=f"column '{column}' is not a valid") as error:
+                decode_staged(text, schema).collect()
+            assert "secret" not in str(error.value)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

@@ -289,8 +289,9 @@ def test_files_roll(spark, name):
 
 
 def test_location(spark, name, tmp_path):
-    append(frame(spark, (1, "a")), name, location=f"{tmp_path}/here")
-    assert os.path.isdir(f"{tmp_path}/here") and rows(spark, name) == [(1, "a")]
+    append(frame(spark, (1, "a")), name, location=f"{tmp_path}/it's `here`")
+    append(frame(spark, (1, "a"), ddl="id INT, name STRING").limit(0), name)
+    assert os.path.isdir(f"{tmp_path}/it's `here`") and rows(spark, name) == [(1, "a")]
     spark.sql(f"DROP VIEW {name}")
     with pytest.raises(SyncError, match="glob"):
         append(frame(spark, (1, "a")), name, location=f"{tmp_path}/a*b")
