@@ -5,6 +5,7 @@ These run their writes when called; the result is the lazy read of the target.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from tablesync.plans.base import ScratchTarget, load, register
 from tablesync.plans.merges import AGAIN, LOADED, last
 from tablesync.session import scratch_dir
 from tablesync.sinks.write import append, merge, replace
+from tablesync.sources.names import literal
 from tablesync.sources.read import incremental
 from tablesync.streaming.stream import stream_append, stream_merge
 
@@ -100,6 +102,23 @@ def sink_merge_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return target.read()
 
 
+@register(last("(SELECT user_id, event_id, ts, value, CAST(ts AS DATE) AS day FROM events)", "day, user_id", "ts DESC, event_id DESC"))
+def sink_merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event per user and day, merged into a table by day: the second increment overwrites only its days."""
+    events = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value", F.to_date("ts").alias("day"))
+    name, location = f"scratch_{uuid.uuid4().hex[:16]}", scratch_dir(spark, "table")
+    spark.sql(
+        f"CREATE TABLE {name} (user_id BIGINT, event_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE, day DATE) "
+        f"USING parquet PARTITIONED BY (day) LOCATION {literal(location)}"
+    )
+    try:
+        for window in ({"upper": "2024-01-18 12:00:00"}, {"lower": "2024-01-15 12:00:00"}):
+            merge(incremental(events, "ts", **window), name, ["day", "user_id"], ["ts", "event_id"])
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(location)
+
+
 @register("SELECT 0::BIGINT AS row_count, 4::BIGINT AS column_count FROM (SELECT count(*) FROM orders)")
 def sink_empty_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An empty replace leaves an empty table that still has its columns."""

@@ -2,7 +2,8 @@
 
 ``published``  a view over a directory of Parquet batches. A new version of the data is a new
                directory, made visible by one CREATE OR REPLACE VIEW; a batch is appended by one rename.
-``table``      an unpartitioned or partitioned file table of the session catalog.
+``table``      a file table of the session catalog. A merge into a partitioned one, whose partition columns are
+               among the keys, rewrites only the partitions that the source has.
 ``v2``         a table of a catalog whose format has its own atomic append, replace and merge.
 """
 
@@ -32,7 +33,7 @@ class Target:
     location: str | None = None
     version: str | None = None
     provider: str | None = None
-    partitioned: bool = False
+    partitions: tuple[str, ...] = ()
 
     @property
     def version_dir(self) -> str:
@@ -62,10 +63,8 @@ def find_target(spark: SparkSession, name: EntityName, location: str | None = No
     provider = described.get("Provider", "hive").lower()
     if provider not in _FILE_PROVIDERS:
         return Target(name, "v2", True, provider=provider)
-    return Target(
-        name, "table", True, described.get("Location"), provider=provider,
-        partitioned="# Partition Information" in described,
-    )
+    partitions = tuple(c.name for c in spark.catalog.listColumns(name.quoted) if c.isPartition)
+    return Target(name, "table", True, described.get("Location"), provider=provider, partitions=partitions)
 
 
 def _default_location(spark: SparkSession, name: EntityName) -> str:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from tablesync.sources.read import current_name, prune
 
 MODES = ("append", "replace", "merge")
 BROADCAST_BYTES = 64 << 20
+PARTITION_FILTER = 10_000
 _OPTIONS = ("entity",)
 
 
@@ -99,6 +102,23 @@ def _land(df: DataFrame, schema: T.StructType, path: str, max_records: int | Non
     return found["rows"], None if size is None else found["bytes"] or 0
 
 
+def _by_partition(frame: DataFrame, target: Target) -> DataFrame:
+    """Bring the rows of a table partition together before a write, so that not every task writes a file
+    in each; a large partition is split again into files of the advisory size."""
+    return frame.hint("rebalance", *[F.col(quote(c)) for c in target.partitions]) if target.partitions else frame
+
+
+def _partition_rows(table: DataFrame, partitions: DataFrame) -> DataFrame:
+    """The rows of some table partitions: by a filter that prunes the scan or, for very many, by a semi join."""
+    names = partitions.columns
+    some = partitions.limit(PARTITION_FILTER + 1).collect()
+    if len(some) > PARTITION_FILTER:
+        on = [F.col(f"t.{quote(c)}").eqNullSafe(F.col(f"p.{quote(c)}")) for c in names]
+        return table.alias("t").join(partitions.alias("p"), reduce(and_, on), "left_semi")
+    each = [reduce(and_, [F.col(quote(c)).eqNullSafe(F.lit(row[c]).cast(table.schema[c].dataType)) for c in names]) for row in some]
+    return table.where(reduce(or_, each))
+
+
 def _create(spark: SparkSession, target: Target, schema: T.StructType, tag: str) -> Target:
     if target.kind == "v2":
         spark.sql(f"CREATE TABLE IF NOT EXISTS {target.name.quoted} ({target_ddl(schema)})")
@@ -274,11 +294,13 @@ class StagedWrite:
     # -- file tables of the session catalog -------------------------------------------------------
 
     def _append_table(self, target: Target) -> tuple[int, None]:
-        return self._counted(lambda frame: aligned(frame, self.into).write.insertInto(self.name.quoted))
+        return self._counted(
+            lambda frame: _by_partition(aligned(frame, self.into), target).write.insertInto(self.name.quoted)
+        )
 
     def _swap_location(self, target: Target, frame: DataFrame, schema: T.StructType) -> tuple[int, int]:
-        if target.provider != "parquet" or target.partitioned:
-            raise SyncError(f"{self.output}: {self.name} is not an unpartitioned Parquet table; only append can write it")
+        if target.provider != "parquet" or target.partitions:
+            raise SyncError(f"{self.output}: {self.name} is not an unpartitioned Parquet table, which {self.mode} needs")
         path = f"{target.location.rstrip('/')}-{uuid.uuid4().hex[:16]}"
         try:
             rows, _ = _land(frame, schema, path, self.max_records)
@@ -300,6 +322,8 @@ class StagedWrite:
         return self._swap_location(target, self.frame, self.current.schema)
 
     def _merge_table(self, target: Target) -> tuple[int, int]:
+        if target.partitions:
+            return self._merge_partitions(target)
         stage = scratch_dir(self.spark, "stage")
         try:
             merged, rows, count = self._merged(stage)
@@ -309,6 +333,29 @@ class StagedWrite:
             files.remove(self.spark, stage)
         return rows, count
 
+    def _merge_partitions(self, target: Target) -> tuple[int, int]:
+        """Read and overwrite only the partitions the source has rows in.
+
+        Partition columns are keys, so no row outside of those partitions can match, and no row moves.
+        """
+        outside = missing_names(target.partitions, self.keys)
+        if outside:
+            raise SyncError(f"{self.output}: to merge into {self.name}, partition column(s) {', '.join(map(repr, outside))} must be keys")
+        stage = scratch_dir(self.spark, "stage")
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        try:
+            source, keys, rows, count, small = self._staged_source(stage)
+            if rows:
+                touched = _partition_rows(self.current, source.select([F.col(quote(c)) for c in target.partitions]).distinct())
+                merged = aligned(merge_frame(touched, source, keys, small_source=small), self.into)
+                self.spark.conf.set(mode, "dynamic")
+                _by_partition(merged, target).write.insertInto(self.name.quoted, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+            files.remove(self.spark, stage)
+        return rows, count
+
     # -- tables whose format has its own atomic writes --------------------------------------------
 
     def _append_v2(self, target: Target) -> tuple[int, None]:

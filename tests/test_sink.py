@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from plans import plan
 from tablesync.errors import SyncError
 from tablesync.operators.dedup import SEQUENCE, with_sequence
 from tablesync.sinks import files
@@ -321,9 +322,41 @@ def test_file_table(spark, name):
         replace(frame(spark, (1,), ddl="id BIGINT"), name)
 
 
-def test_partitioned_table_takes_appends_only(spark, name):
+@pytest.mark.parametrize("many", [False, True], ids=["filter", "semi join"])
+def test_merge_rewrites_only_the_partitions_it_touches(spark, name, many, monkeypatch):
+    if many:
+        monkeypatch.setattr(sinks, "PARTITION_FILTER", 1)
+    ddl = "id BIGINT, v STRING, day DATE, kind STRING"
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY (day, kind)")
+    days = [datetime.date(2026, 1, d) for d in (1, 2, 3)]
+    append(frame(spark, (1, "a", days[0], "x"), (2, "b", days[1], "x"), (3, "c", days[2], None), (4, "d", days[2], "y"), ddl=ddl), name)
+    before = {r["f"] for r in spark.table(name).select(F.col("_metadata.file_path").alias("f")).collect()}
+    source = frame(spark, (3, "C", days[2], None), (9, "n", days[2], None), (2, "B", days[1], "x"), ddl=ddl)
+    assert merge(source, name, ["day", "kind", "id"], ["v"]).first()["rows"] == 3
+    assert rows(spark, name) == sorted(
+        [(1, "a", days[0], "x"), (2, "B", days[1], "x"), (3, "C", days[2], None), (9, "n", days[2], None), (4, "d", days[2], "y")],
+        key=str,
+    )
+    after = {r["f"] for r in spark.table(name).select(F.col("_metadata.file_path").alias("f")).collect()}
+    assert len(before & after) == 2  # the partitions of rows 1 and 4
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    merge(frame(spark, ddl=ddl), name, ["day", "kind", "id"], ["v"])
+    assert len(rows(spark, name)) == 5
+
+
+def test_the_touched_partitions_prune_the_scan(spark, name):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, day INT) USING parquet PARTITIONED BY (day)")
+    append(frame(spark, (1, 5), (2, 6), (3, 7), ddl="id BIGINT, day INT"), name)
+    touched = sinks._partition_rows(spark.table(name), frame(spark, (6,), (None,), ddl="day INT"))
+    text = plan(touched)
+    assert "PartitionFilters: [" in text and "day" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert [tuple(r) for r in touched.collect()] == [(2, 6)]
+
+
+def test_partitioned_table_refusals(spark, name):
     spark.sql(f"CREATE TABLE {name} (id BIGINT, day INT) USING parquet PARTITIONED BY (day)")
-    append(frame(spark, (1, 5), (2, 6), ddl="id BIGINT, day INT"), name)
-    assert rows(spark, name) == [(1, 5), (2, 6)]
-    with pytest.raises(SyncError, match="only append"):
-        merge(frame(spark, (1, 7), ddl="id BIGINT, day INT"), name, ["id"], ["id"])
+    df = frame(spark, (1, 7), ddl="id BIGINT, day INT")
+    with pytest.raises(SyncError, match="'day' must be keys"):
+        merge(df, name, ["id"], ["id"])
+    with pytest.raises(SyncError, match="which replace needs"):
+        replace(df, name)
