@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.errors import SyncError
+from tablesync.functions.nested import to_json_text
+from tablesync.functions.types import is_nested
 from tablesync.session import ensure_checkpoint_dir
 from tablesync.sources.names import quote
 
@@ -25,15 +27,18 @@ def _orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
+def _comparable(field: T.StructField) -> Column:
+    """The column, or its text where Spark has no order for the type."""
+    col = F.col(quote(field.name))
+    if _orderable(field.dataType):
+        return col
+    return to_json_text(col) if is_nested(field.dataType) else col.cast("string")
+
+
 def _ordering(df: DataFrame, order_by: Sequence[str], but: Sequence[str] = ()) -> list[Column]:
-    """The named columns, then every other orderable one, so that only equal rows can tie."""
-    named = [F.col(quote(c)) for c in order_by]
-    rest = [
-        F.col(quote(f.name))
-        for f in df.schema.fields
-        if f.name not in order_by and f.name not in but and _orderable(f.dataType)
-    ]
-    return named + rest
+    """The named columns, then every other one, so that only equal rows can tie."""
+    rest = [f for f in df.schema.fields if f.name not in order_by and f.name not in but]
+    return [F.col(quote(c)) for c in order_by] + [_comparable(f) for f in rest]
 
 
 def dedup_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], ties: str = "break") -> DataFrame:
@@ -65,7 +70,9 @@ def dedup_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], ties
     )
 
 
-def with_sequence(df: DataFrame, order_by: Sequence[str], name: str = SEQUENCE, start: int = 0) -> DataFrame:
+def with_sequence(
+    df: DataFrame, order_by: Sequence[str], name: str = SEQUENCE, start: int = 0, ranges: int | None = None
+) -> DataFrame:
     """Number all rows ``start``, ``start + 1``, … in the given order, without one task seeing them all.
 
     Rows are range-partitioned and sorted, with the remaining columns and a row id as the last range
@@ -76,11 +83,11 @@ def with_sequence(df: DataFrame, order_by: Sequence[str], name: str = SEQUENCE,
         raise SyncError("with_sequence needs at least one ordering column")
     ensure_checkpoint_dir(df.sparkSession)
     part, row, offset = "_sync_part", _ROW, "_sync_offset"
-    ranges = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = [*_ordering(df, order_by), F.col(row)]
     ranged = (
         df.withColumn(row, F.monotonically_increasing_id())
-        .repartitionByRange(int(ranges), *ordered)
+        .repartitionByRange(ranges, *ordered)
         .sortWithinPartitions(*ordered)
         .drop(row)
         .withColumn(part, F.spark_partition_id())

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 from tablesync.errors import SyncError
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 # Everything here can be overridden by the cluster; queries stay right without it, but text bounds of
 # TIMESTAMP cursors are read in the session zone, and skewed merges lean on the adaptive join.
 SETTINGS = {
@@ -25,7 +29,12 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "tablesync", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "tablesync", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with :data:`SETTINGS`; ``input_bytes`` sizes its shuffles, which default to 200 partitions."""
+    if input_bytes is not None:
+        conf = {_PARTITIONS: str(max(200, shuffle_partitions(input_bytes))), **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -34,9 +43,28 @@ def build_session(app: str = "tablesync", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def shuffle_partitions(total_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> int:
-    """Shuffle partitions for an input of that size: about 128 MiB each, never fewer than the cores."""
-    return max(cores, -(-total_bytes // partition_bytes))
+def shuffle_partitions(total_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions of about 128 MiB for an input of that size."""
+    return max(1, -(-total_bytes // partition_bytes))
+
+
+@contextmanager
+def wide_shuffles(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+    """Raise the shuffle partitions for a job over that many stored bytes, if the session has fewer.
+
+    Stored Parquet is taken to grow threefold in a shuffle. Never lowered: adaptive execution
+    merges partitions that turn out small.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    needed = shuffle_partitions(3 * stored_bytes)
+    if needed <= int(before):
+        yield
+        return
+    spark.conf.set(_PARTITIONS, str(needed))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
 
 
 def scratch_root(spark: SparkSession) -> str:

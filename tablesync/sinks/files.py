@@ -20,8 +20,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def data_files(spark: SparkSession, path: str) -> int:
+    """Files of a written directory but for its success marker, counted on the JVM side."""
     fs, where = _at(spark, path)
-    return sum(1 for status in fs.listStatus(where) if status.getPath().getName().startswith("part-"))
+    return fs.getContentSummary(where).getFileCount() - int(exists(spark, f"{path}/_SUCCESS"))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    fs, where = _at(spark, path)
+    return fs.getContentSummary(where).getLength() if fs.exists(where) else 0
 
 
 def children(spark: SparkSession, path: str) -> list[str]:

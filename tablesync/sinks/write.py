@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -15,7 +15,7 @@ from tablesync.errors import SyncError
 from tablesync.functions.types import has_length, is_nested, normalize_for_write, target_ddl, write_schema
 from tablesync.operators.dedup import SEQUENCE, dedup_last
 from tablesync.operators.merge import merge_frame, merge_into, missing_names
-from tablesync.session import scratch_dir
+from tablesync.session import scratch_dir, wide_shuffles
 from tablesync.sinks import files
 from tablesync.sinks.target import Target, aligned, create_file_table, find_target, publish
 from tablesync.sources.names import EntityName, literal, quote
@@ -280,23 +280,27 @@ class StagedWrite:
         try:
             merged, rows, count = self._merged(stage)
             if rows or self.current is None:
-                self._new_version(target, merged)
+                held = files.size(self.spark, target.version_dir) if target.exists else 0
+                with wide_shuffles(self.spark, held + files.size(self.spark, stage)):
+                    self._new_version(target, merged)
         finally:
             files.remove(self.spark, stage)
         return rows, count
 
-    def _counted(self, run) -> tuple[int, None]:
-        """Run a write whose format does its own staging; its files are not ours to count."""
+    def _counted(self, frame: DataFrame, run: Callable[[DataFrame], None]) -> tuple[int, None]:
+        """Run a write whose format does its own staging; its files are not ours to count.
+
+        Rows are counted in the writing tasks, where a task that runs twice counts once.
+        """
         seen = Observation()
-        run(self.frame.observe(seen, F.count(F.lit(1)).alias("rows")))
+        run(frame.observe(seen, F.count(F.lit(1)).alias("rows")))
         return seen.get["rows"], None
 
     # -- file tables of the session catalog -------------------------------------------------------
 
     def _append_table(self, target: Target) -> tuple[int, None]:
-        return self._counted(
-            lambda frame: _by_partition(aligned(frame, self.into), target).write.insertInto(self.name.quoted)
-        )
+        frame = _by_partition(aligned(self.frame, self.into), target)
+        return self._counted(frame, lambda counted: counted.write.insertInto(self.name.quoted))
 
     def _swap_location(self, target: Target, frame: DataFrame, schema: T.StructType) -> tuple[int, int]:
         if target.provider != "parquet" or target.partitions:
@@ -328,7 +332,8 @@ class StagedWrite:
         try:
             merged, rows, count = self._merged(stage)
             if rows:
-                self._swap_location(target, merged, self.current.schema)
+                with wide_shuffles(self.spark, files.size(self.spark, target.location) + files.size(self.spark, stage)):
+                    self._swap_location(target, merged, self.current.schema)
         finally:
             files.remove(self.spark, stage)
         return rows, count
@@ -359,10 +364,10 @@ class StagedWrite:
     # -- tables whose format has its own atomic writes --------------------------------------------
 
     def _append_v2(self, target: Target) -> tuple[int, None]:
-        return self._counted(lambda frame: frame.writeTo(self.name.quoted).append())
+        return self._counted(self.frame, lambda counted: counted.writeTo(self.name.quoted).append())
 
     def _replace_v2(self, target: Target) -> tuple[int, None]:
-        return self._counted(lambda frame: frame.writeTo(self.name.quoted).createOrReplace())
+        return self._counted(self.frame, lambda counted: counted.writeTo(self.name.quoted).createOrReplace())
 
     def _merge_v2(self, target: Target) -> tuple[int, int]:
         stage = scratch_dir(self.spark, "stage")

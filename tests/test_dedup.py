@@ -16,11 +16,12 @@ def test_last_row_per_key_and_null_keys(spark):
 
 
 def test_ties_break_the_same_way_however_rows_are_spread(spark):
-    rows = [(k, 0, f"v{i}", [i]) for i in range(50) for k in range(3)]
-    df = spark.createDataFrame(rows, "k INT, seq INT, v STRING, a ARRAY<INT>")
+    rows = [(k, 0, "v", [i // 7], {"m": i}, str(i)) for i in range(50) for k in range(3)]
+    df = spark.createDataFrame(rows, "k INT, seq INT, v STRING, a ARRAY<INT>, m MAP<STRING, INT>, j STRING")
+    df = df.withColumn("j", F.parse_json("j"))
     seen = set()
     for parts in (1, 3, 7):
-        seen.add(tuple(sorted(map(str, dedup_last(df.repartition(parts), ["k"], ["seq"]).collect()))))
+        seen.add(tuple(sorted(str(tuple(r)) for r in dedup_last(df.repartition(parts), ["k"], ["seq"]).select("k", "m", F.col("j").cast("string")).collect())))
     assert len(seen) == 1
 
 

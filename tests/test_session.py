@@ -1,7 +1,7 @@
 import pytest
 
 from tablesync.errors import SyncError
-from tablesync.session import scratch_dir, scratch_root, shuffle_partitions
+from tablesync.session import scratch_dir, scratch_root, shuffle_partitions, wide_shuffles
 
 
 def test_scratch_lives_where_the_session_says(spark):
@@ -30,6 +30,13 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         scratch_root(Unset)
 
 
-def test_shuffle_partitions():
-    assert shuffle_partitions(100 << 40, 4000) == 819_200
-    assert shuffle_partitions(1, 8) == 8
+def test_shuffle_partitions(spark):
+    assert shuffle_partitions(100 << 40) == 819_200
+    assert shuffle_partitions(0) == 1
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with wide_shuffles(spark, 1 << 20):
+        assert spark.conf.get(key) == before
+    with wide_shuffles(spark, 100 << 30):
+        assert spark.conf.get(key) == "2400"
+    assert spark.conf.get(key) == before
