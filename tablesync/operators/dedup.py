@@ -17,6 +17,7 @@ from tablesync.sources.names import quote
 SEQUENCE = "_sync_seq"
 _ROW = "_sync_row"
 _TIED = "_sync_tied"
+_LAST = "_sync_last"
 
 
 def _orderable(dtype: T.DataType) -> bool:
@@ -27,6 +28,13 @@ def _orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
+def _exact(dtype: T.DataType) -> bool:
+    """Whether equal keys of the type are the same value: -0.0 equals 0.0, and a collation may ignore case."""
+    if isinstance(dtype, T.StringType):
+        return dtype == T.StringType()
+    return not isinstance(dtype, (T.FloatType, T.DoubleType))
+
+
 def _comparable(field: T.StructField) -> Column:
     """The column, or its text where Spark has no order for the type."""
     col = F.col(quote(field.name))
@@ -35,31 +43,20 @@ def _comparable(field: T.StructField) -> Column:
     return to_json_text(col) if is_nested(field.dataType) else col.cast("string")
 
 
-def _ordering(df: DataFrame, order_by: Sequence[str], but: Sequence[str] = ()) -> list[Column]:
-    """The named columns, then every other one, so that only equal rows can tie."""
-    rest = [f for f in df.schema.fields if f.name not in order_by and f.name not in but]
-    return [F.col(quote(c)) for c in order_by] + [_comparable(f) for f in rest]
+def _ordered(fields: Sequence[T.StructField], order_by: Sequence[str]) -> list[T.StructField]:
+    """The named fields in the named order, then every other one, so that only equal rows can tie."""
+    by_name = {f.name: f for f in fields}
+    return [by_name[c] for c in order_by if c in by_name] + [f for f in fields if f.name not in order_by]
 
 
-def dedup_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], ties: str = "break") -> DataFrame:
-    """Keep the last row per key by ``order_by``; NULL keys form one group.
+def _last_by_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The last row per key where no two rows of a key may tie on the order.
 
-    Spark has no arrival order, so the order must be named. Rows that tie on it are told apart by the
-    remaining columns (``break``), the same way on every run and every retry, or refused (``error``).
-    The row limit runs before the shuffle as well: each map task sends at most one row per key (two
-    with ``error``), so a key that holds most of the rows does not load one task.
+    Of each key two rows reach the final window, from each map task and in the end: a tie for the
+    last place is a tie of these two.
     """
-    if not keys or not order_by:
-        raise SyncError("dedup_last needs at least one key and one ordering column")
-    by_key = Window.partitionBy([F.col(quote(k)) for k in keys])
-    row = F.col(_ROW)
-    if ties == "break":
-        latest = by_key.orderBy([c.desc() for c in _ordering(df, order_by, keys)])
-        return df.withColumn(_ROW, F.row_number().over(latest)).where(row == 1).drop(_ROW)
-    if ties != "error":
-        raise SyncError("ties must be 'break' or 'error'")
-    order = [F.col(quote(c)) for c in order_by]
-    latest = by_key.orderBy([c.desc() for c in order])
+    order, row = [F.col(quote(c)) for c in order_by], F.col(_ROW)
+    latest = Window.partitionBy([F.col(quote(k)) for k in keys]).orderBy([c.desc() for c in order])
     top = df.withColumn(_ROW, F.row_number().over(latest)).where(row <= 2)
     tied = F.lag(F.struct(order)).over(latest).eqNullSafe(F.struct(order)) & (row == 2)
     message = F.lit(f"two rows of one key tie on {', '.join(order_by)}; name a tie-break column")
@@ -70,6 +67,38 @@ def dedup_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], ties
     )
 
 
+def dedup_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], ties: str = "break") -> DataFrame:
+    """Keep the last row per key by ``order_by``; NULL keys form one group, a NULL order comes first.
+
+    Spark has no arrival order, so the order must be named. Rows that tie on it are told apart by the
+    remaining columns (``break``), the same way on every run and every retry, or refused (``error``).
+
+    The last row is the largest, as a struct that starts with the order: an aggregate, of which each
+    map task sends one row per key, so a key that holds most of the rows does not load one task. It
+    needs a sort by key only; a window would sort by key and order.
+    """
+    if not keys or not order_by:
+        raise SyncError("dedup_last needs at least one key and one ordering column")
+    if ties == "error":
+        return _last_by_window(df, keys, order_by)
+    if ties != "break":
+        raise SyncError("ties must be 'break' or 'error'")
+    carried = _ordered([f for f in df.schema.fields if f.name not in keys or not _exact(f.dataType)], order_by)
+    if not carried:
+        return df.distinct()
+    row = F.struct([F.col(quote(f.name)) for f in carried])
+    if all(_orderable(f.dataType) for f in carried):
+        last = F.max(row)
+    else:
+        last = F.max_by(row, F.struct([_comparable(f).alias(f"o{i}") for i, f in enumerate(carried)]))
+    names = {f.name for f in carried}
+    return (
+        df.groupBy([F.col(quote(k)) for k in keys])
+        .agg(last.alias(_LAST))
+        .select([(F.col(_LAST).getField(c) if c in names else F.col(quote(c))).alias(c) for c in df.columns])
+    )
+
+
 def with_sequence(
     df: DataFrame, order_by: Sequence[str], name: str = SEQUENCE, start: int = 0, ranges: int | None = None
 ) -> DataFrame:
@@ -84,7 +113,7 @@ def with_sequence(
     ensure_checkpoint_dir(df.sparkSession)
     part, row, offset = "_sync_part", _ROW, "_sync_offset"
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = [*_ordering(df, order_by), F.col(row)]
+    ordered = [*[_comparable(f) for f in _ordered(df.schema.fields, order_by)], F.col(row)]
     ranged = (
         df.withColumn(row, F.monotonically_increasing_id())
         .repartitionByRange(ranges, *ordered)

@@ -34,6 +34,7 @@ class Target:
     version: str | None = None
     provider: str | None = None
     partitions: tuple[str, ...] = ()
+    bucketed: bool = False
 
     @property
     def version_dir(self) -> str:
@@ -64,7 +65,10 @@ def find_target(spark: SparkSession, name: EntityName, location: str | None = No
     if provider not in _FILE_PROVIDERS:
         return Target(name, "v2", True, provider=provider)
     partitions = tuple(c.name for c in spark.catalog.listColumns(name.quoted) if c.isPartition)
-    return Target(name, "table", True, described.get("Location"), provider=provider, partitions=partitions)
+    return Target(
+        name, "table", True, described.get("Location"), provider=provider, partitions=partitions,
+        bucketed="Num Buckets" in described,
+    )
 
 
 def _default_location(spark: SparkSession, name: EntityName) -> str:

@@ -303,8 +303,10 @@ class StagedWrite:
         return self._counted(frame, lambda counted: counted.write.insertInto(self.name.quoted))
 
     def _swap_location(self, target: Target, frame: DataFrame, schema: T.StructType) -> tuple[int, int]:
-        if target.provider != "parquet" or target.partitions:
-            raise SyncError(f"{self.output}: {self.name} is not an unpartitioned Parquet table, which {self.mode} needs")
+        if target.provider != "parquet" or target.partitions or target.bucketed:
+            raise SyncError(
+                f"{self.output}: {self.name} is not an unpartitioned, unbucketed Parquet table, which {self.mode} needs"
+            )
         path = f"{target.location.rstrip('/')}-{uuid.uuid4().hex[:16]}"
         try:
             rows, _ = _land(frame, schema, path, self.max_records)

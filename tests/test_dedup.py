@@ -45,12 +45,32 @@ def test_keys_and_order_are_needed(spark):
             dedup_last(spark.range(1), keys, order)
 
 
-@pytest.mark.parametrize("ties", ["break", "error"])
-def test_rows_are_cut_to_one_per_key_before_the_only_shuffle(spark, ties):
+@pytest.mark.parametrize("ties, partial", [("break", "partial_max"), ("error", "Partial")])
+def test_each_map_task_cuts_its_rows_before_the_only_shuffle(spark, ties, partial):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     text = plan(dedup_last(df, ["k"], ["id"], ties=ties))
     assert exchanges(text) == 1
-    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+    assert text.index("Exchange hashpartitioning") < text.index(partial)
+
+
+def test_the_last_row_keeps_its_own_key(spark):
+    df = spark.createDataFrame([(0.0, 1), (-0.0, 2), (float("nan"), 1), (float("nan"), 2), (None, 3)], "k DOUBLE, seq INT")
+    got = sorted(str(tuple(r)) for r in dedup_last(df, ["k"], ["seq"]).collect())
+    assert got == ["(-0.0, 2)", "(None, 3)", "(nan, 2)"]
+    folded = spark.sql("SELECT * FROM VALUES ('a', 1), ('A', 2) AS t(k, seq)").select(F.collate("k", "UTF8_LCASE").alias("k"), "seq")
+    assert [tuple(r) for r in dedup_last(folded, ["k"], ["seq"]).collect()] == [("A", 2)]
+
+
+def test_an_order_within_the_keys(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (None, 2)], "a INT, b INT")
+    assert sorted(map(str, (tuple(r) for r in dedup_last(df, ["a", "b"], ["a"]).collect()))) == ["(1, 2)", "(None, 2)"]
+    assert dedup_last(df, ["a"], ["a"]).columns == ["a", "b"]
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, 2, 3), (1, 5, 4)], ["k.1", "o`x", "v y"])
+    last = dedup_last(df, ["k.1"], ["o`x"])
+    assert last.columns == df.columns and tuple(last.first()) == (1, 5, 4)
 
 
 def test_sequence_is_dense_and_follows_the_order(spark):

@@ -360,3 +360,12 @@ def test_partitioned_table_refusals(spark, name):
         merge(df, name, ["id"], ["id"])
     with pytest.raises(SyncError, match="which replace needs"):
         replace(df, name)
+
+
+def test_a_bucketed_table_takes_appends_only(spark, name):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, v STRING) USING parquet CLUSTERED BY (id) INTO 4 BUCKETS")
+    df = frame(spark, (1, "a"), (2, "b"), ddl="id BIGINT, v STRING")
+    append(df, name)
+    with pytest.raises(SyncError, match="unbucketed"):
+        merge(df, name, ["id"], ["v"])
+    assert rows(spark, name) == [(1, "a"), (2, "b")]
