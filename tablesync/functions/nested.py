@@ -85,7 +85,7 @@ def _strict_json(df: DataFrame, column: str, dtype: T.DataType) -> tuple[DataFra
         schema,
         {"columnNameOfCorruptRecord": "bad", "allowSingleQuotes": "false"},
     )
-    helper = "__parsed"
+    helper = "_sync_parsed"
     one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).eqNullSafe(F.lit(1))
     bad = text.isNotNull() & (F.col(f"{helper}.bad").isNotNull() | ~one)
     return df.withColumn(helper, parsed), F.col(f"{helper}.v"), bad

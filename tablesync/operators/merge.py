@@ -66,12 +66,12 @@ def _plain_keys(frame: DataFrame, keys: Sequence[str]) -> list[Column]:
     out = []
     for i, key in enumerate(keys):
         col = F.col(quote(key))
-        out += [F.coalesce(col, _stand_in(types[key])).alias(f"_key{i}"), col.isNull().alias(f"_null{i}")]
+        out += [F.coalesce(col, _stand_in(types[key])).alias(f"_sync_key{i}"), col.isNull().alias(f"_sync_null{i}")]
     return out
 
 
 def _names(keys: Sequence[str]) -> list[str]:
-    return [name for i in range(len(keys)) for name in (f"_key{i}", f"_null{i}")]
+    return [name for i in range(len(keys)) for name in (f"_sync_key{i}", f"_sync_null{i}")]
 
 
 def merge_frame(target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False) -> DataFrame:

@@ -52,7 +52,7 @@ def find_target(spark: SparkSession, name: EntityName, location: str | None = No
     if not spark.catalog.tableExists(name.quoted):
         if name.catalog != "spark_catalog" or spark.conf.get("spark.sql.catalog.spark_catalog", None):
             return Target(name, "v2", False)
-        return Target(name, "published", False, location or _default_location(spark, name))
+        return Target(name, "published", False, (location or _default_location(spark, name)).rstrip("/"))
     if name.catalog != "spark_catalog":
         return Target(name, "v2", True)
     if spark.catalog.getTable(name.quoted).tableType == "VIEW":

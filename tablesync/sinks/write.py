@@ -175,6 +175,8 @@ class StagedWrite:
         self.spark = df.sparkSession
         self.output, self.mode, self.keys, self.order_by = output, mode, list(keys), list(order_by)
         written = list(columns) if columns else [c for c in df.columns if c != SEQUENCE]
+        if any(c.lower() == SEQUENCE for c in written):
+            raise SyncError(f"{output}: column '{SEQUENCE}' is reserved for row ordering and cannot be written")
         lost = [k for k in self.keys if k not in written]
         if lost:
             raise SyncError(f"{output}: merge key(s) {', '.join(map(repr, lost))} not among the written columns")
@@ -207,6 +209,8 @@ class StagedWrite:
         target = find_target(self.spark, self.name, self.location)
         if not target.exists and target.kind == "v2" and self.mode != "replace":
             target = _create(self.spark, target, self.schema, self.tag)
+        # Listed before the target is resolved, so that no batch the merge does not see is among them.
+        self.batches = self._batches(target) if target.kind == "published" and self.mode == "merge" else None
         # Resolved once: on a file target this lists every data file. None: a published target to be.
         self.current = self.spark.table(self.name.quoted) if target.exists else None
         self.into = self.schema if self.current is None or self.mode == "replace" else self.current.schema
@@ -230,16 +234,21 @@ class StagedWrite:
             rows, _ = _land(self.frame, self.into, stage, self.max_records)
             count = files.data_files(self.spark, stage)
             files.rename(self.spark, stage, target.batch_dir(self.tag))
+            if find_target(self.spark, self.name).version != target.version:
+                raise SyncError(f"{self.output}: {self.name} was replaced by another writer meanwhile; append again")
         finally:
             files.remove(self.spark, stage)
         return rows, count
 
     def _new_version(self, target: Target, frame: DataFrame) -> tuple[int, int]:
+        """Land a new version and publish it, unless the batches it was computed from have changed."""
         version = f"v-{uuid.uuid4().hex[:16]}"
         path = f"{target.location}/{version}"
         try:
             rows, _ = _land(frame, self.into, f"{path}/{self.tag}", self.max_records)
             count = files.data_files(self.spark, f"{path}/{self.tag}")
+            if self.batches is not None and self._batches(target) != self.batches:
+                raise SyncError(f"{self.output}: {self.name} was written by another writer meanwhile; merge again")
             publish(self.spark, target, self.into, version)
         except BaseException:
             if find_target(self.spark, self.name, self.location).version != version:
@@ -247,6 +256,12 @@ class StagedWrite:
             raise
         return rows, count
 
+    def _batches(self, target: Target) -> list[str] | None:
+        """The batches of a version while it is the current one."""
+        if not target.exists or find_target(self.spark, self.name).version != target.version:
+            return None
+        return sorted(files.children(self.spark, target.version_dir))
+
     def _replace_published(self, target: Target) -> tuple[int, int]:
         return self._new_version(target, self.frame)
 

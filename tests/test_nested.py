@@ -1,4 +1,6 @@
 import datetime
+import json
+import random
 from decimal import Decimal
 
 import pytest
@@ -56,6 +58,27 @@ def test_bad_json_reported_or_null(spark):
         parse_nested(df, "v", "ARRAY<INT>", on_error="ignore")
 
 
+def test_acceptance_against_a_strict_parser(spark):
+    """Random texts over the characters that could trick a wrapper."""
+    rng = random.Random(11)
+    tokens = ["[", "]", "{", "}", ",", "1", "22", "null", '"v"', ":", " ", '"bad"', "-", "1.5", "'", "x"]
+    values = {"".join(rng.choices(tokens, k=rng.randint(1, 7))) for _ in range(6000)}
+    values |= {f"[{','.join(rng.choices(['1', 'null', '-7'], k=rng.randint(0, 3)))}]{rng.choice(['', '', ' ', ']', ',', '}'])}" for _ in range(300)}
+
+    def want(text):
+        try:
+            value = json.loads(text)
+        except ValueError:
+            return False
+        return value is None or isinstance(value, list) and all(v is None or type(v) is int for v in value)
+
+    values = sorted(values)
+    bad = parse_nested(texts(spark, *values).repartition(4), "v", "ARRAY<INT>", on_error="report", row_id=["id"])
+    refused = {r["id"] for r in bad.collect()}
+    assert [v for i, v in enumerate(values) if (i not in refused) != want(v)] == []
+    assert len(values) - len(refused) > 30
+
+
 def test_a_bad_leaf_at_depth_is_found(spark):
     df = texts(spark, '[{"a":{"k":[1]}}]', '[{"a":{"k":["x"]}}]')
     bad = parse_nested(df, "v", "ARRAY<STRUCT<a: MAP<STRING, ARRAY<INT>>>>", on_error="report", row_id=["id"])

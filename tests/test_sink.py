@@ -189,6 +189,7 @@ def test_checks_before_any_job(spark, name):
         (lambda: merge(df, name, ["id"], ["id"], columns=["name"]), "'id' not among"),
         (lambda: append(df.withColumnRenamed("name", "_SYNC_SEQ"), name), "reserved"),
         (lambda: replace(df.withColumnRenamed("name", SEQUENCE), name), "reserved"),
+        (lambda: merge(df.withColumnRenamed("name", SEQUENCE), name, ["id"], [SEQUENCE], columns=["id", SEQUENCE]), "reserved"),
         (lambda: append(df, name, options={"entity": "a..b", "format": "x"}), "'format'.*a..b"),
         (lambda: append(spark.sql("SELECT map(1, 2) AS m"), name), "'m'"),
     ]
@@ -248,6 +249,38 @@ def test_a_failure_before_publishing_leaves_the_target_alone(spark, name, mode,
     assert leftovers(spark, name) == [] and clean_versions(spark, before) == []
 
 
+@pytest.mark.parametrize("other", ["append", "replace"])
+def test_a_merge_notices_another_writer(spark, name, other, monkeypatch):
+    append(frame(spark, (1, "a")), name)
+    real = sinks.merge_frame
+
+    def meanwhile(*args, **settings):
+        monkeypatch.setattr(sinks, "merge_frame", real)
+        write(frame(spark, (7, "other")), name, other)
+        return real(*args, **settings)
+
+    monkeypatch.setattr(sinks, "merge_frame", meanwhile)
+    with pytest.raises(SyncError, match="another writer"):
+        merge(frame(spark, (1, "b")), name, ["id"], ["id"])
+    assert (7, "other") in rows(spark, name) and leftovers(spark, name) == []
+    merge(frame(spark, (1, "b")), name, ["id"], ["id"])
+    assert {(1, "b"), (7, "other")} == set(rows(spark, name))
+
+
+def test_an_append_notices_a_replaced_target(spark, name, monkeypatch):
+    append(frame(spark, (1, "a")), name)
+    real = files.rename
+
+    def meanwhile(*args):
+        replace(frame(spark, (7, "other")), name)
+        return real(*args)
+
+    monkeypatch.setattr(files, "rename", meanwhile)
+    with pytest.raises(SyncError, match="append again"):
+        append(frame(spark, (2, "b")), name)
+    assert rows(spark, name) == [(7, "other")]
+
+
 def test_a_failed_cleanup_does_not_fail_the_write(spark, name, monkeypatch):
     append(frame(spark, (1, "a")), name)
     real = files._at
