@@ -52,7 +52,8 @@ def main():
     seconds = {name: round(min(run(spark, REGISTRY[name].query) for _ in range(RUNS)), 3) for name in names}
     spark.stop()
     total = round(sum(seconds[name] for name in (only or HEADLINE)), 3)
-    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1]}))
+    scale = SF_DIR.rstrip("/").rsplit("sf", 1)[-1]
+    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))
 
 
 if __name__ == "__main__":

@@ -47,7 +47,11 @@ def dedup_last_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_last(events, ["user_id"], ["ts", "event_id"])
 
 
-@register(last("lineitem", "l_orderkey, l_linenumber", "l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC"))
+_ALL_DESC = """l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC, l_discount DESC,
+    l_tax DESC, l_returnflag DESC, l_linestatus DESC"""
+
+
+@register(last("lineitem", "l_orderkey, l_linenumber", _ALL_DESC))
 def dedup_last_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the ship date is named; rows that tie on it are told apart by their remaining columns."""
     columns = [

@@ -163,7 +163,8 @@ def schema_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     read = project_declared(events)
     counts = read.agg(*[F.count(quote(c)).alias(c) for c in read.columns])
-    present = counts.select(F.explode(F.create_map(*[x for c in read.columns for x in (F.lit(c), F.col(quote(c)))])).alias("name", "present"))
+    by_name = F.create_map(*[x for c in read.columns for x in (F.lit(c), F.col(quote(c)))])
+    present = counts.select(F.explode(by_name).alias("name", "present"))
     return describe_dataset(events).join(F.broadcast(present), "name")
 
 
@@ -183,7 +184,9 @@ def staged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def partition_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = [
-        partition_counts(load(spark, sf_dir, t)).agg(F.sum("rows").alias("rows_total")).select(F.lit(t).alias("dataset"), "rows_total")
+        partition_counts(load(spark, sf_dir, t))
+        .agg(F.sum("rows").alias("rows_total"))
+        .select(F.lit(t).alias("dataset"), "rows_total")
         for t in ("events", "lineitem", "orders")
     ]
     return reduce(DataFrame.unionByName, totals)

@@ -15,7 +15,10 @@ def _masked_sql(text: str) -> str:
         (r"(\bAuthorization:)\s+(?:Bearer|Basic)\s+\S+", r"\1 ***"),
         (r'("(?:access_token|client_secret|token)"\s*:\s*")(?:[^"\\]|\\.)*"', r'\1***"'),
         (r'(\b(?:access_token|refresh_token|client_secret|token)\b)=(?:"[^"]*"|[^\s;,&]+)', r"\1=***"),
-        (r"""https://([^/\s]*(?:\.amazonaws\.com|\.blob\.core\.windows\.net|storage\.googleapis\.com))/[^\s"'']*""", r"https://\1/<redacted>"),
+        (
+            r"""https://([^/\s]*(?:\.amazonaws\.com|\.blob\.core\.windows\.net|storage\.googleapis\.com))/[^\s"'']*""",
+            r"https://\1/<redacted>",
+        ),
         (r"""https://([^/\s]+)/[^\s"'']*?[?&](?:X-Amz-Signature|sig|X-Goog-Signature)=[^\s"'']*""", r"https://\1/<redacted>"),
     ]
     for pattern, replacement in rules:

@@ -9,7 +9,7 @@ sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.
 from tablesync.session import build_session  # noqa: E402
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="session", autouse=True)
 def spark():
     root = tempfile.mkdtemp(prefix="tablesync-tests-")
     session = build_session(

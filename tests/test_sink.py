@@ -67,7 +67,8 @@ def test_replace_then_merge(spark, name):
 
 
 def test_merge_into_a_missing_target_keeps_the_last_row(spark, name):
-    result = merge(frame(spark, (1, "a", 1), (1, "b", 2), ddl="id BIGINT, name STRING, at INT"), name, ["id"], ["at"], columns=["id", "name"])
+    df = frame(spark, (1, "a", 1), (1, "b", 2), ddl="id BIGINT, name STRING, at INT")
+    result = merge(df, name, ["id"], ["at"], columns=["id", "name"])
     assert result.first()["rows"] == 2
     assert rows(spark, name) == [(1, "b")]
 
@@ -170,6 +171,15 @@ def test_store_assignment(spark, name, mode):
     assert leftovers(spark, name) == []
 
 
+def test_wide_values_fit_their_targets(spark, name):
+    target = "id BIGINT, amount DECIMAL(18,2), big BIGINT, huge DECIMAL(20,0), ts TIMESTAMP_NTZ"
+    append(frame(spark, ddl=target), name)
+    at = datetime.datetime(2026, 9, 10, 1, 2, 3, 7)
+    row = (1, Decimal("123.45"), Decimal(9007199254740993), Decimal(18446744073709551615), at)
+    append(frame(spark, row, ddl=target.replace("big BIGINT", "big DECIMAL(20,0)")), name)
+    assert rows(spark, name) == [row]
+
+
 def test_narrow_integers_create_int_columns(spark, name):
     append(spark.sql("SELECT 1Y AS a, 2S AS b"), name)
     assert read_table(spark, name).dtypes == [("a", "int"), ("b", "int")]

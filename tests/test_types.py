@@ -1,3 +1,8 @@
+import datetime
+from decimal import Decimal
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as T
 
@@ -5,6 +10,7 @@ from tablesync.errors import SyncError
 from tablesync.functions.types import (
     JSON, NATIVE, NESTED, TEXT, classify, declared_type, describe_dataset, normalize_for_write, target_ddl, widened, write_schema,
 )
+from tablesync.sources.read import read_path
 
 
 def of(ddl):
@@ -61,7 +67,9 @@ def test_unreadable_types_name_the_column(spark):
 
 
 def test_target_ddl():
-    schema = T.StructType.fromDDL("rec STRUCT<n: INT, at: TIMESTAMP, `we``ird`: DECIMAL(38,18)>, tags ARRAY<STRING>, m MAP<STRING, ARRAY<BIGINT>>")
+    schema = T.StructType.fromDDL(
+        "rec STRUCT<n: INT, at: TIMESTAMP, `we``ird`: DECIMAL(38,18)>, tags ARRAY<STRING>, m MAP<STRING, ARRAY<BIGINT>>"
+    )
     assert target_ddl(schema) == (
         "`rec` STRUCT<`n`: INT, `at`: TIMESTAMP, `we``ird`: DECIMAL(38,18)>, `tags` ARRAY<STRING>, `m` MAP<STRING, ARRAY<BIGINT>>"
     )
@@ -93,3 +101,44 @@ def test_unwritable_types_name_output_and_column(spark, ddl):
 def test_nested_strictness_can_be_lifted(spark):
     df = spark.sql("SELECT map(1, 'a') AS m, array(X'01') AS x")
     assert write_schema(df, strict_nested=False).simpleString() == "struct<m:map<int,string>,x:array<binary>>"
+
+
+def test_parquet_inputs_of_another_writer(spark, tmp_path):
+    """Unsigned integers, date64, fixed-size values and a naive timestamp, as a columnar writer stores them."""
+    at = datetime.datetime(2026, 9, 10, 12, 34, 56, 123456)
+    table = pa.table(
+        {
+            "u8": pa.array([255], pa.uint8()),
+            "u16": pa.array([65535], pa.uint16()),
+            "u32": pa.array([2**32 - 1], pa.uint32()),
+            "u64": pa.array([2**64 - 1], pa.uint64()),
+            "d64": pa.array([datetime.date(2026, 9, 10)], pa.date64()),
+            "fixed": pa.array([b"ab"], pa.binary(2)),
+            "pair": pa.array([[1, 2]], pa.list_(pa.int32(), 2)),
+            "big": pa.array(["text"], pa.large_string()),
+            "naive": pa.array([at], pa.timestamp("us")),
+            "zoned": pa.array([at], pa.timestamp("us", "Europe/Berlin")),
+            "exact": pa.array([Decimal("12345678901234567890.123456789")], pa.decimal128(38, 9)),
+        }
+    )
+    pq.write_table(table, f"{tmp_path}/x.parquet")
+    out = normalize_for_write(spark.read.parquet(f"{tmp_path}/x.parquet"))
+    assert dict(out.dtypes) == {
+        "u8": "int", "u16": "int", "u32": "bigint", "u64": "decimal(20,0)", "d64": "date", "fixed": "binary",
+        "pair": "array<int>", "big": "string", "naive": "timestamp_ntz", "zoned": "timestamp", "exact": "decimal(38,9)",
+    }
+    row = out.first()
+    assert (row["u8"], row["u16"], row["u32"], row["u64"]) == (255, 65535, 2**32 - 1, 2**64 - 1)
+    assert row["pair"] == [1, 2] and row["naive"] == at and row["exact"] == Decimal("12345678901234567890.123456789")
+
+
+def test_one_column_per_readable_type(spark, tmp_path):
+    df = spark.sql(
+        """SELECT 1Y AS a, 2S AS b, 3 AS c, 4L AS d, true AS e, 1.5F AS f, 2.5D AS g,
+                  12345678901234567890.123456789BD AS h, 'x' AS i, X'6162' AS j, DATE '2026-09-10' AS k,
+                  TIMESTAMP '2026-09-10 12:34:56.123456' AS l, TIMESTAMP_NTZ '2026-09-10 12:34:56.123456' AS m,
+                  array(1, 2) AS n, map('k', 1) AS o, named_struct('a', 1) AS p"""
+    )
+    df.write.parquet(f"{tmp_path}/types")
+    read = read_path(spark, f"{tmp_path}/types")
+    assert read.dtypes == df.dtypes and read.collect() == df.collect()
