@@ -105,8 +105,9 @@ def with_sequence(
     """Number all rows ``start``, ``start + 1``, … in the given order, without one task seeing them all.
 
     Rows are range-partitioned and sorted, with the remaining columns and a row id as the last range
-    keys so that even a third of all rows being equal splits over many ranges. The result is
-    checkpointed: both the counts per range and the rows are then read from the same ranges.
+    keys so that even a third of all rows being equal splits over many ranges. Checkpointed twice: once
+    with the row ids, which a task that runs again could give to other rows, and once with the ranges,
+    so that the counts per range and the rows are read from the same ones.
     """
     if not order_by:
         raise SyncError("with_sequence needs at least one ordering column")
@@ -116,6 +117,7 @@ def with_sequence(
     ordered = [*[_comparable(f) for f in _ordered(df.schema.fields, order_by)], F.col(row)]
     ranged = (
         df.withColumn(row, F.monotonically_increasing_id())
+        .checkpoint()
         .repartitionByRange(ranges, *ordered)
         .sortWithinPartitions(*ordered)
         .drop(row)
