@@ -16,7 +16,7 @@ from tablesync.plans.merges import AGAIN, LOADED, last
 from tablesync.session import scratch_dir
 from tablesync.sinks.write import append, merge, replace
 from tablesync.sources.names import literal
-from tablesync.sources.read import incremental
+from tablesync.sources.read import incremental, read_table
 from tablesync.streaming.stream import stream_append, stream_merge
 
 
@@ -104,19 +104,20 @@ def sink_merge_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(last("(SELECT user_id, event_id, ts, value, CAST(ts AS DATE) AS day FROM events)", "day, user_id", "ts DESC, event_id DESC"))
 def sink_merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last event per user and day, merged into a table by day: the second increment overwrites only its days."""
+    """The last event per user and day, merged into a table by day: the second increment rewrites only its days."""
     events = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value", F.to_date("ts").alias("day"))
-    name, location = f"scratch_{uuid.uuid4().hex[:16]}", scratch_dir(spark, "table")
+    name, result = f"scratch_{uuid.uuid4().hex[:16]}", scratch_dir(spark, "result")
     spark.sql(
         f"CREATE TABLE {name} (user_id BIGINT, event_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE, day DATE) "
-        f"USING parquet PARTITIONED BY (day) LOCATION {literal(location)}"
+        f"USING parquet PARTITIONED BY (day) LOCATION {literal(scratch_dir(spark, 'table'))}"
     )
     try:
         for window in ({"upper": "2024-01-18 12:00:00"}, {"lower": "2024-01-15 12:00:00"}):
             merge(incremental(events, "ts", **window), name, ["day", "user_id"], ["ts", "event_id"])
+        read_table(spark, name).write.parquet(result)  # the table goes with its catalog entry
     finally:
         spark.sql(f"DROP TABLE {name}")
-    return spark.read.parquet(location)
+    return spark.read.parquet(result)
 
 
 @register("SELECT 0::BIGINT AS row_count, 4::BIGINT AS column_count FROM (SELECT count(*) FROM orders)")

@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tablesync.sources.names import EntityName, literal, quote
 
 _LOCATION = "tablesync.location"
 _VERSION = "tablesync.version"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 _FILE_PROVIDERS = ("parquet", "orc", "json", "csv", "text", "avro", "hive")
 
 
@@ -114,7 +116,21 @@ def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def create_file_table(
-    spark: SparkSession, name: str, schema: T.StructType, path: str, max_records: int | None = None
+    spark: SparkSession, name: str, schema: T.StructType, path: str, max_records: int | None = None,
+    partitions: tuple[str, ...] = (),
 ) -> None:
     options = f"OPTIONS ('maxRecordsPerFile' = '{max_records}') " if max_records else ""
-    spark.sql(f"CREATE TABLE {name} ({target_ddl(schema)}) USING parquet {options}LOCATION {literal(path)}")
+    by = f"PARTITIONED BY ({', '.join(map(quote, partitions))}) " if partitions else ""
+    spark.sql(f"CREATE TABLE {name} ({target_ddl(schema)}) USING parquet {options}{by}LOCATION {literal(path)}")
+
+
+def partition_names(spark: SparkSession, table: str) -> list[str]:
+    """The partitions of a table as their directories are named: ``day=2026-01-01/kind=x``."""
+    return [row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def partition_spec(name: str) -> str:
+    """The ``PARTITION (…)`` clause of a partition directory's name."""
+    parts = [tuple(map(unquote, part.split("=", 1))) for part in name.split("/")]
+    values = [f"{quote(k)} = {'NULL' if v == _NULL_PARTITION else literal(v)}" for k, v in parts]
+    return f"PARTITION ({', '.join(values)})"

@@ -17,7 +17,9 @@ from tablesync.operators.dedup import SEQUENCE, dedup_last
 from tablesync.operators.merge import merge_frame, merge_into, missing_names
 from tablesync.session import scratch_dir, wide_shuffles
 from tablesync.sinks import files
-from tablesync.sinks.target import Target, aligned, create_file_table, find_target, publish
+from tablesync.sinks.target import (
+    Target, aligned, create_file_table, find_target, partition_names, partition_spec, publish,
+)
 from tablesync.sources.names import EntityName, literal, quote
 from tablesync.sources.read import current_name, prune
 
@@ -356,28 +358,49 @@ class StagedWrite:
         return rows, count
 
     def _merge_partitions(self, target: Target) -> tuple[int, int]:
-        """Read and overwrite only the partitions the source has rows in.
+        """Read and rewrite only the partitions the source has rows in.
 
         Partition columns are keys, so no row outside of those partitions can match, and no row moves.
         """
         outside = missing_names(target.partitions, self.keys)
         if outside:
-            raise SyncError(f"{self.output}: to merge into {self.name}, partition column(s) {', '.join(map(repr, outside))} must be keys")
+            missing = ", ".join(map(repr, outside))
+            raise SyncError(f"{self.output}: to merge into {self.name}, partition column(s) {missing} must be keys")
+        if target.provider != "parquet" or target.bucketed:
+            raise SyncError(f"{self.output}: {self.name} is not an unbucketed Parquet table, which merge needs")
         stage = scratch_dir(self.spark, "stage")
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
         try:
             source, keys, rows, count, small = self._staged_source(stage)
             if rows:
-                touched = _partition_rows(self.current, source.select([F.col(quote(c)) for c in target.partitions]).distinct())
-                merged = aligned(merge_frame(touched, source, keys, small_source=small), self.into)
-                self.spark.conf.set(mode, "dynamic")
-                _by_partition(merged, target).write.insertInto(self.name.quoted, overwrite=True)
+                partitions = source.select([F.col(quote(c)) for c in target.partitions]).distinct()
+                touched = _partition_rows(self.current, partitions)
+                self._swap_partitions(target, merge_frame(touched, source, keys, small_source=small))
         finally:
-            self.spark.conf.set(mode, before)
             files.remove(self.spark, stage)
         return rows, count
 
+    def _swap_partitions(self, target: Target, frame: DataFrame) -> None:
+        """Write the partitions anew, beside the table, then point the catalog at each.
+
+        Nothing is deleted or overwritten: whenever this stops, each partition is whole, old or new.
+        """
+        path = f"{target.location.rstrip('/')}-{uuid.uuid4().hex[:16]}"
+        table = f"`spark_catalog`.`default`.`sync_stage_{uuid.uuid4().hex}`"
+        create_file_table(self.spark, table, self.into, path, self.max_records, target.partitions)
+        try:
+            _by_partition(aligned(frame, self.into), target).write.insertInto(table)
+            fresh = partition_names(self.spark, table)
+        except BaseException:
+            files.remove(self.spark, path)
+            raise
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        known = set(partition_names(self.spark, self.name.quoted))
+        for name in fresh:
+            change = f"{partition_spec(name)} SET" if name in known else f"ADD {partition_spec(name)}"
+            self.spark.sql(f"ALTER TABLE {self.name.quoted} {change} LOCATION {literal(f'{path}/{name}')}")
+        self.spark.catalog.refreshTable(self.name.quoted)
+
     # -- tables whose format has its own atomic writes --------------------------------------------
 
     def _append_v2(self, target: Target) -> tuple[int, None]:

@@ -382,9 +382,45 @@ def test_merge_rewrites_only_the_partitions_it_touches(spark, name, many, monkey
     )
     after = {r["f"] for r in spark.table(name).select(F.col("_metadata.file_path").alias("f")).collect()}
     assert len(before & after) == 2  # the partitions of rows 1 and 4
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     merge(frame(spark, ddl=ddl), name, ["day", "kind", "id"], ["v"])
-    assert len(rows(spark, name)) == 5
+    odd = "a b/c%='x\\"
+    for value in ("p", "q"):
+        merge(frame(spark, (5, value, days[0], odd), ddl=ddl), name, ["day", "kind", "id"], ["v"])
+    append(frame(spark, (6, "r", days[0], odd), (3, "C", days[2], None), ddl=ddl), name)
+    got = rows(spark, name)
+    assert len(got) == 8 and (5, "q", days[0], odd) in got and (6, "r", days[0], odd) in got
+    merge(frame(spark, (3, "D", days[2], None), ddl=ddl), name, ["day", "kind", "id"], ["v"])
+    assert rows(spark, name).count((3, "D", days[2], None)) == 2
+
+
+@pytest.mark.parametrize("when", ["landing", "swapping"])
+def test_a_broken_partition_merge_loses_nothing(spark, name, when, monkeypatch):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, v STRING, day INT) USING parquet PARTITIONED BY (day)")
+    ddl = "id BIGINT, v STRING, day INT"
+    old = [(1, "a", 5), (2, "b", 5), (3, "c", 6), (4, "d", 6)]
+    append(frame(spark, *old, ddl=ddl), name)
+    source = frame(spark, (1, "A", 5), (3, "C", 6), ddl=ddl)
+    if when == "landing":
+        broken = source.withColumn("v", F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))).otherwise(F.col("v")))
+        with pytest.raises(Exception, match="boom"):
+            merge(broken, name, ["day", "id"], ["v"])
+        assert rows(spark, name) == old
+    else:
+        real, calls = sinks.partition_spec, []
+
+        def once(partition):
+            calls.append(partition)
+            if len(calls) == 2:
+                raise OSError("driver lost")
+            return real(partition)
+
+        monkeypatch.setattr(sinks, "partition_spec", once)
+        with pytest.raises(OSError, match="driver lost"):
+            merge(source, name, ["day", "id"], ["v"])
+        monkeypatch.setattr(sinks, "partition_spec", real)
+        assert len(rows(spark, name)) == 4
+    merge(source, name, ["day", "id"], ["v"])
+    assert rows(spark, name) == [(1, "A", 5), (2, "b", 5), (3, "C", 6), (4, "d", 6)]
 
 
 def test_the_touched_partitions_prune_the_scan(spark, name):
