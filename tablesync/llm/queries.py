@@ -1,8 +1,10 @@
 """The registered queries of this subpackage, and the SQL that gives the same rows where SQL can."""
 
+from tablesync.llm.license_scan import op1_license_scan
+from tablesync.llm.packing import op10_best_fit_packing
 from tablesync.llm.quality_gbt import op8_quality_gbt
 from tablesync.llm.quality_rules import op3_quality_rules
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op8_quality_gbt)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op3_quality_rules, op8_quality_gbt, op10_best_fit_packing)}
 
 ORACLES: dict[str, str] = {}
