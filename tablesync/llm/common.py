@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,6 +76,19 @@ def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(parts)) == 0)
 
 
+def broadcast_object(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Send an object of this package to the workers once; what is returned gives it back there."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get():
+        state = worker_state()
+        if state.get("broadcast") is None or state["broadcast"][0] != data.value:
+            state["broadcast"] = data.value, cloudpickle.loads(data.value)
+        return state["broadcast"][1]
+
+    return get
+
+
 def worker_state() -> dict:
     """A dictionary that outlives a task where Python workers are reused; for caches only."""
     name = "tablesync_worker_state"
