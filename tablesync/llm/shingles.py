@@ -15,12 +15,12 @@ def word_hashes(text: str | None, lower: bool = False) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+def run_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     """A hash of each run of ``size`` consecutive words; empty if there are fewer."""
     n = len(hashes) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    out = np.full(n, size, np.uint64)
+    out = np.full(n, size + (seed << 32), np.uint64)
     for j in range(size):
         out = (out ^ (out >> np.uint64(29))) * _MIX + hashes[j : j + n]
     out = (out ^ (out >> np.uint64(32))) * _MIX
