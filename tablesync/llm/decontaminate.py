@@ -186,16 +186,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of ``docs`` that hold no item of ``benchmark``, with all their columns; no shuffle."""
-    import pandas as pd
-
     for items in item_blocks(load(spark, sf_dir, "benchmark")):
-        shared = broadcast_object(spark, items)
+        docs = docs.where(_clean(broadcast_object(spark, items))(F.col("text").cast("string")))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def clean(text: pd.Series, shared=shared) -> pd.Series:
-            values = [None if t is None else str(t) for t in text]
-            hit = {i + f[0] for i in range(0, len(values), 1000) for f in shared().find(values[i : i + 1000])}
-            return pd.Series([i not in hit for i in range(len(values))], dtype=bool)
 
-        docs = docs.where(clean(F.col("text").cast("string")))
-    return docs
+def _clean(shared):
+    @F.pandas_udf("boolean")
+    def clean(text):
+        import pandas as pd
+
+        values = [None if t is None else str(t) for t in text]
+        hit = {i + f[0] for i in range(0, len(values), 1000) for f in shared().find(values[i : i + 1000])}
+        return pd.Series([i not in hit for i in range(len(values))], dtype=bool)
+
+    return clean
