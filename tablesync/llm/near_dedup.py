@@ -23,7 +23,7 @@ PERCENT = 85
 #: 32 bands of 5 minima: a pair at the threshold of 0.85 shares none with probability 7e-9 (at 0.8: 3e-6).
 BANDS, ROWS = 32, 5
 #: Members of a bucket that are compared with its others in one round after the first.
-PIVOTS = 8
+PIVOTS = 128
 #: Standard deviations of the signature distance that a pair at the threshold may be off and still be checked.
 SIGMAS = 6.0
 
@@ -89,7 +89,7 @@ def checked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
     other = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return pairs.join(other, "v").join(one, "u").where(100 * both >= percent * (F.size("a") + F.size("b") - both)).select("u", "v")
+    return pairs.join(other, "v").join(one, "u").where(100 * both >= percent * (F.size("a") + F.size("b") - both)).select(*pairs.columns)
 
 
 def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -108,38 +108,39 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
     signatures = classes.select(F.col("rep").alias("doc_id"), "signature")
     members = staged(banded.join(shared.select("bucket", "first"), "bucket").join(signatures, "doc_id"), "near-members")
-    edges = staged(copies, "near-links")
+    edges = copies
     far = _farthest(percent)
 
-    def near(pairs: DataFrame) -> DataFrame:
+    def near(pairs: DataFrame, *more: str) -> DataFrame:
         close = pairs.where(F.col("u") != F.col("v")).where(_distance("su", "sv") <= far)
-        return staged(close.select("u", "v").distinct(), "near-pairs")
+        return staged(close.select("u", "v", *more).distinct(), "near-pairs")
 
     su, sv = F.col("signature").alias("su"), F.col("signature").alias("sv")
     firsts = members.where("doc_id = first").select("bucket", F.col("doc_id").alias("u"), su).dropDuplicates(["bucket"])
     pairs = near(members.select("bucket", F.col("doc_id").alias("v"), sv).join(firsts, "bucket"))
-    edges = staged(edges.union(checked(pairs, docs, percent)), "near-links")
+    label = connected_components(edges.union(checked(pairs, docs, percent)))
     done = firsts.select("bucket", F.col("u").alias("doc_id"))
     while True:
-        component = connected_components(edges)
-        placed = members.join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        placed = members.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
             "component", F.coalesce("component", "doc_id")
         )
         spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        still = staged(placed.join(spread.select("bucket"), "bucket", "left_semi"), "near-open")
+        still = staged(placed.join(spread.select("bucket"), "bucket"), "near-open")
         waiting = still.join(done, ["bucket", "doc_id"], "left_anti")
-        pivot = waiting.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(PIVOTS))).agg(
+        pivot = staged(waiting.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(PIVOTS))).agg(
             F.min_by(F.struct("doc_id", "component", "signature"), "doc_id").alias("p")
-        ).select("bucket", "p.*")
-        pivot = staged(pivot, "near-pivots")
+        ).select("bucket", "p.*"), "near-pivots")
         if pivot.isEmpty():
-            return component
+            return label
         chosen = pivot.select("bucket", F.col("doc_id").alias("u"), F.col("component").alias("cu"), su)
-        pairs = near(
-            still.select("bucket", F.col("doc_id").alias("v"), F.col("component").alias("cv"), sv).join(chosen, "bucket").where("cu <> cv")
-        )
+        others = still.select("bucket", F.col("doc_id").alias("v"), F.col("component").alias("cv"), sv)
+        pairs = near(others.join(chosen, "bucket").where("cu <> cv"), "cu", "cv")
         if not pairs.isEmpty():
-            edges = staged(edges.union(checked(pairs, docs, percent)), "near-links")
+            # Links between components, not documents: few, and their components are new names of the old ones.
+            joined = checked(pairs, docs, percent).select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+            moved = connected_components(joined)
+            to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+            label = staged(label.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component")).union(moved), "near-labels")
         done = staged(done.union(pivot.select("bucket", "doc_id")), "near-done")
 
 

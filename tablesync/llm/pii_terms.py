@@ -138,7 +138,7 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.split_part(s["kind"], F.lit("-"), F.lit(1)), s["start"], s["end"])), ",")
 
 
-def sanitised(found: DataFrame) -> Column:
+def sanitised() -> Column:
     """The text with every span replaced: ``[EMAIL]`` and so on, ``[TERM]``, or nothing for a removed term."""
     return F.expr("""
         CASE WHEN size(__spans) = 0 THEN __text ELSE aggregate(__spans, named_struct('at', 0, 'out', ''),
@@ -163,7 +163,7 @@ def op4_pii_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows of ``docs`` with personal data and disclosing terms replaced in ``text``; a null text stays null."""
     found = find_private(docs)
-    clean = F.when(F.col("text").isNotNull(), sanitised(found))
+    clean = F.when(F.col("text").isNotNull(), sanitised())
     changed = found.withColumn("text", clean)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
