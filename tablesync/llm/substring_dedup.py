@@ -3,7 +3,7 @@
 Every window of 20 words has one anchor, the rightmost least hash of its runs of 6 words, wherever the window
 stands. Documents meet on anchors; an anchor is extended both ways to all words that a window around it can have. If the
 extended stretch stands elsewhere too, all windows of the anchor repeat at once; where an anchor is met again with other
-neighbours, which is so at the ends of a repeat, its windows are compared one by one. What repeats an earlier place, in
+neighbours, which is so at the ends of a repeat, the windows of the first place of each stretch are compared one by one. What repeats an earlier place, in
 maximal stretches, is removed.
 
 No pairs are made: a stretch or window is looked up once in the first place of its 128-bit key, so that a passage in a
@@ -59,9 +59,6 @@ class Filter:
     def __init__(self, words: np.ndarray):
         self.words = words
 
-    def __contains__(self, _):
-        raise TypeError("use has()")
-
     def has(self, hashes: np.ndarray) -> np.ndarray:
         mask = np.uint64(len(self.words) - 1)
         one = self.words[hashes & mask] >> (hashes >> np.uint64(58))
@@ -72,7 +69,7 @@ class Filter:
 def build_filter(hashes: DataFrame, count: int) -> Filter:
     """Of a column ``h`` of distinct hashes; summed up by Spark, at most :data:`FILTER_WORDS` words reach the driver."""
     size = 1 << 10
-    while size < FILTER_WORDS and size * 8 < count:
+    while size < FILTER_WORDS and size * 3 < count:
         size *= 2
     h = F.col("h")
     place = lambda shift: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(size - 1))
@@ -107,36 +104,76 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
     def extend(doc_id, text_key, text):
-        out = {k: [] for k in ("k1", "k2", "doc_id", "text_key", "lo", "hi")}
-
-        def add(i, *columns):
-            for k, v in zip(("k1", "k2", "lo", "hi"), columns):
-                out[k].append(v)
-            out["doc_id"] += [doc_id[i]] * len(columns[0])
-            out["text_key"] += [text_key[i]] * len(columns[0])
-
+        out = _Columns("k1", "k2", "uid", "lo", "hi", "varied")
         met, varied = filters()
+        for i, t in enumerate(text):
+            h, stretch, first, last = anchors(word_hashes(t), window)
+            at = np.flatnonzero(met.has(h)) if len(h) else []
+            if len(at):
+                uid = _place(h, stretch, doc_id[i], first)
+                out.add(doc_id[i], text_key[i], h[at], stretch[at], uid[at], first[at], last[at] + window, varied.has(h[at]))
+        return out.arrays()
+
+    schema = "k1 bigint, k2 bigint, uid bigint, lo bigint, hi bigint, varied boolean, doc_id bigint, text_key bigint"
+    stretches = staged(map_batches(source, schema, extend), "repeat-stretches")
+    firsts = stretches.groupBy("k1", "k2").agg(
+        F.min(F.struct("doc_id", "lo", "uid")).alias("first"), F.count("*").alias("n"), F.bool_or("varied").alias("varied")
+    )
+    chosen = staged(firsts.where("varied").select(F.col("first.uid").alias("h")), "repeat-firsts")
+    windowed = broadcast_object(docs.sparkSession, build_filter(chosen, chosen.count()))
+
+    def single(doc_id, text_key, text):
+        out = _Columns("k1", "k2", "lo", "hi")
+        wanted = windowed()
         for i, t in enumerate(text):
             hashes = word_hashes(t)
             h, stretch, first, last = anchors(hashes, window)
-            if not len(h):
-                continue
-            again = met.has(h)
-            add(i, h[again], stretch[again], first[again], last[again] + window)
-            each = np.repeat(varied.has(h), last - first + 1)  # windows of an anchor follow one another
-            if each.any():
-                at = np.flatnonzero(each)
-                add(i, run_hashes(hashes, window, 1)[at], run_hashes(hashes, window, 2)[at], at, at + window)
-        join = lambda k: np.concatenate(out[k]).astype(out[k][0].dtype) if out[k] else np.zeros(0, np.int64)
-        return out | {k: join(k).view(np.int64) for k in ("k1", "k2", "lo", "hi")}
-
-    schema = "k1 bigint, k2 bigint, doc_id bigint, text_key bigint, lo bigint, hi bigint"
-    units = staged(map_batches(source, schema, extend), "repeat-units")
-    firsts = units.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "lo")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = units.join(firsts, ["k1", "k2"]).where(F.struct("doc_id", "lo") > F.col("first"))
+            each = np.repeat(wanted.has(_place(h, stretch, doc_id[i], first)), last - first + 1) if len(h) else np.zeros(0, bool)
+            at = np.flatnonzero(each)  # windows of an anchor follow one another
+            if len(at):
+                out.add(doc_id[i], text_key[i], run_hashes(hashes, window, 1)[at], run_hashes(hashes, window, 2)[at], at, at + window)
+        return out.arrays()
+
+    schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, doc_id bigint, text_key bigint"
+    windows = staged(map_batches(source, schema, single), "repeat-windows")
+    later = _later(stretches).union(_later(windows))
     return later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("repeats"))
 
 
+def _later(units: DataFrame) -> DataFrame:
+    """The units that repeat an earlier one with their key."""
+    firsts = units.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "lo")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    found = units.join(firsts, ["k1", "k2"]).where(F.struct("doc_id", "lo") > F.col("first"))
+    return found.select("doc_id", "text_key", "lo", "hi")
+
+
+def _place(h: np.ndarray, stretch: np.ndarray, doc_id: int | None, first: np.ndarray) -> np.ndarray:
+    """One hash of an anchor, its stretch and where it stands."""
+    out = h ^ (stretch * np.uint64(0xD6E8FEB86659FD93)) ^ np.uint64((doc_id or 0) & 0xFFFFFFFFFFFFFFFF)
+    for more in (first.view(np.uint64), np.uint64(0)):
+        out = (out ^ (out >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + more
+    return out ^ (out >> np.uint64(29))
+
+
+class _Columns:
+    def __init__(self, *names: str):
+        self.names = names
+        self.parts: dict[str, list] = {k: [] for k in (*names, "doc_id", "text_key")}
+
+    def add(self, doc_id, text_key, *columns: np.ndarray) -> None:
+        for k, v in zip(self.names, columns):
+            self.parts[k].append(v)
+        self.parts["doc_id"] += [doc_id] * len(columns[0])
+        self.parts["text_key"] += [text_key] * len(columns[0])
+
+    def arrays(self) -> dict[str, object]:
+        out = dict(self.parts)
+        for k in self.names:
+            joined = np.concatenate(self.parts[k]) if self.parts[k] else np.zeros(0, np.int64)
+            out[k] = joined.view(np.int64) if joined.dtype == np.uint64 else joined
+        return out
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, kept_text, repeats`` per row of ``docs`` (``doc_id``, ``text``).
 
