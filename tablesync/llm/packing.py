@@ -29,7 +29,7 @@ BLOCK_PIECES = 8192
 #: Steps of one branch and bound before its incumbent is taken.
 NODES = 400
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 
 # What the tokenizer file makes of a text before its merges: lower case, white space dropped, these pieces apart.
 _SPACE = regex.compile(r"\s+")
@@ -61,16 +61,24 @@ class WordTokenizer:
             self.words = {}
         known = self.words
         missing = sorted({w for words in split for w in words if w not in known})
-        for i in range(0, len(missing), 1000):
-            part = missing[i : i + 1000]
-            for word, ids in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[word] = np.array(ids.ids, "<u4").tobytes()
+        for i in range(0, len(missing), 5000):
+            part = missing[i : i + 5000]
+            known.update(zip(part, self.word_ids(part)))
         get = known.__getitem__
         return [
             b"".join(map(get, words)) if ok else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             for words, ok, text in zip(split, plain, texts)
         ]
 
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word: all words as one text, which is cut where the tokenizer cut it."""
+        whole = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids, word = np.array(whole.ids, "<u4"), np.array(whole.word_ids, np.int64)
+        cuts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])).tolist()
+        if len(cuts) - 1 != len(words):  # a word that is not one piece alone
+            return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
     @staticmethod
     def lower(text: str) -> str:
         # The tokenizer lowers character by character; Python knows a final sigma, which depends on its neighbours.
