@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tablesync.errors import SyncError
 from tablesync.functions.nested import to_json_text
 from tablesync.functions.types import is_nested
-from tablesync.session import ensure_checkpoint_dir
+from tablesync.session import ensure_checkpoint_dir, shuffle_partitions
 from tablesync.sources.names import quote
 
 SEQUENCE = "_sync_seq"
@@ -113,11 +113,15 @@ def with_sequence(
         raise SyncError("with_sequence needs at least one ordering column")
     ensure_checkpoint_dir(df.sparkSession)
     part, row, offset = "_sync_part", _ROW, "_sync_offset"
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = [*[_comparable(f) for f in _ordered(df.schema.fields, order_by)], F.col(row)]
+    numbered = df.withColumn(row, F.monotonically_increasing_id()).checkpoint()
+    if ranges is None:
+        texts = [F.octet_length(F.col(quote(f.name))) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+        size = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 * (1 + len(df.columns)))).cast("bigint")
+        held = numbered.agg(F.sum(size)).first()[0] or 0
+        ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), shuffle_partitions(held))
     ranged = (
-        df.withColumn(row, F.monotonically_increasing_id())
-        .checkpoint()
+        numbered
         .repartitionByRange(ranges, *ordered)
         .sortWithinPartitions(*ordered)
         .drop(row)
@@ -126,7 +130,12 @@ def with_sequence(
         .checkpoint()
     )
     # One row per range: the window and the broadcast are bounded by the number of shuffle partitions.
-    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("_sync_count"))
+    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("_sync_count")).withColumn(
+        "_sync_count",
+        F.when(F.col("_sync_count") <= F.lit(1 << 33), F.col("_sync_count")).otherwise(
+            F.raise_error(F.lit("a range has more than 2^33 rows: name more ranges")).cast("bigint")
+        ),
+    )
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(part, F.coalesce(F.sum("_sync_count").over(before), F.lit(0)).alias(offset))
     return (

@@ -102,6 +102,19 @@ def sink_merge_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return target.read()
 
 
+@register(
+    "SELECT user_id, CAST(ts AS DATE) AS day, event_id FROM events "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
+)
+def sink_merge_order_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps merged into a DATE column: the last event of a user is that with the last time, not the last day."""
+    events = load(spark, sf_dir, "events").select("user_id", F.col("ts").alias("day"), "event_id")
+    with ScratchTarget(spark) as target:
+        append(events.select("user_id", F.to_date("day").alias("day"), "event_id").limit(0), target.name, **target.settings)
+        merge(events, target.name, ["user_id"], ["day"])
+        return target.read()
+
+
 @register(last("(SELECT user_id, event_id, ts, value, CAST(ts AS DATE) AS day FROM events)", "day, user_id", "ts DESC, event_id DESC"))
 def sink_merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last event per user and day, merged into a table by day: the second increment rewrites only its days."""

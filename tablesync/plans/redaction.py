@@ -10,7 +10,7 @@ from tablesync.plans.base import load, register
 
 
 def _masked_sql(text: str) -> str:
-    """The oracle's chain of the same five rules, in RE2 spelling."""
+    """The oracle's chain of the same five rules, in RE2 spelling: fixed values, as in :data:`PATTERNS`."""
     rules = [
         (r"(\bAuthorization:)\s+(?:Bearer|Basic)\s+\S+", r"\1 ***"),
         (r'("(?:access_token|client_secret|token)"\s*:\s*")(?:[^"\\]|\\.)*"', r'\1***"'),
@@ -27,7 +27,7 @@ def _masked_sql(text: str) -> str:
 
 
 _LOG_SQL = """CASE event_type
-    WHEN 'click' THEN 'GET authorization: Bearer dapi' || event_id || ' user ' || user_id
+    WHEN 'click' THEN 'GET authorization: Bearer key-' || event_id || ' user ' || user_id
     WHEN 'view' THEN '{"access_token": "a.' || event_id || '\\"x", "token_type": "Bearer"}'
     WHEN 'error' THEN 'POST client_secret=s' || event_id || ';scope=x&TOKEN="' || user_id || ' y" done'
     WHEN 'signup' THEN 'GET https://b.s3.amazonaws.com/a/' || event_id || '?X-Amz-Signature=de&X-Amz-Expires=900 failed'
@@ -40,7 +40,7 @@ def redact_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log line per event, of a shape that goes with its type."""
     kind, event, user = F.col("event_type"), F.col("event_id"), F.col("user_id")
     line = (
-        F.when(kind == "click", F.concat(F.lit("GET authorization: Bearer dapi"), event, F.lit(" user "), user))
+        F.when(kind == "click", F.concat(F.lit("GET authorization: Bearer key-"), event, F.lit(" user "), user))
         .when(kind == "view", F.concat(F.lit('{"access_token": "a.'), event, F.lit('\\"x", "token_type": "Bearer"}')))
         .when(kind == "error", F.concat(F.lit("POST client_secret=s"), event, F.lit(';scope=x&TOKEN="'), user, F.lit(' y" done')))
         .when(
@@ -62,6 +62,23 @@ def redact_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact_text(load(spark, sf_dir, "pages").select("page_id", "html"), "html")
 
 
+_HEAD = "Authorization: Bearer t0 {\"token\": \"u1\"} client_secret=v2; https://a.blob.core.windows.net/w3 https://x.test/y?sig=z4 "
+
+
+@register(
+    f"SELECT 'page' AS kind, page_id AS id, {_masked_sql("'" + _HEAD + "' || html")} AS text FROM pages "
+    f"UNION ALL SELECT 'document', doc_id, {_masked_sql("text || ' " + _HEAD + "'")} FROM documents"
+)
+def redact_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Credentials of every shape put before each page and after each document."""
+    head = F.lit(_HEAD)
+    pages = load(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.concat(head, "html").alias("text"))
+    docs = load(spark, sf_dir, "documents").select(
+        F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.concat("text", F.lit(" "), head).alias("text")
+    )
+    return redact_text(pages.union(docs), "text")
+
+
 # Registered secrets of the example: they contain each other, and one is too short to count.
 SECRETS = ("er", "eau", "eaux", "token", "theresan", "there", "ment", "mentre")
 

@@ -9,9 +9,12 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,19 +94,59 @@ def publish(spark: SparkSession, target: Target, schema: T.StructType, version:
     )
 
 
+def new_version_path(target: Target) -> str:
+    """A new directory beside a file table's first one: the name of a version is replaced, not lengthened."""
+    return f"{_base(target)}-{uuid.uuid4().hex[:16]}"
+
+
+def _base(target: Target) -> str:
+    return re.sub(r"-[0-9a-f]{16}$", "", target.location.rstrip("/"))
+
+
+def stage_table(name: EntityName) -> str:
+    """A name for a table over staged files, in the target's own schema (that of the session for other catalogs)."""
+    schema = name.schema if name.catalog == "spark_catalog" else "default"
+    return f"`spark_catalog`.{quote(schema)}.`sync_stage_{uuid.uuid4().hex}`"
+
+
 def clean_versions(spark: SparkSession, target: Target) -> list[str]:
-    """Remove all but the current version of a published target; returns what was removed.
+    """Remove what no longer belongs to a published target or a file table; returns the directories' names.
 
     Not part of a write: a query that started on an older version may still be reading it.
     """
-    if target.kind != "published" or not target.exists:
-        raise SyncError(f"{target.name} is not a published target")
-    old = [c for c in files.children(spark, target.location) if c not in (target.version, "_stage")]
+    if target.kind not in ("published", "table") or not target.exists:
+        raise SyncError(f"{target.name} is neither a published target nor a file table")
+    if target.kind == "published":
+        folder, old = target.location, [c for c in files.children(spark, target.location) if c not in (target.version, "_stage")]
+    else:
+        folder, _, name = _base(target).rpartition("/")
+        used = {target.location.rstrip("/").rpartition("/")[2]}
+        if target.partitions:
+            used |= {name}  # the table's own directory, in which partitions are that were never merged into
+            places = (partition_location(spark, target.name.quoted, p) for p in partition_names(spark, target.name.quoted))
+            used |= {re.sub(r"^.*/([^/]+)$", r"\1", "/".join(p.rstrip("/").split("/")[: -len(target.partitions)])) for p in places if p}
+        old = [c for c in files.children(spark, folder) if re.fullmatch(re.escape(name) + "(-[0-9a-f]{16})?", c) and c not in used]
     for version in old:
-        files.remove(spark, f"{target.location}/{version}")
+        files.remove(spark, f"{folder}/{version}")
     return old
 
 
+def partition_location(spark: SparkSession, table: str, name: str) -> str | None:
+    """Where one partition of a table lies, or None if there is none of that name."""
+    try:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition_spec(name)}").collect()
+    except AnalysisException as error:
+        if "PARTITIONS_NOT_FOUND" in str(error) or "NoSuchPartition" in str(error):
+            return None
+        raise
+    inside = False
+    for row in rows:
+        inside |= row[0].startswith("# Detailed Partition Information")
+        if inside and row[0] == "Location":
+            return row[1]
+    return None
+
+
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The frame's columns under the schema's names and order; types unchanged, absent ones filled."""
     have = {c.lower(): c for c in df.columns}

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +16,14 @@ from tablesync.operators.merge import merge_frame, merge_into, missing_names
 from tablesync.session import scratch_dir, wide_shuffles
 from tablesync.sinks import files
 from tablesync.sinks.target import (
-    Target, aligned, create_file_table, find_target, partition_names, partition_spec, publish,
+    Target, aligned, create_file_table, find_target, new_version_path, partition_location, partition_names, partition_spec,
+    publish, stage_table,
 )
 from tablesync.sources.names import EntityName, literal, quote
 from tablesync.sources.read import current_name, prune
 
 MODES = ("append", "replace", "merge")
 BROADCAST_BYTES = 64 << 20
-PARTITION_FILTER = 10_000
 _OPTIONS = ("entity",)
 
 
@@ -76,7 +74,7 @@ def _row_bytes(was: T.StructType, now: T.StructType) -> Column | None:
     return size
 
 
-def _land(df: DataFrame, schema: T.StructType, path: str, max_records: int | None = None) -> tuple[int, int | None]:
+def _land(df: DataFrame, schema: T.StructType, path: str, max_records: int | None, name: EntityName) -> tuple[int, int | None]:
     """Write the frame as Parquet in exactly this schema; returns its rows and an upper bound of its size.
 
     Where types differ, the rows go through an INSERT into a table over the directory, so that
@@ -94,7 +92,7 @@ def _land(df: DataFrame, schema: T.StructType, path: str, max_records: int | Non
         options = {"maxRecordsPerFile": max_records} if max_records else {}
         observed.write.options(**options).parquet(path)
     else:
-        table = f"`spark_catalog`.`default`.`sync_stage_{uuid.uuid4().hex}`"
+        table = stage_table(name)
         create_file_table(spark, table, schema, path, max_records)
         try:
             observed.write.insertInto(table)
@@ -111,14 +109,11 @@ def _by_partition(frame: DataFrame, target: Target) -> DataFrame:
 
 
 def _partition_rows(table: DataFrame, partitions: DataFrame) -> DataFrame:
-    """The rows of some table partitions: by a filter that prunes the scan or, for very many, by a semi join."""
-    names = partitions.columns
-    some = partitions.limit(PARTITION_FILTER + 1).collect()
-    if len(some) > PARTITION_FILTER:
-        on = [F.col(f"t.{quote(c)}").eqNullSafe(F.col(f"p.{quote(c)}")) for c in names]
-        return table.alias("t").join(partitions.alias("p"), reduce(and_, on), "left_semi")
-    each = [reduce(and_, [F.col(quote(c)).eqNullSafe(F.lit(row[c]).cast(table.schema[c].dataType)) for c in names]) for row in some]
-    return table.where(reduce(or_, each))
+    """The rows of some table partitions, by one membership test on the partition columns, which prunes the scan."""
+    one = lambda c: f"coalesce(replace(replace(CAST({quote(c)} AS STRING), '~', '~t'), '/', '~s'), '~n')"
+    key = f"concat_ws('/', {', '.join(map(one, partitions.columns))})"
+    values = sorted(r[0] for r in partitions.select(F.expr(key)).distinct().collect())
+    return table.where(f"{key} IN ({', '.join(map(literal, values))})")
 
 
 def _create(spark: SparkSession, target: Target, schema: T.StructType, tag: str) -> Target:
@@ -214,6 +209,7 @@ class StagedWrite:
         # Listed before the target is resolved, so that no batch the merge does not see is among them.
         self.batches = self._batches(target) if target.kind == "published" and self.mode == "merge" else None
         # Resolved once: on a file target this lists every data file. None: a published target to be.
+        self.seen = self._state(target) if target.kind == "table" and self.mode == "merge" and not target.partitions else None
         self.current = self.spark.table(self.name.quoted) if target.exists else None
         self.into = self.schema if self.current is None or self.mode == "replace" else self.current.schema
         lacking = missing_names(self.schema.names, self.into.names)
@@ -233,7 +229,7 @@ class StagedWrite:
         stage = target.stage_dir(self.tag)
         files.remove(self.spark, stage)  # left by a writer that died
         try:
-            rows, _ = _land(self.frame, self.into, stage, self.max_records)
+            rows, _ = _land(self.frame, self.into, stage, self.max_records, self.name)
             count = files.data_files(self.spark, stage)
             files.rename(self.spark, stage, target.batch_dir(self.tag))
             if find_target(self.spark, self.name).version != target.version:
@@ -247,7 +243,7 @@ class StagedWrite:
         version = f"v-{uuid.uuid4().hex[:16]}"
         path = f"{target.location}/{version}"
         try:
-            rows, _ = _land(frame, self.into, f"{path}/{self.tag}", self.max_records)
+            rows, _ = _land(frame, self.into, f"{path}/{self.tag}", self.max_records, self.name)
             count = files.data_files(self.spark, f"{path}/{self.tag}")
             if self.batches is not None and self._batches(target) != self.batches:
                 raise SyncError(f"{self.output}: {self.name} was written by another writer meanwhile; merge again")
@@ -276,10 +272,19 @@ class StagedWrite:
         have = {f.name.lower(): f for f in self.into.fields}
         fields = [have.get(f.name.lower(), f) for f in self.frame.schema.fields]
         staged_schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields])
-        rows, size = _land(self.frame, staged_schema, stage, self.max_records)
         spelled = {f.name.lower(): f.name for f in fields}
         keys = [spelled[k.lower()] for k in self.keys]
-        order = [spelled[c.lower()] for c in self.order_by]
+        # A cast can make different values equal: what decides which row is last keeps its own type as well.
+        own = {
+            f.name.lower(): T.StructField(f"_sync_own_{i}", f.dataType)
+            for i, (f, to) in enumerate(zip(self.frame.schema.fields, fields))
+            if f.dataType != to.dataType and to.name not in keys and not is_nested(f.dataType)
+        }
+        frame = self.frame.withColumns({field.name: F.col(quote(c)) for c, field in own.items()}) if own else self.frame
+        self.staged_schema = staged_schema = T.StructType(staged_schema.fields + list(own.values()))
+        rows, size = _land(frame, staged_schema, stage, self.max_records, self.name)
+        order = [own[c.lower()].name if c.lower() in own else spelled[c.lower()] for c in self.order_by]
+        order += [field.name for field in own.values() if field.name not in order]
         last = dedup_last(self.spark.read.schema(staged_schema).parquet(stage), keys, order)
         source = last.select([F.col(quote(spelled[c.lower()])) for c in self.schema.names])
         small = size is not None and size <= self.broadcast_bytes
@@ -324,10 +329,12 @@ class StagedWrite:
             raise SyncError(
                 f"{self.output}: {self.name} is not an unpartitioned, unbucketed Parquet table, which {self.mode} needs"
             )
-        path = f"{target.location.rstrip('/')}-{uuid.uuid4().hex[:16]}"
+        path = new_version_path(target)
         try:
-            rows, _ = _land(frame, schema, path, self.max_records)
+            rows, _ = _land(frame, schema, path, self.max_records, self.name)
             count = files.data_files(self.spark, path)
+            if self.mode == "merge" and self._state(target) != self.seen:
+                raise SyncError(f"{self.output}: another writer changed {self.name} meanwhile; merge again")
             self.spark.sql(f"ALTER TABLE {self.name.quoted} SET LOCATION {literal(path)}")
         except BaseException:
             if find_target(self.spark, self.name).location == target.location:
@@ -336,6 +343,11 @@ class StagedWrite:
         self.spark.catalog.refreshTable(self.name.quoted)
         return rows, count
 
+    def _state(self, target: Target) -> tuple:
+        """Where an unpartitioned file table is, and its files: what a merge was computed from."""
+        now = find_target(self.spark, self.name)
+        return now.location, sorted(files.children(self.spark, now.location))
+
     def _replace_table(self, target: Target) -> tuple[int, int]:
         if self.current.schema.simpleString() != self.schema.simpleString():
             raise SyncError(
@@ -372,7 +384,8 @@ class StagedWrite:
         try:
             source, keys, rows, count, small = self._staged_source(stage)
             if rows:
-                partitions = source.select([F.col(quote(c)) for c in target.partitions]).distinct()
+                # From the staged rows: partition columns are keys, which the de-duplication does not change.
+                partitions = self.spark.read.schema(self.staged_schema).parquet(stage).select([F.col(quote(c)) for c in target.partitions])
                 touched = _partition_rows(self.current, partitions)
                 self._swap_partitions(target, merge_frame(touched, source, keys, small_source=small))
         finally:
@@ -380,12 +393,14 @@ class StagedWrite:
         return rows, count
 
     def _swap_partitions(self, target: Target, frame: DataFrame) -> None:
-        """Write the partitions anew, beside the table, then point the catalog at each.
+        """Write the partitions anew, beside the table, then point the catalog at them.
 
-        Nothing is deleted or overwritten: whenever this stops, each partition is whole, old or new.
+        New partitions come in one statement, then each changed one in a statement of its own. If one fails, those before are
+        pointed back and the table is as it was. A driver that is lost in between leaves whole partitions, some old and
+        some new, and the directory of the new ones; running the merge again completes it.
         """
-        path = f"{target.location.rstrip('/')}-{uuid.uuid4().hex[:16]}"
-        table = f"`spark_catalog`.`default`.`sync_stage_{uuid.uuid4().hex}`"
+        path = new_version_path(target)
+        table = stage_table(self.name)
         create_file_table(self.spark, table, self.into, path, self.max_records, target.partitions)
         try:
             _by_partition(aligned(frame, self.into), target).write.insertInto(table)
@@ -395,11 +410,26 @@ class StagedWrite:
             raise
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        known = set(partition_names(self.spark, self.name.quoted))
-        for name in fresh:
-            change = f"{partition_spec(name)} SET" if name in known else f"ADD {partition_spec(name)}"
-            self.spark.sql(f"ALTER TABLE {self.name.quoted} {change} LOCATION {literal(f'{path}/{name}')}")
-        self.spark.catalog.refreshTable(self.name.quoted)
+        before = {name: partition_location(self.spark, self.name.quoted, name) for name in fresh}
+        added = [name for name in fresh if before[name] is None]
+        moved: list[str] = []
+        alter = f"ALTER TABLE {self.name.quoted}"
+        try:
+            if added:
+                self.spark.sql(f"{alter} ADD " + " ".join(f"{partition_spec(n)} LOCATION {literal(f'{path}/{n}')}" for n in added))
+            for name in fresh:
+                if before[name] is not None:
+                    moved.append(name)
+                    self.spark.sql(f"{alter} {partition_spec(name)} SET LOCATION {literal(f'{path}/{name}')}")
+        except BaseException:
+            for name in moved:
+                self.spark.sql(f"{alter} {partition_spec(name)} SET LOCATION {literal(before[name])}")
+            if added:
+                self.spark.sql(f"{alter} DROP IF EXISTS " + ", ".join(map(partition_spec, added)))
+            files.remove(self.spark, path)
+            raise
+        finally:
+            self.spark.catalog.refreshTable(self.name.quoted)
 
     # -- tables whose format has its own atomic writes --------------------------------------------
 

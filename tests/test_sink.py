@@ -365,10 +365,7 @@ def test_file_table(spark, name):
         replace(frame(spark, (1,), ddl="id BIGINT"), name)
 
 
-@pytest.mark.parametrize("many", [False, True], ids=["filter", "semi join"])
-def test_merge_rewrites_only_the_partitions_it_touches(spark, name, many, monkeypatch):
-    if many:
-        monkeypatch.setattr(sinks, "PARTITION_FILTER", 1)
+def test_merge_rewrites_only_the_partitions_it_touches(spark, name):
     ddl = "id BIGINT, v STRING, day DATE, kind STRING"
     spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY (day, kind)")
     days = [datetime.date(2026, 1, d) for d in (1, 2, 3)]
@@ -418,11 +415,59 @@ def test_a_broken_partition_merge_loses_nothing(spark, name, when, monkeypatch):
         with pytest.raises(OSError, match="driver lost"):
             merge(source, name, ["day", "id"], ["v"])
         monkeypatch.setattr(sinks, "partition_spec", real)
-        assert len(rows(spark, name)) == 4
+        assert rows(spark, name) == old
     merge(source, name, ["day", "id"], ["v"])
     assert rows(spark, name) == [(1, "A", 5), (2, "b", 5), (3, "C", 6), (4, "d", 6)]
 
 
+@pytest.mark.parametrize("count", [400, 20_000])
+def test_many_touched_partitions_prune_the_scan_too(spark, name, count):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, day INT, kind STRING) USING parquet PARTITIONED BY (day, kind)")
+    append(frame(spark, (1, 5, "a/b"), (2, 6, None), (3, -7, "c"), ddl="id BIGINT, day INT, kind STRING"), name)
+    some = spark.range(count).select(F.col("id").cast("int").alias("day"), F.lit("a/b").alias("kind")).union(frame(spark, (6, None), ddl="day INT, kind STRING"))
+    touched = sinks._partition_rows(spark.table(name), some)
+    assert "PartitionFilters: [" in plan(touched) and "PartitionFilters: []" not in plan(touched)
+    assert sorted(r["id"] for r in touched.collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("kind", ["published", "table"])
+def test_the_last_row_is_chosen_by_the_values_written(spark, name, kind):
+    if kind == "table":
+        spark.sql(f"CREATE TABLE {name} (id BIGINT, d DATE, n INT, v STRING) USING parquet")
+    else:
+        ensure_target(spark, name, frame(spark, ddl="id BIGINT, d DATE, n INT, v STRING").schema)
+    at = lambda h: datetime.datetime(2026, 3, 4, h)
+    source = frame(spark, (1, at(8), 4.9, "z"), (1, at(9), 4.1, "b"), (1, at(9), 4.7, "a"), ddl="id BIGINT, d TIMESTAMP_NTZ, n DOUBLE, v STRING")
+    merge(source, name, ["id"], ["d"])
+    assert rows(spark, name) == [(1, datetime.date(2026, 3, 4), 4, "a")]
+
+
+def test_a_file_table_is_merged_again_and_again(spark, name):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, v STRING) USING parquet")
+    for i in range(17):
+        merge(frame(spark, (1, f"{i:02}"), (i + 2, "x"), ddl="id BIGINT, v STRING"), name, ["id"], ["v"])
+    assert len(rows(spark, name)) == 18 and (1, "16") in rows(spark, name)
+    target = find_target(spark, current_name(spark, name))
+    assert len(clean_versions(spark, target)) == 17 and clean_versions(spark, target) == []
+    assert len(rows(spark, name)) == 18
+
+
+def test_a_table_merge_notices_an_append(spark, name, monkeypatch):
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, v STRING) USING parquet")
+    append(frame(spark, (1, "a"), ddl="id BIGINT, v STRING"), name)
+    real = sinks.merge_frame
+
+    def meanwhile(*args, **more):
+        monkeypatch.setattr(sinks, "merge_frame", real)
+        append(frame(spark, (7, "late"), ddl="id BIGINT, v STRING"), name)
+        return real(*args, **more)
+
+    monkeypatch.setattr(sinks, "merge_frame", meanwhile)
+    with pytest.raises(SyncError, match="meanwhile"):
+        merge(frame(spark, (1, "b"), ddl="id BIGINT, v STRING"), name, ["id"], ["v"])
+    assert rows(spark, name) == [(1, "a"), (7, "late")]
+
+
 def test_the_touched_partitions_prune_the_scan(spark, name):
     spark.sql(f"CREATE TABLE {name} (id BIGINT, day INT) USING parquet PARTITIONED BY (day)")
     append(frame(spark, (1, 5), (2, 6), (3, 7), ddl="id BIGINT, day INT"), name)
