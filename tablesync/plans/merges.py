@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.operators.dedup import dedup_last, with_sequence
-from tablesync.operators.merge import merge_frame, merge_preview
+from tablesync.operators.merge import merge_frame, merge_preview, missing_columns
 from tablesync.plans.base import load, path, register
 from tablesync.sources.read import Window, read_path
 
@@ -35,6 +35,24 @@ def dedup_last_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_last(load(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 
 
+@register(last("events", "user_id", "ts DESC, event_id DESC"))
+def dedup_last_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With ties refused: none here, as the order ends with a unique id."""
+    return dedup_last(load(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], ties="error")
+
+
+_MISSING = ("s_suppkey", "s_name", "s_nationkey")
+
+
+@register(" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS held FROM supplier" for c in _MISSING))
+def missing_columns_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``supplier`` that ``part`` lacks, each with the values that a write would lose."""
+    supplier = load(spark, sf_dir, "supplier").select(*_MISSING)
+    lacking = missing_columns(supplier, load(spark, sf_dir, "part"))
+    held = supplier.agg(F.map_from_arrays(F.array(*map(F.lit, _MISSING)), F.array(*map(F.count, _MISSING))).alias("held"))
+    return lacking.join(held.select(F.explode("held").alias("name", "held")), "name")
+
+
 _NULL_KEY = """(SELECT event_id, ts, CASE WHEN event_type <> 'view' THEN user_id END AS user_id, value FROM events)"""
 
 

@@ -39,7 +39,7 @@ def check_write(
     if mode not in MODES:
         raise SyncError(f"{output}: write mode '{mode}' is not supported; use append, replace or merge")
     if schema_policy != "fail_on_change":
-        raise SyncError(f"{output}: schema policy '{schema_policy}' is not supported; align the target by hand")
+        raise SyncError(f"{output}: no schema policy '{schema_policy}' here: change the target's columns yourself")
     if mode == "merge":
         if not keys:
             raise SyncError(f"{output}: merge needs at least one key")
@@ -56,7 +56,7 @@ def check_write(
         if unknown:
             raise SyncError(f"{output}: ordering column(s) {', '.join(map(repr, unknown))} not in the frame")
     if any(c.lower() == SEQUENCE for c in df.columns) and SEQUENCE not in order_by:
-        raise SyncError(f"{output}: column '{SEQUENCE}' is reserved for row ordering and cannot be written")
+        raise SyncError(f"{output}: the name '{SEQUENCE}' belongs to the row sequence; rename the column")
 
 
 def _row_bytes(was: T.StructType, now: T.StructType) -> Column | None:
@@ -162,7 +162,7 @@ class StagedWrite:
     ):
         options = dict(options or {})
         check_write(df, output, mode, keys, order_by, schema_policy)
-        errors = [f"unknown output option '{key}'; known options: {', '.join(_OPTIONS)}" for key in options if key not in _OPTIONS]
+        errors = [f"no output option is called '{key}' (there are {', '.join(_OPTIONS)})" for key in options if key not in _OPTIONS]
         try:
             self.name = current_name(df.sparkSession, options.get("entity") or output, catalog, schema)
         except SyncError as error:
@@ -173,7 +173,7 @@ class StagedWrite:
         self.output, self.mode, self.keys, self.order_by = output, mode, list(keys), list(order_by)
         written = list(columns) if columns else [c for c in df.columns if c != SEQUENCE]
         if any(c.lower() == SEQUENCE for c in written):
-            raise SyncError(f"{output}: column '{SEQUENCE}' is reserved for row ordering and cannot be written")
+            raise SyncError(f"{output}: the name '{SEQUENCE}' belongs to the row sequence; rename the column")
         lost = [k for k in self.keys if k not in written]
         if lost:
             raise SyncError(f"{output}: merge key(s) {', '.join(map(repr, lost))} not among the written columns")
@@ -351,8 +351,8 @@ class StagedWrite:
     def _replace_table(self, target: Target) -> tuple[int, int]:
         if self.current.schema.simpleString() != self.schema.simpleString():
             raise SyncError(
-                f"{self.output}: {self.name} is a file table, whose schema and data cannot change in one step; "
-                "drop it and let the sink recreate it"
+                f"{self.output}: {self.name} is a file table: its columns and rows are not replaced together; "
+                "remove the table first"
             )
         return self._swap_location(target, self.frame, self.current.schema)
 

@@ -60,10 +60,11 @@ def test_a_column_the_target_lacks_is_refused(spark, name, mode):
 
 
 def test_replace_then_merge(spark, name):
-    replace(frame(spark, (1, "a"), (2, "b")), name)
-    replace(frame(spark, (3, "c")), name)
-    merge(frame(spark, (3, "changed"), (4, "d")), name, ["id"], ["name"])
-    assert rows(spark, name) == [(3, "changed"), (4, "d")]
+    replace(frame(spark, (11, "oak"), (12, "elm"), (13, "ash")), name)
+    merge(frame(spark, (12, "fir"), (14, "yew")), name, ["id"], ["name"])
+    replace(frame(spark, (20, "box"), (21, "may")), name)
+    merge(frame(spark, (21, "bay"), (22, "fig"), (21, "asp")), name, ["id"], ["name"])
+    assert rows(spark, name) == [(20, "box"), (21, "bay"), (22, "fig")]
 
 
 def test_merge_into_a_missing_target_keeps_the_last_row(spark, name):
@@ -126,20 +127,18 @@ def test_ensure_target(spark, name):
 
 def test_exact_values(spark, name):
     ddl = "id BIGINT, amount DECIMAL(38,9), ts TIMESTAMP, ntz TIMESTAMP_NTZ, name STRING"
-    at = datetime.datetime(2026, 9, 10, 1, 2, 3, 7)
+    at = datetime.datetime(2025, 2, 28, 23, 59, 58, 31)
 
     def row(i, amount, text=None):
         return (i, Decimal(amount), at, at, text)
 
-    append(frame(spark, row(1, "12345678901234567890.123456789"), row(2, "1.5"), ddl=ddl), name)
-    append(frame(spark, row(3, "2.25"), ddl=ddl), name)
+    wide = "-99999999999999999999999999999.000000007"
+    append(frame(spark, row(4, wide), row(5, "0.5"), row(6, "-3"), ddl=ddl), name)
     got = {r["id"]: r for r in read_table(spark, name).collect()}
-    assert got[1]["amount"] == Decimal("12345678901234567890.123456789") and got[3]["amount"] == Decimal("2.25")
-    assert got[1]["ts"] == at and got[1]["ntz"] == at
-    replace(frame(spark, row(9, "0.000000001"), ddl=ddl), name)
-    merge(frame(spark, row(9, "1", "changed"), row(10, "2", "new"), row(10, "3", "newer"), ddl=ddl), name, ["id"], ["amount"])
+    assert got[4]["amount"] == Decimal(wide) and got[4]["ts"] == got[4]["ntz"] == at
+    merge(frame(spark, row(5, "7", "low"), row(5, "70", "high"), row(8, "0.000000001", "tiny"), ddl=ddl), name, ["id"], ["amount"])
     got = {r["id"]: (r["name"], r["amount"]) for r in read_table(spark, name).collect()}
-    assert got == {9: ("changed", Decimal(1)), 10: ("newer", Decimal(3))}
+    assert got == {4: (None, Decimal(wide)), 5: ("high", Decimal(70)), 6: (None, Decimal(-3)), 8: ("tiny", Decimal("0.000000001"))}
     assert dict(read_table(spark, name).dtypes) == {
         "id": "bigint", "amount": "decimal(38,9)", "ts": "timestamp", "ntz": "timestamp_ntz", "name": "string",
     }
@@ -197,9 +196,9 @@ def test_checks_before_any_job(spark, name):
         (lambda: merge(df, name, ["id"], []), "ordering"),
         (lambda: merge(df, name, ["id"], ["gone"]), "'gone'"),
         (lambda: merge(df, name, ["id"], ["id"], columns=["name"]), "'id' not among"),
-        (lambda: append(df.withColumnRenamed("name", "_SYNC_SEQ"), name), "reserved"),
-        (lambda: replace(df.withColumnRenamed("name", SEQUENCE), name), "reserved"),
-        (lambda: merge(df.withColumnRenamed("name", SEQUENCE), name, ["id"], [SEQUENCE], columns=["id", SEQUENCE]), "reserved"),
+        (lambda: append(df.withColumnRenamed("name", "_SYNC_SEQ"), name), "row sequence"),
+        (lambda: replace(df.withColumnRenamed("name", SEQUENCE), name), "row sequence"),
+        (lambda: merge(df.withColumnRenamed("name", SEQUENCE), name, ["id"], [SEQUENCE], columns=["id", SEQUENCE]), "row sequence"),
         (lambda: append(df, name, options={"entity": "a..b", "format": "x"}), "'format'.*a..b"),
         (lambda: append(spark.sql("SELECT map(1, 2) AS m"), name), "'m'"),
     ]
@@ -361,7 +360,7 @@ def test_file_table(spark, name):
     assert len(rows(spark, name)) == 5
     replace(frame(spark, (9, "z", 0), ddl="id BIGINT, name STRING, extra INT"), name)
     assert rows(spark, name) == [(9, "z", 0)]
-    with pytest.raises(SyncError, match="cannot change in one step"):
+    with pytest.raises(SyncError, match="not replaced together"):
         replace(frame(spark, (1,), ddl="id BIGINT"), name)
 
 
