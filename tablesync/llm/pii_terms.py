@@ -48,13 +48,15 @@ _HOLDS = {
 _SPAN = "struct<start:int,rank:int,end:int,kind:string,found:string>"
 
 
-def _located(pattern: str) -> str:
-    """SQL: every match in ``__text`` with its place, from the matches and what stands between them."""
+def _located(pattern: str, holds: str) -> str:
+    """SQL: the matches in ``__text`` that hold, each with its place, from the matches and what stands between them.
+
+    Only those are gathered: a long table of numbers has many matches and hardly any card."""
     quoted = pattern.replace("\\", "\\\\")
     return (
         f"aggregate(arrays_zip(regexp_extract_all(__text, '{quoted}', 0), split(__text, '{quoted}', -1)), "
         "named_struct('at', 0, 'out', CAST(array() AS array<struct<start:int,end:int,found:string>>)), "
-        "(s, x) -> named_struct('at', s.at + length(x.`1`) + coalesce(length(x.`0`), 0), 'out', CASE WHEN x.`0` IS NULL THEN s.out ELSE "
+        f"(s, x) -> named_struct('at', s.at + length(x.`1`) + coalesce(length(x.`0`), 0), 'out', CASE WHEN x.`0` IS NULL OR NOT ({holds.replace('x.found', 'x.`0`')}) THEN s.out ELSE "
         "array_append(s.out, named_struct('start', s.at + length(x.`1`), 'end', s.at + length(x.`1`) + length(x.`0`), 'found', x.`0`)) END), "
         "s -> s.out)"
     )
@@ -63,7 +65,7 @@ def _located(pattern: str) -> str:
 def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` (columns of any names) with ``__spans``: the personal data of ``text`` by start, then kind."""
     parts = [
-        f"CASE WHEN {_NEEDS[kind]} THEN transform(filter({_located(_PATTERNS[kind])}, x -> {_HOLDS[kind]}), "
+        f"CASE WHEN {_NEEDS[kind]} THEN transform({_located(_PATTERNS[kind], _HOLDS[kind])}, "
         f"x -> named_struct('start', x.start, 'rank', {rank}, 'end', x.end, 'kind', '{kind}', 'found', x.found)) "
         f"ELSE CAST(array() AS array<{_SPAN}>) END"
         for rank, kind in enumerate(KINDS[:4])
@@ -119,9 +121,9 @@ def _with_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
     held = found.select(F.xxhash64("__text").alias("key"), F.explode(F.array_distinct(_terms(F.col("__text")))).alias("term"))
     held = held.join(terms, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("held"))
     joined = found.withColumn("__key", F.xxhash64("__text")).join(held.withColumnRenamed("key", "__held_key"), F.col("__key") == F.col("__held_key"), "left")
-    sql = _located(TERM)
+    sql = _located(TERM, "map_contains_key(held, lower(x.found))")
     more = (
-        f"CASE WHEN held IS NOT NULL THEN transform(filter({sql}, x -> map_contains_key(held, lower(x.found))), x -> "
+        f"CASE WHEN held IS NOT NULL THEN transform({sql}, x -> "
         "named_struct('start', x.start, 'rank', 4, 'end', x.end, 'kind', concat('term-', held[lower(x.found)]), 'found', x.found)) "
         f"ELSE CAST(array() AS array<{_SPAN}>) END"
     )

@@ -220,7 +220,7 @@ def test_personal_data_runs_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
 
 
-@pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "a.b@" * 20_000, "+1 " * 60_000, "1.2" * 60_000])
+@pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "a.b@" * 8_000, "+1 " * 60_000, "1.2" * 20_000])
 def test_personal_data_of_long_runs(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert pii_terms.with_spans(df).count() == 1 and len(pii_terms.with_spans(df).collect()) == 1
