@@ -1,17 +1,18 @@
 """MinHash near-duplicates (operator 9): many universal hash minima, banding, checked links, connected components.
 
 Texts with the same set of shingles are one class, of which only the smallest id goes on. Classes that agree on a
-band of minima share a bucket. A bucket is not expanded into pairs: its members are compared with its smallest one, and
-while it still holds members of different components, with a few more of them at a time, until every pair that could
-join two components has been compared. Pairs whose one-bit signatures are too far apart are dropped; the
-rest is decided on the full sets.
+band of minima share a bucket. A bucket is not expanded into pairs: its members are compared with its smallest one. Members of
+buckets that still hold different components meet again on rare shingles: two sets that are similar enough share one of the
+first shingles of both in any common order, and with the rarest first, texts that have but a passage in common do not
+meet. There they are compared with a few members at a time, until every pair that could join two components has been. Pairs whose sizes rule a link out, or whose signatures of a few bits a minimum are
+too far apart, are dropped; the rest is decided on the full sets.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import load, map_batches, staged
@@ -23,7 +24,9 @@ PERCENT = 85
 #: 32 bands of 5 minima: a pair at the threshold of 0.85 shares none with probability 7e-9 (at 0.8: 3e-6).
 BANDS, ROWS = 32, 5
 #: Members of a bucket that are compared with its others in one round after the first.
-PIVOTS = 128
+PIVOTS = 1024
+#: Bits of each minimum in a signature; BANDS * ROWS * SIGNATURE_BITS is a multiple of 64.
+SIGNATURE_BITS = 4
 #: Standard deviations of the signature distance that a pair at the threshold may be off and still be checked.
 SIGMAS = 6.0
 
@@ -48,8 +51,8 @@ def sketch(text: str | None) -> dict[str, object]:
     if not len(shingles):
         return {"n_shingles": 0, "set_key": None, "bands": None, "signature": None}
     least = minima(shingles)
-    bits = np.packbits(((least >> np.uint32(13)) & np.uint32(1)).astype(np.uint8))
-    signature = np.frombuffer(bits.tobytes().ljust(-(-len(bits) // 8) * 8, b"\0"), np.int64).tolist()
+    bits = np.unpackbits((least >> np.uint32(8)).astype(np.uint8)[:, None], axis=1, count=SIGNATURE_BITS, bitorder="little")
+    signature = np.packbits(bits).view(np.int64).tolist()
     rows = least.reshape(BANDS, ROWS)
     bands = [xxhash.xxh3_64_intdigest(rows[i].tobytes(), seed=i) - (1 << 63) for i in range(BANDS)]
     return {
@@ -67,38 +70,59 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _distance(a: str, b: str) -> Column:
-    words = -(-BANDS * ROWS // 64)
-    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(words)), F.lit(0))
+    words = BANDS * ROWS * SIGNATURE_BITS // 64
+    return sum((F.bit_count(F.col(a)["bits"][i].bitwiseXOR(F.col(b)["bits"][i])) for i in range(words)), F.lit(0))
 
 
 def _farthest(percent: int) -> float:
     """Signature distance within which nearly all pairs at the threshold lie."""
-    n, p = BANDS * ROWS, (1 - percent / 100) / 2
-    return n * p + SIGMAS * (n * p * (1 - p)) ** 0.5
+    # A minimum differs with probability q, and then half its bits do, give or take.
+    n, q, half = BANDS * ROWS, 1 - percent / 100, SIGNATURE_BITS / 2
+    return n * q * half + SIGMAS * (n * (q * (half / 2 + half**2) - (q * half) ** 2)) ** 0.5
 
 
-def checked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``u``, ``v``) whose full sets are similar enough; ``pairs`` must be stored."""
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
+def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The full shingle sets of the documents ``ids`` (``doc_id``, distinct)."""
 
     def each(doc_id, text):
         return {"doc_id": doc_id, "shingles": [shingle_set(t, SHINGLE).view(np.int64) for t in text]}
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    sets = staged(map_batches(texts, "doc_id bigint, shingles array<bigint>", each), "near-sets")
+    return staged(map_batches(texts, "doc_id bigint, shingles array<bigint>", each), "near-sets")
+
+
+def checked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``u``, ``v``) whose full sets are similar enough; ``pairs`` must be stored."""
+    sets = _sets(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct(), docs)
     one = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
     other = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     return pairs.join(other, "v").join(one, "u").where(100 * both >= percent * (F.size("a") + F.size("b") - both)).select(*pairs.columns)
 
 
+def rare_buckets(ids: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """``bucket, doc_id``: the documents ``ids`` under their rarest shingles that others of them have too.
+
+    Of a set of n, sets that are similar enough hold at least ceil(n * percent / 100), so that one of the first
+    n - ceil(n * percent / 100) + 1 of both, in one order of all shingles, is common to them.
+    """
+    each = _sets(ids, docs).select(
+        "doc_id", F.xxhash64("shingles").alias("set"), F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("bucket")
+    )
+    held = each.join(each.groupBy("bucket").agg(F.count("*").alias("times")), "bucket")
+    rank = F.row_number().over(Window.partitionBy("doc_id", "set").orderBy("times", "bucket"))  # a document at a time
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return held.withColumn("rank", rank).where((F.col("rank") <= first) & (F.col("times") > 1)).select("bucket", "doc_id")
+
+
 def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Components (``node``, ``component``) of the documents of ``sketched``; it must be stored."""
     spark = docs.sparkSession
     rows = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = staged(
         rows.groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
+            F.min("doc_id").alias("rep"), F.first("bands").alias("bands"),
+            F.struct(F.first("n_shingles").alias("size"), F.first("signature").alias("bits")).alias("signature"),
         ), "near-classes",
     )
     copies = rows.select("doc_id", "set_key").join(classes.select("set_key", "rep"), "set_key").where("doc_id <> rep").select(
@@ -112,20 +136,28 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     far = _farthest(percent)
 
     def near(pairs: DataFrame, *more: str) -> DataFrame:
-        close = pairs.where(F.col("u") != F.col("v")).where(_distance("su", "sv") <= far)
+        a, b = F.col("su.size"), F.col("sv.size")
+        alike = pairs.where(F.col("u") != F.col("v")).where(100 * F.least(a, b) >= percent * F.greatest(a, b))
+        close = alike.where(_distance("su", "sv") <= far)
         return staged(close.select("u", "v", *more).distinct(), "near-pairs")
 
     su, sv = F.col("signature").alias("su"), F.col("signature").alias("sv")
     firsts = members.where("doc_id = first").select("bucket", F.col("doc_id").alias("u"), su).dropDuplicates(["bucket"])
     pairs = near(members.select("bucket", F.col("doc_id").alias("v"), sv).join(firsts, "bucket"))
     label = connected_components(edges.union(checked(pairs, docs, percent)))
-    done = firsts.select("bucket", F.col("u").alias("doc_id"))
-    while True:
+
+    def unsettled(members: DataFrame) -> DataFrame:
         placed = members.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
             "component", F.coalesce("component", "doc_id")
         )
         spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        still = staged(placed.join(spread.select("bucket"), "bucket"), "near-open")
+        return staged(placed.join(spread.select("bucket"), "bucket"), "near-open")
+
+    again = unsettled(members).select("doc_id").distinct()
+    members = staged(rare_buckets(again, docs, percent).join(signatures, "doc_id"), "near-members")
+    done = members.select("bucket", "doc_id").limit(0)
+    while True:
+        still = unsettled(members)
         waiting = still.join(done, ["bucket", "doc_id"], "left_anti")
         pivot = staged(waiting.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(PIVOTS))).agg(
             F.min_by(F.struct("doc_id", "component", "signature"), "doc_id").alias("p")
