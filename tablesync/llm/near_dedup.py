@@ -4,7 +4,8 @@ Texts with the same set of shingles are one class, of which only the smallest id
 band of minima share a bucket. A bucket is not expanded into pairs: its members are compared with its smallest one. Members of
 buckets that still hold different components meet again on rare shingles: two sets that are similar enough share one of the
 first shingles of both in any common order, and with the rarest first, texts that have but a passage in common do not
-meet. There they are compared with a few members at a time, until every pair that could join two components has been. Pairs whose sizes rule a link out, or whose signatures of a few bits a minimum are
+meet. There they are compared with a few members at a time, until every pair that could join two components has been. Pairs whose sizes rule a link out, whose parities show
+that too many shingles differ (each differing bit is one at least), or whose signatures of a few bits a minimum are
 too far apart, are dropped; the rest is decided on the full sets.
 """
 
@@ -23,10 +24,13 @@ SHINGLE = 5
 PERCENT = 85
 #: 32 bands of 5 minima: a pair at the threshold of 0.85 shares none with probability 7e-9 (at 0.8: 3e-6).
 BANDS, ROWS = 32, 5
-#: Members of a bucket that are compared with its others in one round after the first.
-PIVOTS = 1024
+#: Members of a bucket at most that are compared with its others in the first round on rare shingles, and by how much
+#: more in each later one.
+PIVOTS, GROWTH = 4096, 8
 #: Bits of each minimum in a signature; BANDS * ROWS * SIGNATURE_BITS is a multiple of 64.
 SIGNATURE_BITS = 4
+#: Bits of a set's parity: how many of its shingles fall on each bit, modulo 2.
+PARITY_BITS = 512
 #: Standard deviations of the signature distance that a pair at the threshold may be off and still be checked.
 SIGMAS = 6.0
 
@@ -49,29 +53,35 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 def sketch(text: str | None) -> dict[str, object]:
     shingles = shingle_set(text, SHINGLE)
     if not len(shingles):
-        return {"n_shingles": 0, "set_key": None, "bands": None, "signature": None}
+        return {"n_shingles": 0, "set_key": None, "bands": None, "signature": None, "parity": None}
     least = minima(shingles)
     bits = np.unpackbits((least >> np.uint32(8)).astype(np.uint8)[:, None], axis=1, count=SIGNATURE_BITS, bitorder="little")
     signature = np.packbits(bits).view(np.int64).tolist()
     rows = least.reshape(BANDS, ROWS)
     bands = [xxhash.xxh3_64_intdigest(rows[i].tobytes(), seed=i) - (1 << 63) for i in range(BANDS)]
     return {
-        "n_shingles": len(shingles), "set_key": xxhash.xxh3_128_digest(shingles.tobytes()), "bands": bands, "signature": signature,
+        "n_shingles": len(shingles), "set_key": xxhash.xxh3_128_digest(shingles.tobytes()), "bands": bands,
+        "signature": signature, "parity": parity(shingles).view(np.int64).tolist(),
     }
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Two sets differ in as many shingles as their parities do in bits, or in more."""
+    falls = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((falls & 1).astype(np.uint8))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     def each(doc_id, text):
         rows = [sketch(t) for t in text]
-        return {"doc_id": doc_id} | {k: [r[k] for r in rows] for k in ("n_shingles", "set_key", "bands", "signature")}
+        return {"doc_id": doc_id} | {k: [r[k] for r in rows] for k in ("n_shingles", "set_key", "bands", "signature", "parity")}
 
-    schema = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, signature array<bigint>"
+    schema = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, signature array<bigint>, parity array<bigint>"
     return map_batches(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), schema, each)
 
 
-def _distance(a: str, b: str) -> Column:
-    words = BANDS * ROWS * SIGNATURE_BITS // 64
-    return sum((F.bit_count(F.col(a)["bits"][i].bitwiseXOR(F.col(b)["bits"][i])) for i in range(words)), F.lit(0))
+def _distance(a: str, b: str, field: str, bits: int) -> Column:
+    return sum((F.bit_count(F.col(a)[field][i].bitwiseXOR(F.col(b)[field][i])) for i in range(bits // 64)), F.lit(0))
 
 
 def _farthest(percent: int) -> float:
@@ -91,22 +101,25 @@ def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return staged(map_batches(texts, "doc_id bigint, shingles array<bigint>", each), "near-sets")
 
 
-def checked(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``u``, ``v``) whose full sets are similar enough; ``pairs`` must be stored."""
-    sets = _sets(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct(), docs)
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
+
+
+def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``u``, ``v``) whose full sets are similar enough; both must be stored."""
     one = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
     other = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     return pairs.join(other, "v").join(one, "u").where(100 * both >= percent * (F.size("a") + F.size("b") - both)).select(*pairs.columns)
 
 
-def rare_buckets(ids: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """``bucket, doc_id``: the documents ``ids`` under their rarest shingles that others of them have too.
+def rare_buckets(sets: DataFrame, percent: int) -> DataFrame:
+    """``bucket, doc_id``: the documents of ``sets`` under their rarest shingles that others of them have too.
 
     Of a set of n, sets that are similar enough hold at least ceil(n * percent / 100), so that one of the first
     n - ceil(n * percent / 100) + 1 of both, in one order of all shingles, is common to them.
     """
-    each = _sets(ids, docs).select(
+    each = sets.select(
         "doc_id", F.xxhash64("shingles").alias("set"), F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("bucket")
     )
     held = each.join(each.groupBy("bucket").agg(F.count("*").alias("times")), "bucket")
@@ -122,7 +135,9 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     classes = staged(
         rows.groupBy("set_key").agg(
             F.min("doc_id").alias("rep"), F.first("bands").alias("bands"),
-            F.struct(F.first("n_shingles").alias("size"), F.first("signature").alias("bits")).alias("signature"),
+            F.struct(
+                F.first("n_shingles").alias("size"), F.first("signature").alias("bits"), F.first("parity").alias("parity")
+            ).alias("signature"),
         ), "near-classes",
     )
     copies = rows.select("doc_id", "set_key").join(classes.select("set_key", "rep"), "set_key").where("doc_id <> rep").select(
@@ -138,13 +153,16 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     def near(pairs: DataFrame, *more: str) -> DataFrame:
         a, b = F.col("su.size"), F.col("sv.size")
         alike = pairs.where(F.col("u") != F.col("v")).where(100 * F.least(a, b) >= percent * F.greatest(a, b))
-        close = alike.where(_distance("su", "sv") <= far)
+        # Of S shingles in both sets together, at most (100 - percent) / (100 + percent) * S may be in one only.
+        close = alike.where((100 + percent) * _distance("su", "sv", "parity", PARITY_BITS) <= (100 - percent) * (a + b)).where(
+            _distance("su", "sv", "bits", BANDS * ROWS * SIGNATURE_BITS) <= far
+        )
         return staged(close.select("u", "v", *more).distinct(), "near-pairs")
 
     su, sv = F.col("signature").alias("su"), F.col("signature").alias("sv")
     firsts = members.where("doc_id = first").select("bucket", F.col("doc_id").alias("u"), su).dropDuplicates(["bucket"])
     pairs = near(members.select("bucket", F.col("doc_id").alias("v"), sv).join(firsts, "bucket"))
-    label = connected_components(edges.union(checked(pairs, docs, percent)))
+    label = connected_components(edges.union(checked(pairs, _sets(_ends(pairs), docs), percent)))
 
     def unsettled(members: DataFrame) -> DataFrame:
         placed = members.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
@@ -153,13 +171,13 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         return staged(placed.join(spread.select("bucket"), "bucket"), "near-open")
 
-    again = unsettled(members).select("doc_id").distinct()
-    members = staged(rare_buckets(again, docs, percent).join(signatures, "doc_id"), "near-members")
-    done = members.select("bucket", "doc_id").limit(0)
+    sets = _sets(unsettled(members).select("doc_id").distinct(), docs)
+    members = staged(rare_buckets(sets, percent).join(signatures, "doc_id"), "near-members")
+    done, slots = members.select("bucket", "doc_id").limit(0), PIVOTS
     while True:
         still = unsettled(members)
         waiting = still.join(done, ["bucket", "doc_id"], "left_anti")
-        pivot = staged(waiting.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(PIVOTS))).agg(
+        pivot = staged(waiting.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(slots))).agg(
             F.min_by(F.struct("doc_id", "component", "signature"), "doc_id").alias("p")
         ).select("bucket", "p.*"), "near-pivots")
         if pivot.isEmpty():
@@ -169,11 +187,11 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         pairs = near(others.join(chosen, "bucket").where("cu <> cv"), "cu", "cv")
         if not pairs.isEmpty():
             # Links between components, not documents: few, and their components are new names of the old ones.
-            joined = checked(pairs, docs, percent).select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+            joined = checked(pairs, sets, percent).select(F.col("cu").alias("u"), F.col("cv").alias("v"))
             moved = connected_components(joined)
             to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
             label = staged(label.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component")).union(moved), "near-labels")
-        done = staged(done.union(pivot.select("bucket", "doc_id")), "near-done")
+        done, slots = staged(done.union(pivot.select("bucket", "doc_id")), "near-done"), slots * GROWTH
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
