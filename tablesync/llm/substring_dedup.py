@@ -34,13 +34,12 @@ def anchors(hashes: np.ndarray, window: int = WINDOW, run: int = RUN) -> tuple[n
     if n < 1:
         return empty.view(np.uint64), empty.view(np.uint64), empty, empty
     runs = run_hashes(hashes, run)
-    least = runs[:n].copy()
-    for j in range(1, span):
-        np.minimum(least, runs[j : j + n], out=least)
-    place = np.zeros(n, np.int64)
-    for j in range(span):
-        place[runs[j : j + n] == least] = j
-    place += np.arange(n)
+    least, place, width = runs, np.arange(len(runs)), 1
+    while width < span:  # the least of two stretches that together make the wider one, the right one on ties
+        step = min(width, span - width)
+        right = least[step:] <= least[:-step]
+        least, place = np.where(right, least[step:], least[:-step]), np.where(right, place[step:], place[:-step])
+        width += step
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     last = np.concatenate([first[1:] - 1, [n - 1]])
     at = place[first]
@@ -48,8 +47,9 @@ def anchors(hashes: np.ndarray, window: int = WINDOW, run: int = RUN) -> tuple[n
     side = window - run
     padded = np.concatenate([np.zeros(side, np.uint64), hashes, np.zeros(side, np.uint64)])
     stretch = np.full(len(at), 77, np.uint64)
-    for j in range(run + 2 * side):
-        stretch = (stretch ^ (stretch >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + padded[at + j]
+    around = run_hashes(padded, run)  # runs that together hold all its words
+    for j in (*range(0, 2 * side, run), 2 * side):
+        stretch = (stretch ^ (stretch >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + around[at + j]
     return runs[at], stretch ^ (stretch >> np.uint64(32)), first, last
 
 
