@@ -95,10 +95,12 @@ def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
     """The full shingle sets of the documents ``ids`` (``doc_id``, distinct)."""
 
     def each(doc_id, text):
-        return {"doc_id": doc_id, "shingles": [shingle_set(t, SHINGLE).view(np.int64) for t in text]}
+        sets = [shingle_set(t, SHINGLE) for t in text]
+        keys = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in sets]
+        return {"doc_id": doc_id, "set": keys, "n": [len(x) for x in sets], "shingles": [x.view(np.int64) for x in sets]}
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    return staged(map_batches(texts, "doc_id bigint, shingles array<bigint>", each), "near-sets")
+    return staged(map_batches(texts, "doc_id bigint, set bigint, n bigint, shingles array<bigint>", each), "near-sets")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -119,9 +121,7 @@ def rare_buckets(sets: DataFrame, percent: int) -> DataFrame:
     Of a set of n, sets that are similar enough hold at least ceil(n * percent / 100), so that one of the first
     n - ceil(n * percent / 100) + 1 of both, in one order of all shingles, is common to them.
     """
-    each = sets.select(
-        "doc_id", F.xxhash64("shingles").alias("set"), F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("bucket")
-    )
+    each = sets.select("doc_id", "set", "n", F.explode("shingles").alias("bucket"))
     held = each.join(each.groupBy("bucket").agg(F.count("*").alias("times")), "bucket")
     rank = F.row_number().over(Window.partitionBy("doc_id", "set").orderBy("times", "bucket"))  # a document at a time
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1

@@ -224,3 +224,17 @@ def test_personal_data_runs_no_python(spark):
 def test_personal_data_of_long_runs(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert pii_terms.with_spans(df).count() == 1 and len(pii_terms.with_spans(df).collect()) == 1
+
+
+def test_parity_never_exceeds_the_difference():
+    import numpy as np
+
+    from tablesync.llm.near_dedup import parity
+
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 3000):
+        a, b = (np.unique(rng.integers(0, 1 << 63, size, np.uint64)) for _ in range(2))
+        b = np.union1d(a[: size // 2], b)
+        bits = int(np.unpackbits(parity(a) ^ parity(b)).sum())
+        assert bits <= len(np.setxor1d(a, b))
+        assert not (parity(a) ^ parity(a[::-1])).any()
