@@ -1,10 +1,11 @@
 """Information-theoretic sanitisation (operator 4), with DataFrame functions only.
 
 Personal data proper (addresses, numbers) is found by pattern. What else gives a person away is measured on the corpus: a
-term that stands beside one protected value again and again, and hardly anywhere else, reveals it. With counts of
-documents, ``PMI(term; value) = log2(N * joint / (n(term) * n(value)))`` is the information that the term gives about the
-value, and ``IC(value) = log2(N / n(value))`` all there is; their ratio is what the term discloses. Terms above one
-threshold are generalised, above a higher one removed, wherever they stand.
+term that stands in the documents of one protected value, and hardly in any other, reveals it. With counts of different
+texts, ``PMI(term; value) = log2(N * joint / (n(term) * n(value)))`` is the information that the term gives about the
+value, and ``IC(value) = log2(N / n(value))`` all there is; their ratio is what the term discloses. ``joint`` is smoothed by
+an absolute discount, one per kind of value: where most pairs meet once, as chance has it, meeting once says little. Terms
+above one threshold are generalised, above a higher one removed, wherever they stand.
 """
 
 from __future__ import annotations
@@ -17,10 +18,6 @@ from tablesync.llm.common import load, staged
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Share of a value's information that a term may give before it is generalised, and before it is removed.
 GENERALISE, REMOVE = 0.8, 0.95
-#: Different contexts that a term and a value must share; one text and its copies are one context.
-SUPPORT = 3
-#: Words on either side of a value that count as beside it, and the characters they are read from.
-NEIGHBOURS, REACH = 5, 120
 #: Terms are runs of three letters or more, lower-cased.
 TERM = r"(?<!\p{L})\p{L}{3,}+"
 
@@ -79,41 +76,66 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
+def _text_key() -> Column:
+    return F.xxhash64("__text")
+
+
 def disclosing_terms(found: DataFrame) -> DataFrame:
     """``term, action`` over the whole corpus; ``found`` is stored and has ``__text`` and ``__spans``.
 
-    Only the neighbours of values are counted in pairs; the corpus is searched for the terms that have support.
+    All counts are of different texts: a text and its copies are one. A term counts anywhere in a text but in its values.
     """
-    beside = found.where("size(__spans) > 0").select("__text", F.explode("__spans").alias("s")).select(
-        F.concat_ws(":", "s.kind", F.lower("s.found")).alias("value"),
-        F.substring("__text", F.greatest(F.col("s.start") - REACH, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(REACH))).alias("before"),
-        F.substring("__text", F.col("s.end") + 1, F.lit(REACH)).alias("after"),
-    )
-    contexts = beside.withColumn("context", F.xxhash64("before", "after")).select(
-        "value", "context", F.explode(F.array_distinct(F.concat(
-            F.slice(F.reverse(_terms(F.col("before"))), 1, NEIGHBOURS), F.slice(_terms(F.col("after")), 1, NEIGHBOURS), F.array(F.lit(""))
-        ))).alias("term"),
-    )
-    # The empty term counts the contexts of a value itself. Distinct contexts first: copies add nothing.
-    joint = contexts.distinct().groupBy("value", "term").agg(F.count("*").alias("joint")).where(F.col("joint") >= SUPPORT)
-    joint = staged(joint, "pii-joint")
-    values = joint.where("term = ''").select("value", F.col("joint").alias("n_value"))
-    pairs = joint.where("term <> ''").join(values, "value")
-    wanted = staged(pairs.select("term").distinct(), "pii-terms")
-    if wanted.isEmpty():
-        return wanted.select("term", F.lit("remove").alias("action"))
-    total = found.count()
-    spread = found.select(F.explode(F.array_distinct(_terms(F.col("__text")))).alias("term")).join(wanted, "term").groupBy("term").agg(
+    rest = F.when(F.size("__spans") == 0, F.col("__text")).otherwise(F.expr("""
+        aggregate(__spans, named_struct('at', 0, 'out', ''),
+          (s, x) -> CASE WHEN x.end <= s.at THEN s ELSE named_struct('at', x.end, 'out', concat(s.out,
+            substr(__text, s.at + 1, greatest(x.start - s.at, 0)), ' ')) END,
+          s -> concat(s.out, substr(__text, s.at + 1)))"""))
+    texts = found.select(_text_key().alias("key"), rest.alias("rest"))
+    holding = staged(found.where("size(__spans) > 0").select(
+        _text_key().alias("key"), rest.alias("rest"),
+        F.array_distinct(F.transform("__spans", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["found"]).alias("found")))).alias("values"),
+    ).dropDuplicates(["key"]), "pii-holding")
+    if holding.isEmpty():
+        return found.sparkSession.createDataFrame([], "term string, action string")
+    total = float(texts.select("key").distinct().count())
+    # Values of a kind that stand in the same texts tell the same: one of them is measured, so that a text with many
+    # values does not pair each of them with each of its terms.
+    held = holding.select("key", F.explode("values").alias("value"))
+    values = held.groupBy("value").agg(F.count("*").alias("n_value"), F.sum(F.xxhash64("key", F.lit(1)).cast("decimal(20,0)")).alias("where"))
+    values = values.groupBy("value.kind", "n_value", "where").agg(F.min("value").alias("value")).where(F.col("n_value") < total)  # in every text: nothing to disclose
+    values = staged(values.select("value", "n_value"), "pii-values")
+    # joint <= n_value, so that a term in more texts than this cannot reach the threshold.
+    most_texts = F.pow("n_value", F.lit(GENERALISE)) * total ** (1 - GENERALISE)
+    bound = values.agg(F.max(most_texts)).first()[0]
+    if bound is None:
+        return found.sparkSession.createDataFrame([], "term string, action string")
+    spread = texts.dropDuplicates(["key"]).select(F.explode(F.array_distinct(_terms(F.col("rest")))).alias("term")).groupBy("term").agg(
         F.count("*").alias("n_term")
-    )
-    pmi = F.log2(F.lit(float(total)) * F.col("joint") / (F.col("n_term") * F.col("n_value")))
-    share = pmi / F.log2(F.lit(float(total)) / F.col("n_value"))  # NULL for a value in every document: nothing to disclose
-    most = pairs.join(spread, "term").groupBy("term").agg(F.max(share).alias("share"))
+    ).where(F.col("n_term") <= bound)
+    terms = holding.select("key", F.explode(F.array_distinct(_terms(F.col("rest")))).alias("term")).join(spread, "term")
+    pairs = terms.join(held.join(values, "value"), "key").where(F.col("n_term") <= most_texts)
+    joint = staged(pairs.groupBy("value", "term").agg(F.count("*").alias("joint"), F.first("n_term").alias("n_term"), F.first("n_value").alias("n_value")), "pii-joint")
+    share = 1 + F.log2((F.col("joint") - _discount(joint)) / F.col("n_term")) / F.log2(F.lit(total) / F.col("n_value"))
+    most = joint.groupBy("term").agg(F.max(share).alias("share"))
     return staged(most.where(F.col("share") >= GENERALISE).select(
         "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("action")
     ), "pii-disclosing")
 
 
+def _discount(joint: DataFrame) -> Column:
+    """What is taken from ``joint``, by kind: ``n1 / (n1 + 2 n2)`` of the pairs that meet once and twice (Ney and Essen).
+
+    One of either is added, so that it lies between 0 and 1 where few pairs are known."""
+    met = {r["kind"]: r for r in joint.groupBy("value.kind").agg(
+        F.count_if(F.col("joint") == 1).alias("once"), F.count_if(F.col("joint") == 2).alias("twice")
+    ).collect()}
+    out = F.lit(0.5)
+    for kind, r in met.items():
+        once, twice = r["once"] + 1, r["twice"] + 1
+        out = F.when(F.col("value.kind") == kind, once / (once + 2 * twice)).otherwise(out)
+    return out
+
+
 def _with_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
     """``__spans`` with those of disclosing terms. ``found`` must be stored."""
     if terms.isEmpty():
