@@ -208,6 +208,25 @@ def test_terms_that_reveal_a_value_are_found(spark):
     assert found[150]["__spans"] == []
 
 
+def test_terms_anywhere_in_a_text_of_a_value_are_found(spark):
+    rng = random.Random(6)
+    common = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(300)] + ["mail"]
+    filler = lambda n: " ".join(rng.choices(common, k=n))
+    # The name stands hundreds of words off its address, in two texts only.
+    docs = [f"Xanthippe {filler(400)} mail xan@example.org {filler(200)}" for _ in range(2)]
+    # Copies of three texts with another name, and of one with a word that no other text holds.
+    docs += [t for t in [f"Zbigniew {filler(300)} zb@example.org {filler(n)}" for n in (1, 2, 3)] for _ in range(200)]
+    docs += [f"singular {filler(300)} once@example.org"] * 50
+    docs += [f"unrelated{chr(97 + i // 26)}{chr(97 + i % 26)} {filler(30)} u{i}@example.org" for i in range(300)]
+    docs += [filler(60) for _ in range(700)]
+    docs += ["Ask xanthippe or zbigniew; singular and unrelatedaa stay."]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    terms = {r["term"]: r["action"] for r in pii_terms.disclosing_terms(pii_terms.staged(pii_terms.with_spans(df), "test")).collect()}
+    assert set(terms) == {"xanthippe", "zbigniew"}
+    last = by_id(pii_terms.find_private(df).select("doc_id", pii_terms.sanitised().alias("clean")))[len(docs) - 1]["clean"]
+    assert "xanthippe" not in last and "zbigniew" not in last and "singular and unrelatedaa stay." in last
+
+
 def test_term_shares_equal_plain_counts_of_texts(spark):
     rng = random.Random(8)
     words = ["".join(rng.choices("abcdefghijkl", k=3)) for _ in range(400)]
