@@ -145,6 +145,44 @@ def test_leaks_with_edits_are_found_and_others_left(spark):
     assert len(found & planted) >= 0.95 * len(planted) and all(d < 1000 for d, _ in found)
 
 
+def plain_stretch(item, text):
+    row = [(0, j) for j in range(len(text) + 1)]
+    for i, symbol in enumerate(item, 1):
+        new = [(i, 0)]
+        for j, other in enumerate(text, 1):
+            new.append(min((row[j - 1][0] + (symbol != other), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[j - 1][0] + 1, new[j - 1][1])))
+        row = new
+    edits, end = min((cost, j) for j, (cost, _) in enumerate(row))
+    return edits, row[end][1], end
+
+
+@pytest.mark.parametrize("kind", ["replace", "insert", "delete", "mixed"])
+@pytest.mark.parametrize("length", [5, 9, 10, 23, 40, 59, 100, 400])
+def test_leaks_at_the_full_edit_bound_equal_plain_edit_distance(length, kind):
+    rng = random.Random(f"{length}{kind}")
+    vocabulary = [f"v{i}" for i in range(600)]
+    texts, items = [], []
+    for n in range(12 if length < 400 else 3):
+        item = rng.choices(vocabulary, k=length)
+        words = list(item)
+        edits = decontaminate.edits_allowed(length) + (n % 4 == 3)  # every fourth is beyond the bound
+        places = sorted(rng.sample(range(length), edits), reverse=True) if n % 2 else [length - 1 - k * length // edits for k in range(edits)]
+        for at in places:
+            how = rng.choice(["replace", "insert", "delete"]) if kind == "mixed" else kind
+            words[at : at + (how != "insert")] = [] if how == "delete" else [rng.choice(vocabulary)]
+        around = [rng.choices(vocabulary + [f"u{i}" for i in range(99)], k=rng.choice([0, 3, 60])) for _ in range(2)]
+        texts.append(" ".join(around[0] + words + around[1]))
+        items.append((n, " ".join(item)))
+    texts += [None, "", items[0][1], texts[0] + " " + texts[1]]
+    want = set()
+    for k, text in enumerate(texts):
+        for n, item in items:
+            best = plain_stretch(item.split(), (text or "").split())
+            if best[0] <= decontaminate.edits_allowed(length):
+                want.add((k, n, best[1], best[2], best[0]))
+    assert {f for f in decontaminate.Items.of(items).find(texts)} == want
+
+
 def test_leaks_of_odd_and_no_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "short one"), (3, "x " * 12)], "item_id bigint, text string")
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(odd_docs, items).collect()} == {(10, 3)}
