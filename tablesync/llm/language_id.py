@@ -18,12 +18,13 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import bounded_sample, broadcast_object, load, map_batches
+from tablesync.llm.common import bounded_sample, broadcast_object, load, map_batches, staged
 
 ORDER = 4
 #: A code point has 16 bits of a key; those beyond the basic plane share the codes of its private use area.
 _BITS = 16
-#: n-grams of a language that a model keeps at most, the most frequent; the rest back off.
+#: n-grams of a language and order that a model keeps at most, the most frequent; all are counted and estimated, and the
+#: probability of those not kept goes to the shorter context.
 MAX_GRAMS = 500_000
 #: Labelled texts that rejection is calibrated on, at most (about).
 CALIBRATION_ROWS = 4_000
@@ -119,27 +120,64 @@ def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default:
 
 def kneser_ney(grams: np.ndarray, counts: np.ndarray, order: int = ORDER) -> Model:
     """Interpolated Kneser-Ney with one discount per order; shorter orders count the distinct characters before."""
-    level: list[tuple[np.ndarray, np.ndarray]] = []
+    levels = []
     keys, n = grams, counts.astype(float)
     for o in range(order, 0, -1):
-        at = np.argsort(keys)
-        keys, n = keys[at], n[at]
-        level.append((keys, n))
-        shorter = keys & np.uint64((1 << (_BITS * (o - 1))) - 1)
-        keys, n = np.unique(shorter, return_counts=True)
+        _, where = np.unique(keys >> np.uint64(_BITS), return_inverse=True)
+        levels.append((keys, n, np.bincount(where, n)[where], _discount((n == 1).sum(), (n == 2).sum())))
+        keys, n = np.unique(keys & np.uint64((1 << (_BITS * (o - 1))) - 1), return_counts=True)
         n = n.astype(float)
+    return _model(levels)
+
+
+def _discount(ones: int, twos: int) -> float:
+    return float(ones / (ones + 2 * twos)) if ones and twos else 0.5
+
+
+def _model(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]) -> Model:
+    """From the longest order to 1: keys, their counts, those of all keys of their context, and the discount.
+
+    Where keys of a context are not given, their probability goes to the shorter context as the discounts do."""
     parts = [[], [], [], []]
-    for keys, n in reversed(level):
-        ones, twos = (n == 1).sum(), (n == 2).sum()
-        discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+    for keys, n, total, discount in reversed(levels):
+        at = np.argsort(keys)
+        keys, value = keys[at], ((n - discount) / total)[at]
         contexts, where = np.unique(keys >> np.uint64(_BITS), return_inverse=True)
-        total = np.bincount(where, n, len(contexts))
-        kinds = np.bincount(where, minlength=len(contexts))
-        for part, x in zip(parts, (keys, (n - discount) / total[where], contexts, discount * kinds / total)):
+        weight = np.maximum(1 - np.bincount(where, value, len(contexts)), 0) if len(keys) else np.zeros(0)
+        for part, x in zip(parts, (keys, value, contexts, weight)):
             part.append(x)
     return Model(*parts, floor=1 / 0x10000)
 
 
+def estimate(counts: DataFrame, max_grams: int = MAX_GRAMS) -> dict[str, Model]:
+    """The model of each language of ``counts`` (``lang, gram, n``): counts, totals and discounts over all n-grams, in Spark."""
+    levels: dict[str, list] = {}
+    level = staged(counts, "language-grams")
+    for order in range(ORDER, 0, -1):
+        # Different counts are few: about the root of twice the characters at most.
+        ladder = level.groupBy("lang", "n").count().toPandas()
+        least, discount = {}, {}
+        for lang, rows in ladder.groupby("lang"):
+            rows = rows.sort_values("n", ascending=False)
+            kept = rows[rows["count"].cumsum() <= max_grams]
+            least[lang] = int(kept["n"].min()) if len(kept) else int(rows["n"].max()) + 1
+            discount[lang] = _discount(*(int(rows.loc[rows["n"] == k, "count"].sum()) for k in (1, 2)))
+        wanted = F.lit(False)
+        for lang, bound in least.items():
+            wanted |= (F.col("lang") == lang) & (F.col("n") >= bound)
+        context = level.withColumn("context", F.shiftrightunsigned("gram", _BITS))
+        totals = context.groupBy("lang", "context").agg(F.sum("n").alias("total"))
+        rows = context.where(wanted).join(totals, ["lang", "context"]).select("lang", "gram", "n", "total").toPandas()
+        for lang in least:
+            part = rows[rows["lang"] == lang]
+            keys = part["gram"].to_numpy(np.int64).view(np.uint64)
+            levels.setdefault(lang, []).append((keys, part["n"].to_numpy(float), part["total"].to_numpy(float), discount[lang]))
+        if order > 1:
+            shorter = F.col("gram").bitwiseAND(F.lit((1 << (_BITS * (order - 1))) - 1))
+            level = staged(level.groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")), "language-grams")
+    return {lang: _model(found) for lang, found in levels.items()}
+
+
 @dataclass(frozen=True)
 class Models:
     langs: list[str]
@@ -188,27 +226,11 @@ SCORE_SCHEMA = "doc_id bigint, lang_pred string, score double, entropy double, r
 def fit_models(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration_rows: int = CALIBRATION_ROWS) -> Models:
     """Learn from ``lang`` and ``text`` of all rows of ``docs``; null languages and texts teach nothing."""
     teach = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = count_windows(teach)
-    # n-grams seen once are dropped only beyond the bound of a model, by a threshold on the count.
-    frame = counts.persist()
-    ladder = frame.groupBy("lang", F.least("n", F.lit(1000)).alias("n")).count().toPandas()
-    least = {}
-    for lang, rows in ladder.groupby("lang"):
-        rows = rows.sort_values("n", ascending=False)
-        kept = rows[rows["count"].cumsum() <= max_grams]
-        least[lang] = int(kept["n"].min()) if len(kept) else 1001
-    langs = sorted(least)
+    found = estimate(count_windows(teach), max_grams)
+    langs = sorted(found)
     if not langs:
         return Models([], [])
-    wanted = F.lit(False)
-    for lang in langs:
-        wanted |= (F.col("lang") == lang) & (F.col("n") >= least[lang])
-    rows = frame.where(wanted).toPandas()
-    frame.unpersist()
-    models = []
-    for lang in langs:
-        part = rows[rows["lang"] == lang]
-        models.append(kneser_ney(part["gram"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy()))
+    models = [found[lang] for lang in langs]
     plain = Models(langs, models)
     sample = score_languages(bounded_sample(teach, "doc_id", calibration_rows), plain, extra="lang").where("lang = lang_pred")
     size = F.least(F.floor(F.log2("chars")), F.lit(24))
@@ -227,7 +249,7 @@ def score_languages(docs: DataFrame, models: Models, extra: str | None = None) -
 
     ``und``, score 0 and rejected for a null text or one without a letter. Null ids stay null, repeated rows repeated.
     """
-    shared = broadcast_object(docs.sparkSession, models)  # bounded by MAX_GRAMS a language
+    shared = broadcast_object(docs.sparkSession, models)  # bounded by MAX_GRAMS a language and order
 
     def each(doc_id, text, **more):
         found = shared().score(text)

@@ -117,6 +117,25 @@ def test_probabilities_sum_to_one_at_most():
         assert 0.95 < np.exp2(model.log2(grams.astype(np.uint64))).sum() <= 1.0 + 1e-9
 
 
+def test_models_are_estimated_over_all_grams(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("lang", "text")
+    counts = language_id.count_windows(docs.union(spark.createDataFrame([("xx", "漢字かな交じり文 " * 9)], docs.schema))).persist()
+    rows = counts.toPandas()
+    whole, small = language_id.estimate(counts), language_id.estimate(counts, max_grams=300)
+    counts.unpersist()
+    for lang, part in rows.groupby("lang"):
+        grams = part["gram"].to_numpy(np.int64).view(np.uint64)
+        plain = language_id.kneser_ney(grams, part["n"].to_numpy())
+        assert np.allclose(whole[lang].log2(grams), plain.log2(grams))
+        assert all(len(k) <= 300 for k in small[lang].keys)
+        # What is kept has the values of the whole model, and contexts still sum to one.
+        for order in range(language_id.ORDER):
+            at = np.searchsorted(plain.keys[order], small[lang].keys[order])
+            assert np.allclose(plain.value[order][at], small[lang].value[order])
+            _, where = np.unique(small[lang].keys[order] >> np.uint64(16), return_inverse=True)
+            assert np.allclose(np.bincount(where, small[lang].value[order], len(small[lang].weight[order])) + small[lang].weight[order], 1)
+
+
 def test_languages_of_odd_and_no_rows(spark, odd_docs, no_docs):
     models = language_id.fit_on_rest(odd_docs)
     rows = language_id.score_languages(odd_docs, models).collect()
