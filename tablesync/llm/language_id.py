@@ -3,7 +3,7 @@
 Texts are lower-cased, runs of anything but letters become one space, and windows of four characters are counted
 per language over every text that may teach. A model keeps, per order, sorted arrays of n-gram keys with their
 discounted probability and back-off weight; a text goes to the language with the least cross-entropy per character.
-Rejection is calibrated on labelled texts: a text whose cross-entropy lies far above what texts of its language
+Rejection is calibrated on all labelled texts: a text whose cross-entropy lies far above what texts of its language
 and length have is not in any language known.
 """
 
@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import bounded_sample, broadcast_object, load, map_batches, staged
+from tablesync.llm.common import broadcast_object, load, map_batches, staged
 
 ORDER = 4
 #: A code point has 16 bits of a key; those beyond the basic plane share the codes of its private use area.
@@ -26,10 +26,15 @@ _BITS = 16
 #: n-grams of a language and order that a model keeps at most, the most frequent; all are counted and estimated, and the
 #: probability of those not kept goes to the shorter context.
 MAX_GRAMS = 500_000
-#: Labelled texts that rejection is calibrated on, at most (about).
-CALIBRATION_ROWS = 4_000
-#: Standard deviations above the mean of its language and length at which a text is rejected.
+#: Share of the labelled texts told right that may lie beyond the limit of rejection.
+FALSE_REJECTION = 0.001
+#: Standard deviations above the mean of its language and length at which a text is rejected, where too few texts are
+#: labelled to tell that share.
 REJECT_SIGMAS = 8.0
+#: Labelled texts that a mean and deviation are taken from at least; a thinner length is joined with its neighbours.
+CELL_ROWS = 30
+#: Lengths are told apart by their log2, up to this one.
+LENGTHS = 25
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -182,9 +187,11 @@ def estimate(counts: DataFrame, max_grams: int = MAX_GRAMS) -> dict[str, Model]:
 class Models:
     langs: list[str]
     models: list[Model]
-    #: language x log2 of the length: mean and deviation of the cross-entropy; the mean is NaN where unknown.
+    #: language x log2 of the number of windows: mean and deviation of the cross-entropy; NaN for a language without texts.
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
+    #: Deviations above the mean beyond which a text is rejected.
+    limit: float = REJECT_SIGMAS
 
     def score(self, texts: list[str | None]) -> dict[str, list]:
         """For each text: best language or ``und``, posterior of it, cross-entropy per character, and ``rejected``.
@@ -194,7 +201,7 @@ class Models:
         known = [bool(t and _LETTER.search(t)) for t in texts]
         parts = [windows(characters(t)) for t, ok in zip(texts, known) if ok]
         sizes = np.array([len(p) for p in parts], np.int64)
-        out = {"lang_pred": ["und"] * len(texts), "score": [0.0] * len(texts), "entropy": [None] * len(texts), "rejected": [True] * len(texts)}
+        out = {"lang_pred": ["und"] * len(texts), "score": [0.0] * len(texts), "entropy": [None] * len(texts), "rejected": [True] * len(texts), "n_windows": [0] * len(texts)}
         if not parts or not self.langs:
             return out
         every = np.concatenate(parts)
@@ -211,41 +218,74 @@ class Models:
         if self.mean is not None:
             size = np.minimum(np.log2(sizes).astype(int), self.mean.shape[1] - 1)
             mean, spread = self.mean[best, size], self.spread[best, size]
-            rejected = least > mean + REJECT_SIGMAS * spread  # false where nothing is known
+            rejected = least > mean + self.limit * spread  # false where nothing is known
         for k, i in enumerate(j for j, ok in enumerate(known) if ok):
             out["lang_pred"][i] = self.langs[best[k]]
             out["score"][i] = float(posterior[k])
             out["entropy"][i] = float(least[k])
             out["rejected"][i] = bool(rejected[k])
+            out["n_windows"][i] = int(sizes[k])
         return out
 
 
 SCORE_SCHEMA = "doc_id bigint, lang_pred string, score double, entropy double, rejected boolean"
 
 
-def fit_models(docs: DataFrame, max_grams: int = MAX_GRAMS, calibration_rows: int = CALIBRATION_ROWS) -> Models:
+def fit_models(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Models:
     """Learn from ``lang`` and ``text`` of all rows of ``docs``; null languages and texts teach nothing."""
     teach = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
-    found = estimate(count_windows(teach), max_grams)
+    # Counted by halves: a text is measured by models that have not learned from it or its copies.
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("string")
+    counts = staged(count_windows(teach.select(F.concat(half, "lang").alias("lang"), "text")), "language-halves")
+    found = estimate(counts.groupBy(F.expr("substr(lang, 2)").alias("lang"), "gram").agg(F.sum("n").alias("n")), max_grams)
     langs = sorted(found)
     if not langs:
         return Models([], [])
     models = [found[lang] for lang in langs]
-    plain = Models(langs, models)
-    sample = score_languages(bounded_sample(teach, "doc_id", calibration_rows), plain, extra="lang").where("lang = lang_pred")
-    size = F.least(F.floor(F.log2("chars")), F.lit(24))
-    measured = sample.groupBy("lang", size.alias("size")).agg(
-        F.avg("entropy").alias("mean"), F.coalesce(F.stddev("entropy"), F.lit(0.0)).alias("spread"), F.count("*").alias("rows")
+    halves = estimate(counts, max_grams // 2)
+    size = F.least(F.floor(F.log2("n_windows")), F.lit(LENGTHS - 1)).cast("int")
+    measured = []
+    for k, other in ("01", "10"):
+        known = sorted(lang[1:] for lang in halves if lang[0] == other)
+        measured.append(score_languages(teach.where(half == k), Models(known, [halves[other + lang] for lang in known]), extra="lang"))
+    told = staged(measured[0].union(measured[1]).where("lang = lang_pred").select("lang", size.alias("size"), "entropy"), "language-told")
+    cells = told.groupBy("lang", "size").agg(
+        F.count("*").alias("rows"), F.avg("entropy").alias("mean"), F.var_pop("entropy").alias("variance")
     ).toPandas()
-    mean, spread = np.full((len(langs), 25), np.nan), np.zeros((len(langs), 25))
-    for r in measured.itertuples():
-        if r.rows >= 10:
-            mean[langs.index(r.lang), int(r.size)], spread[langs.index(r.lang), int(r.size)] = r.mean, max(r.spread, 0.05)
-    return Models(langs, models, mean, spread)
+    rows, first, second = (np.zeros((len(langs), LENGTHS)) for _ in range(3))
+    for r in cells.itertuples():
+        cell = langs.index(r.lang), int(r.size)
+        rows[cell], first[cell], second[cell] = r.rows, r.rows * r.mean, r.rows * (r.variance + r.mean**2)
+    mean, spread = backed_off(rows, first, second)
+    limit = REJECT_SIGMAS
+    if rows.sum() >= 1 / FALSE_REJECTION:
+        known = told.sparkSession.createDataFrame(
+            [(lang, k, float(mean[n, k]), float(spread[n, k])) for n, lang in enumerate(langs) for k in range(LENGTHS)],
+            "lang string, size int, mean double, spread double",
+        )
+        far = told.join(F.broadcast(known), ["lang", "size"])  # 25 rows a language
+        limit = float(far.agg(F.percentile_approx((F.col("entropy") - F.col("mean")) / F.col("spread"), 1 - FALSE_REJECTION, F.lit(100_000))).first()[0])
+    return Models(langs, models, mean, spread, limit)
+
+
+def backed_off(rows: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation per language and length from counts, sums and sums of squares.
+
+    A length of fewer than :data:`CELL_ROWS` texts takes in as many lengths on either side as it needs, at last all."""
+    mean, spread = np.full(rows.shape, np.nan), np.zeros(rows.shape)
+    for lang, k in np.ndindex(*rows.shape):
+        for reach in range(rows.shape[1]):
+            near = slice(max(0, k - reach), k + reach + 1)
+            n = rows[lang, near].sum()
+            if n >= min(CELL_ROWS, max(1, rows[lang].sum())):
+                m = first[lang, near].sum() / n
+                mean[lang, k], spread[lang, k] = m, max(np.sqrt(max(second[lang, near].sum() / n - m * m, 0.0)), 0.05)
+                break
+    return mean, spread
 
 
 def score_languages(docs: DataFrame, models: Models, extra: str | None = None) -> DataFrame:
-    """:data:`SCORE_SCHEMA` per row of ``docs`` (``doc_id``, ``text``), with ``chars`` and the column ``extra`` if named.
+    """:data:`SCORE_SCHEMA` per row of ``docs`` (``doc_id``, ``text``), with ``n_windows`` and the column ``extra`` if named.
 
     ``und``, score 0 and rejected for a null text or one without a letter. Null ids stay null, repeated rows repeated.
     """
@@ -253,10 +293,10 @@ def score_languages(docs: DataFrame, models: Models, extra: str | None = None) -
 
     def each(doc_id, text, **more):
         found = shared().score(text)
-        return {"doc_id": doc_id, "chars": [max(1, len(t or "")) for t in text]} | found | more
+        return {"doc_id": doc_id} | found | more
 
     columns = [F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *([extra] if extra else [])]
-    schema = SCORE_SCHEMA + ", chars bigint" + (f", {extra} string" if extra else "")
+    schema = SCORE_SCHEMA + ", n_windows bigint" + (f", {extra} string" if extra else "")
     return map_batches(docs.select(*columns), schema, each)
 
 

@@ -136,6 +136,31 @@ def test_models_are_estimated_over_all_grams(spark):
             assert np.allclose(np.bincount(where, small[lang].value[order], len(small[lang].weight[order])) + small[lang].weight[order], 1)
 
 
+def test_foreign_texts_and_junk_are_rejected_at_every_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id IS NOT NULL")
+    models = language_id.fit_on_rest(docs)
+    assert np.isfinite(models.mean).all() and models.limit != language_id.REJECT_SIGMAS
+    rng = random.Random(9)
+    foreign = "pчй ωψξ ћђљ шщъ каждый человек имеет право свободу убеждений".split()
+    junk = ["".join(rng.choices("qxzjkwvbgf", k=rng.randrange(4, 9))) for _ in range(500)]
+    for words in (foreign, junk):
+        for n in (12, 30, 100, 400, 2000, 20_000):
+            texts = [" ".join(rng.choices(words, k=n)) for _ in range(4)]
+            assert np.mean(models.score(texts)["rejected"]) == 1, (words[0], n)
+            # Digits and marks between the words do not move a text to the lengths of another.
+            assert np.mean(models.score([t.replace(" ", " 0123456789 -- 0123456789 ") for t in texts])["rejected"]) == 1
+    held = docs.where(language_id.held_out(language_id.F.col("doc_id")) & language_id.F.col("lang").isNotNull())
+    rejected = [r["rejected"] for r in language_id.score_languages(held, models).where("lang_pred <> 'und'").collect()]
+    assert len(rejected) > 1000 and np.mean(rejected) <= 0.005, np.mean(rejected)
+
+
+def test_thin_lengths_take_in_their_neighbours():
+    rows, means = np.array([[0, 5, 40, 0, 3], [0, 0, 0, 0, 0], [0, 2, 0, 0, 0]], float), np.array([9, 4, 3, 9, 1.0])
+    mean, _ = language_id.backed_off(rows, rows * means, rows * means**2)
+    assert mean[0, 2] == 3 and np.allclose(mean[0, 1], (5 * 4 + 40 * 3) / 45) and np.allclose(mean[0, 3], (40 * 3 + 3) / 43)
+    assert np.isfinite(mean[0]).all() and np.isnan(mean[1]).all() and (mean[2] == 4).all()
+
+
 def test_languages_of_odd_and_no_rows(spark, odd_docs, no_docs):
     models = language_id.fit_on_rest(odd_docs)
     rows = language_id.score_languages(odd_docs, models).collect()
