@@ -9,6 +9,7 @@ from tablesync.llm.pii_terms import op4_pii_terms
 from tablesync.llm.quality_gbt import op8_quality_gbt
 from tablesync.llm.quality_rules import op3_quality_rules
 from tablesync.llm.substring_dedup import OP5_SQL, op5_substring_dedup
+from tablesync.llm.toxicity import op12_toxicity
 from tablesync.llm.warc_archive import OP2_SQL, op2_warc_archive
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
         op1_license_scan, op2_warc_archive, op3_quality_rules, op4_pii_terms,
         op5_substring_dedup, op6_language_id, op7_decontamination, op8_quality_gbt,
         op9_minhash_near_dedup, op10_best_fit_packing,
+        op12_toxicity,
     )
 }
 
