@@ -84,7 +84,9 @@ def window_gains(text: str | None, compressors: tuple) -> np.ndarray:
     ordinary, toxic = compressors
     words = words_of(text)
     out = []
-    for start in range(0, len(words), STEP):
+    last = max(0, len(words) - WINDOW)  # a text ends with a whole window: short ones hardly compress
+    for start in range(0, last + STEP if words else 0, STEP):
+        start = min(start, last)
         window = f" {' '.join(words[start : start + WINDOW])} ".encode("utf-8", "surrogatepass")
         out.append(len(ordinary.compress(window)) - len(toxic.compress(window)))
     return np.array(out, np.int64)
