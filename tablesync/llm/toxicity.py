@@ -39,6 +39,9 @@ GAINS = (1, 2, 3, 4, 5, 6)
 FEATURES = 2 + 2 * len(GAINS)
 THRESHOLD = 0.3
 
+#: The compressor begins no match in the last eight bytes.
+_PAD = " " * 9
+
 _WORD = re.compile(r"[^\W_]{1,64}")
 
 
@@ -87,7 +90,7 @@ def window_gains(text: str | None, compressors: tuple) -> np.ndarray:
     last = max(0, len(words) - WINDOW)  # a text ends with a whole window: short ones hardly compress
     for start in range(0, last + STEP if words else 0, STEP):
         start = min(start, last)
-        window = f" {' '.join(words[start : start + WINDOW])} ".encode("utf-8", "surrogatepass")
+        window = f" {' '.join(words[start : start + WINDOW])}{_PAD}".encode("utf-8", "surrogatepass")
         out.append(len(ordinary.compress(window)) - len(toxic.compress(window)))
     return np.array(out, np.int64)
 
