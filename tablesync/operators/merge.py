@@ -56,7 +56,7 @@ def _stand_in(dtype: T.DataType) -> Column:
     return F.lit("").cast(dtype) if isinstance(dtype, (T.StringType, T.BinaryType)) else F.lit(0).cast(dtype)
 
 
-def _plain_keys(frame: DataFrame, keys: Sequence[str]) -> list[Column]:
+def plain_keys(frame: DataFrame, keys: Sequence[str]) -> list[Column]:
     """Each key as a value without NULL and a NULL flag, so that plain equality compares them.
 
     A distinct over these columns leaves its rows partitioned the way the join on them needs;
@@ -70,7 +70,7 @@ def _plain_keys(frame: DataFrame, keys: Sequence[str]) -> list[Column]:
     return out
 
 
-def _names(keys: Sequence[str]) -> list[str]:
+def key_names(keys: Sequence[str]) -> list[str]:
     return [name for i in range(len(keys)) for name in (f"_sync_key{i}", f"_sync_null{i}")]
 
 
@@ -102,12 +102,12 @@ def merge_frame(target: DataFrame, source: DataFrame, keys: Sequence[str], small
     else:
         updates = target  # all columns are keys: nothing to update
 
-    keyed = source.select("*", *_plain_keys(source, keys))
-    seen = target.select(_plain_keys(target, keys))
+    keyed = source.select("*", *plain_keys(source, keys))
+    seen = target.select(plain_keys(target, keys))
     if small_source:
         # No more distinct keys than the source has rows, hence under the same size check.
-        seen = seen.join(F.broadcast(keyed.select(_names(keys))), _names(keys), "left_semi")
-    inserts = keyed.join(hint(seen.distinct()), _names(keys), "left_anti").select(
+        seen = seen.join(F.broadcast(keyed.select(key_names(keys))), key_names(keys), "left_semi")
+    inserts = keyed.join(hint(seen.distinct()), key_names(keys), "left_anti").select(
         [F.col(quote(f.name)) if f.name in written else omitted(f) for f in target.schema.fields]
     )
     return updates.unionByName(inserts)
@@ -116,11 +116,11 @@ def merge_frame(target: DataFrame, source: DataFrame, keys: Sequence[str], small
 def merge_preview(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How many source rows would update and how many would insert."""
     source, keys, _ = _source_as_target(target, source, keys)
-    seen = target.select(_plain_keys(target, keys)).distinct().withColumn("_sync_hit", F.lit(True))
+    seen = target.select(plain_keys(target, keys)).distinct().withColumn("_sync_hit", F.lit(True))
     hit = F.count("_sync_hit")
     return (
-        source.select(_plain_keys(source, keys))
-        .join(seen, _names(keys), "left_outer")
+        source.select(plain_keys(source, keys))
+        .join(seen, key_names(keys), "left_outer")
         .agg(F.count(F.lit(1)).alias("source_rows"), hit.alias("updates"), (F.count(F.lit(1)) - hit).alias("inserts"))
     )
 

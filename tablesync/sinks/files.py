@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +36,23 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def sizes(spark: SparkSession, path: str) -> list[int]:
+    """The lengths of the data files right in a directory."""
+    fs, where = _at(spark, path)
+    return [s.getLen() for s in fs.listStatus(where) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
+    fs.create(where, True).close()
+
+
+def age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file or directory was last changed, by this machine's clock; None if it is not there."""
+    fs, where = _at(spark, path)
+    return time.time() - fs.getFileStatus(where).getModificationTime() / 1000 if fs.exists(where) else None
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Move a directory. The target must be new: a rename onto a directory would move inside it."""
     fs, here = _at(spark, source)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace as changed
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,19 +14,38 @@ from pyspark.sql import types as T
 from tablesync.errors import SyncError
 from tablesync.functions.types import has_length, is_nested, normalize_for_write, target_ddl, write_schema
 from tablesync.operators.dedup import SEQUENCE, dedup_last
-from tablesync.operators.merge import merge_frame, merge_into, missing_names
+from tablesync.operators.merge import key_names, merge_frame, merge_into, missing_names, plain_keys
 from tablesync.session import scratch_dir, wide_shuffles
 from tablesync.sinks import files
+from tablesync.sinks.partitions import by_partition, key_of, partition_keys, partition_rows, partition_state
+from tablesync.sinks.sharded import BATCH, BUCKET, Layout, drop_version, new_version, read_parts, shard_of, version_table, with_shards
 from tablesync.sinks.target import (
-    Target, aligned, create_file_table, find_target, new_version_path, partition_location, partition_names, partition_spec,
-    publish, stage_table,
+    Target, aligned, create_file_table, find_target, lease, new_version_path, partition_names, partition_spec,
+    publish, release, stage_table,
 )
 from tablesync.sources.names import EntityName, literal, quote
 from tablesync.sources.read import current_name, prune
 
 MODES = ("append", "replace", "merge")
 BROADCAST_BYTES = 64 << 20
+#: Size that rewritten files have at most, about.
+FILE_BYTES = 128 << 20
 _OPTIONS = ("entity",)
+#: How the streams tag their batches: the query's id and the batch's number.
+_STREAM_TAG = re.compile(r"([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})-(\d+)")
+
+
+def _ledger(known: Mapping[str, int], tags: Sequence[str]) -> dict[str, int]:
+    """The last batch of each stream query, from a ledger and the tags of batches that have landed since."""
+    out = dict(known)
+    for match in filter(None, map(_STREAM_TAG.fullmatch, tags)):
+        out[match[1]] = max(out.get(match[1], -1), int(match[2]))
+    return out
+
+
+def _has_landed(known: Mapping[str, int], tag: str) -> bool:
+    match = _STREAM_TAG.fullmatch(tag)
+    return bool(match) and known.get(match[1], -1) >= int(match[2])
 
 
 def check_write(
@@ -37,7 +58,7 @@ def check_write(
 ) -> None:
     """Everything that can be refused from the schema alone, before any job or catalog call."""
     if mode not in MODES:
-        raise SyncError(f"{output}: write mode '{mode}' is not supported; use append, replace or merge")
+        raise SyncError(f"{output}: '{mode}' is none of the ways to write: append, replace, merge")
     if schema_policy != "fail_on_change":
         raise SyncError(f"{output}: no schema policy '{schema_policy}' here: change the target's columns yourself")
     if mode == "merge":
@@ -46,10 +67,10 @@ def check_write(
         types = {f.name: f.dataType for f in df.schema.fields}
         absent = [k for k in keys if k not in types]
         if absent:
-            raise SyncError(f"{output}: merge key(s) {', '.join(map(repr, absent))} not in the write schema")
+            raise SyncError(f"{output}: to merge by {', '.join(map(repr, absent))}, the frame must have such columns")
         nested = [k for k in keys if is_nested(types[k])]
         if nested:
-            raise SyncError(f"{output}: merge key(s) {', '.join(map(repr, nested))} nested; a key must be a flat value")
+            raise SyncError(f"{output}: {', '.join(map(repr, nested))} cannot be compared as keys: nested types")
         if not order_by:
             raise SyncError(f"{output}: merge needs an ordering (order_by): Spark rows have no arrival order")
         unknown = [c for c in order_by if c not in types]
@@ -74,7 +95,9 @@ def _row_bytes(was: T.StructType, now: T.StructType) -> Column | None:
     return size
 
 
-def _land(df: DataFrame, schema: T.StructType, path: str, max_records: int | None, name: EntityName) -> tuple[int, int | None]:
+def _land(
+    df: DataFrame, schema: T.StructType, path: str, max_records: int | None, name: EntityName, max_bytes: int | None = None
+) -> tuple[int, int | None]:
     """Write the frame as Parquet in exactly this schema; returns its rows and an upper bound of its size.
 
     Where types differ, the rows go through an INSERT into a table over the directory, so that
@@ -99,21 +122,29 @@ def _land(df: DataFrame, schema: T.StructType, path: str, max_records: int | Non
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {table}")
     found = seen.get
+    if max_bytes:
+        _roll(spark, path, schema, max_bytes, max_records)
     return found["rows"], None if size is None else found["bytes"] or 0
 
 
-def _by_partition(frame: DataFrame, target: Target) -> DataFrame:
-    """Bring the rows of a table partition together before a write, so that not every task writes a file
-    in each; a large partition is split again into files of the advisory size."""
-    return frame.hint("rebalance", *[F.col(quote(c)) for c in target.partitions]) if target.partitions else frame
-
+def _roll(spark: SparkSession, path: str, schema: T.StructType, max_bytes: int, max_records: int | None) -> None:
+    """Deal what has landed over files of at most about ``max_bytes``, by the bytes that it took; rows keep no order.
 
-def _partition_rows(table: DataFrame, partitions: DataFrame) -> DataFrame:
-    """The rows of some table partitions, by one membership test on the partition columns, which prunes the scan."""
-    one = lambda c: f"coalesce(replace(replace(CAST({quote(c)} AS STRING), '~', '~t'), '/', '~s'), '~n')"
-    key = f"concat_ws('/', {', '.join(map(one, partitions.columns))})"
-    values = sorted(r[0] for r in partitions.select(F.expr(key)).distinct().collect())
-    return table.where(f"{key} IN ({', '.join(map(literal, values))})")
+    Nothing is done if the files are neither too large nor too many. Rows are dealt evenly, so that files are of a size.
+    """
+    found = files.sizes(spark, path)
+    count = max(1, -(-sum(found) * 10 // (max_bytes * 9)))
+    if max(found, default=0) <= max_bytes and len(found) <= 2 * count:
+        return
+    rolled = f"{path}-rolled"
+    options = {"maxRecordsPerFile": max_records} if max_records else {}
+    try:
+        spark.read.schema(schema).parquet(path).repartition(count).write.options(**options).parquet(rolled)
+        files.remove(spark, path)
+        files.rename(spark, rolled, path)
+    except BaseException:
+        files.remove(spark, rolled)
+        raise
 
 
 def _create(spark: SparkSession, target: Target, schema: T.StructType, tag: str) -> Target:
@@ -127,7 +158,7 @@ def _create(spark: SparkSession, target: Target, schema: T.StructType, tag: str)
 
 
 def ensure_target(spark: SparkSession, name: str, schema: T.StructType, location: str | None = None) -> EntityName:
-    """Create a missing target, empty, with the given schema."""
+    """Create a missing target, empty, with the given schema (a sharded one is created by its first write)."""
     entity = current_name(spark, name)
     target = find_target(spark, entity, location)
     if not target.exists:
@@ -159,6 +190,10 @@ class StagedWrite:
         tag: str | None = None,
         catalog: str | None = None,
         schema: str | None = None,
+        max_file_bytes: int | None = None,
+        partition_by: Sequence[str] = (),
+        buckets: int = 0,
+        cluster_by: Sequence[str] = (),
     ):
         options = dict(options or {})
         check_write(df, output, mode, keys, order_by, schema_policy)
@@ -183,6 +218,14 @@ class StagedWrite:
         self.frame = normalize_for_write(prune(df, written + order_only), output, strict_nested)
         self.location, self.max_records, self.broadcast_bytes = location, max_records_per_file, broadcast_bytes
         self.tag = tag or uuid.uuid4().hex[:16]
+        if not re.fullmatch(r"[\w.-]+", self.tag):
+            raise SyncError(f"{output}: a tag names a directory: letters, digits, '_', '-' and '.' only")
+        self.max_bytes = max_file_bytes
+        if max_file_bytes is not None and max_file_bytes < 1:
+            raise SyncError(f"{output}: files need room for at least one byte")
+        self.layout = Layout.of(partition_by, buckets, keys, cluster_by)
+        if self.layout:
+            self.layout.check(self.schema, output)
         self.state = "open"
 
     def __enter__(self) -> StagedWrite:
@@ -204,6 +247,10 @@ class StagedWrite:
         """Run the write; returns one row: ``rows`` submitted, before any de-duplication, and ``files`` staged."""
         self._leave("committed")
         target = find_target(self.spark, self.name, self.location)
+        if self.layout and target.kind == "published" and not target.exists:
+            target = changed(target, kind="sharded", layout=self.layout)
+        elif self.layout and target.layout != self.layout:
+            raise SyncError(f"{self.output}: {self.name} does not have its rows in such parts; leave the parts out, or remove it first")
         if not target.exists and target.kind == "v2" and self.mode != "replace":
             target = _create(self.spark, target, self.schema, self.tag)
         # Listed before the target is resolved, so that no batch the merge does not see is among them.
@@ -224,12 +271,12 @@ class StagedWrite:
     def _append_published(self, target: Target) -> tuple[int, int]:
         if self.current is None:
             return self._new_version(target, self.frame)
-        if files.exists(self.spark, target.batch_dir(self.tag)):
+        if files.exists(self.spark, target.batch_dir(self.tag)) or _has_landed(target.ledger, self.tag):
             return 0, 0  # this batch has landed before: a replay
         stage = target.stage_dir(self.tag)
         files.remove(self.spark, stage)  # left by a writer that died
         try:
-            rows, _ = _land(self.frame, self.into, stage, self.max_records, self.name)
+            rows, _ = _land(self.frame, self.into, stage, self.max_records, self.name, self.max_bytes)
             count = files.data_files(self.spark, stage)
             files.rename(self.spark, stage, target.batch_dir(self.tag))
             if find_target(self.spark, self.name).version != target.version:
@@ -242,16 +289,20 @@ class StagedWrite:
         """Land a new version and publish it, unless the batches it was computed from have changed."""
         version = f"v-{uuid.uuid4().hex[:16]}"
         path = f"{target.location}/{version}"
+        lease(self.spark, target, path)
         try:
-            rows, _ = _land(frame, self.into, f"{path}/{self.tag}", self.max_records, self.name)
+            rows, _ = _land(frame, self.into, f"{path}/{self.tag}", self.max_records, self.name, self.max_bytes)
             count = files.data_files(self.spark, f"{path}/{self.tag}")
             if self.batches is not None and self._batches(target) != self.batches:
                 raise SyncError(f"{self.output}: {self.name} was written by another writer meanwhile; merge again")
-            publish(self.spark, target, self.into, version)
+            landed = files.children(self.spark, target.version_dir) if target.exists else []
+            publish(self.spark, target, self.into, version, _ledger(target.ledger, landed))
         except BaseException:
             if find_target(self.spark, self.name, self.location).version != version:
                 files.remove(self.spark, path)
             raise
+        finally:
+            release(self.spark, target, path)
         return rows, count
 
     def _batches(self, target: Target) -> list[str] | None:
@@ -321,7 +372,7 @@ class StagedWrite:
     # -- file tables of the session catalog -------------------------------------------------------
 
     def _append_table(self, target: Target) -> tuple[int, None]:
-        frame = _by_partition(aligned(self.frame, self.into), target)
+        frame = by_partition(aligned(self.frame, self.into), target.partitions)
         return self._counted(frame, lambda counted: counted.write.insertInto(self.name.quoted))
 
     def _swap_location(self, target: Target, frame: DataFrame, schema: T.StructType) -> tuple[int, int]:
@@ -330,8 +381,9 @@ class StagedWrite:
                 f"{self.output}: {self.name} is not an unpartitioned, unbucketed Parquet table, which {self.mode} needs"
             )
         path = new_version_path(target)
+        lease(self.spark, target, path)
         try:
-            rows, _ = _land(frame, schema, path, self.max_records, self.name)
+            rows, _ = _land(frame, schema, path, self.max_records, self.name, self.max_bytes)
             count = files.data_files(self.spark, path)
             if self.mode == "merge" and self._state(target) != self.seen:
                 raise SyncError(f"{self.output}: another writer changed {self.name} meanwhile; merge again")
@@ -340,6 +392,8 @@ class StagedWrite:
             if find_target(self.spark, self.name).location == target.location:
                 files.remove(self.spark, path)
             raise
+        finally:
+            release(self.spark, target, path)
         self.spark.catalog.refreshTable(self.name.quoted)
         return rows, count
 
@@ -386,31 +440,46 @@ class StagedWrite:
             if rows:
                 # From the staged rows: partition columns are keys, which the de-duplication does not change.
                 partitions = self.spark.read.schema(self.staged_schema).parquet(stage).select([F.col(quote(c)) for c in target.partitions])
-                touched = _partition_rows(self.current, partitions)
-                self._swap_partitions(target, merge_frame(touched, source, keys, small_source=small))
+                touched = partition_keys(partitions)
+                # What the merge is computed from: taken before the partitions are read, compared before they are swapped.
+                self.spark.catalog.refreshTable(self.name.quoted)
+                held = partition_state(self.spark, self.name.quoted, touched)
+                rows_held = partition_rows(self.spark.table(self.name.quoted), list(target.partitions), touched)
+                self._swap_partitions(target, merge_frame(rows_held, source, keys, small_source=small), touched, held)
         finally:
             files.remove(self.spark, stage)
         return rows, count
 
-    def _swap_partitions(self, target: Target, frame: DataFrame) -> None:
+    def _swap_partitions(self, target: Target, frame: DataFrame, touched: list[str], held: dict) -> None:
         """Write the partitions anew, beside the table, then point the catalog at them.
 
+        Refused if another writer has added, changed, moved or dropped one of them since ``held`` was taken.
         New partitions come in one statement, then each changed one in a statement of its own. If one fails, those before are
         pointed back and the table is as it was. A driver that is lost in between leaves whole partitions, some old and
         some new, and the directory of the new ones; running the merge again completes it.
         """
         path = new_version_path(target)
         table = stage_table(self.name)
+        lease(self.spark, target, path)
+        try:
+            self._swap(target, frame, touched, held, path, table)
+        finally:
+            release(self.spark, target, path)
+
+    def _swap(self, target: Target, frame: DataFrame, touched: list[str], held: dict, path: str, table: str) -> None:
         create_file_table(self.spark, table, self.into, path, self.max_records, target.partitions)
         try:
-            _by_partition(aligned(frame, self.into), target).write.insertInto(table)
+            by_partition(aligned(frame, self.into), target.partitions).write.insertInto(table)
             fresh = partition_names(self.spark, table)
         except BaseException:
             files.remove(self.spark, path)
             raise
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        before = {name: partition_location(self.spark, self.name.quoted, name) for name in fresh}
+        if find_target(self.spark, self.name).location != target.location or partition_state(self.spark, self.name.quoted, touched) != held:
+            files.remove(self.spark, path)
+            raise SyncError(f"{self.output}: another writer changed partitions of {self.name} meanwhile; merge again")
+        before = {name: held[name][0] if name in held else None for name in fresh}
         added = [name for name in fresh if before[name] is None]
         moved: list[str] = []
         alter = f"ALTER TABLE {self.name.quoted}"
@@ -431,6 +500,115 @@ class StagedWrite:
         finally:
             self.spark.catalog.refreshTable(self.name.quoted)
 
+    # -- sharded: a view over parts -----------------------------------------------------------------
+
+    def _append_sharded(self, target: Target) -> tuple[int, int]:
+        held = read_parts(self.spark, target.location, target.version) if target.exists else {}
+        if _has_landed(target.ledger, self.tag) or any(part.endswith(f"{BATCH}={self.tag}") for part in held):
+            return 0, 0  # this batch has landed before: a replay
+        return self._staged_parts(target, held)
+
+    def _replace_sharded(self, target: Target) -> tuple[int, int]:
+        target.layout.check(self.schema, self.output)
+        return self._staged_parts(target, {})
+
+    def _staged_parts(self, target: Target, held: dict[str, str]) -> tuple[int, int]:
+        """Land the frame, cast to the target's types, as parts beside those held."""
+        stage = scratch_dir(self.spark, "stage")
+        try:
+            rows, _ = _land(self.frame, self.into, stage, None, self.name)
+            if not rows and held:
+                return 0, 0
+            size = files.size(self.spark, stage)
+            return rows, self._publish_parts(target, held, self.spark.read.schema(self.into).parquet(stage), size)
+        finally:
+            files.remove(self.spark, stage)
+
+    def _merge_sharded(self, target: Target) -> tuple[int, int]:
+        """Rewrite only the parts that the source can have rows in, or, by files, those that hold its keys."""
+        layout = target.layout
+        outside = missing_names((*layout.by, *layout.keys), self.keys)
+        if outside:
+            missing = ", ".join(map(repr, outside))
+            raise SyncError(f"{self.output}: to merge into {self.name}, {missing}, by which its parts are made, must be keys")
+        stage = scratch_dir(self.spark, "stage")
+        try:
+            source, keys, rows, count, small = self._staged_source(stage)
+            size = files.size(self.spark, stage)
+            if self.current is None:
+                self._publish_parts(target, {}, source, size)
+            elif rows:
+                held = read_parts(self.spark, target.location, target.version)
+                store = self.spark.table(version_table(self.name, target.version))
+                if layout.cluster:
+                    hit = set(self._hit_files(store, source, keys, layout, small))
+                    old = {part for part in held if part.rpartition("=")[2] in hit}
+                    touched = store.where(F.col(BATCH).isin(sorted(hit))) if hit else store.where("false")
+                else:
+                    staged = self.spark.read.schema(self.staged_schema).parquet(stage)
+                    if layout.buckets:
+                        staged = staged.withColumn(BUCKET, layout.bucket(staged.schema))
+                    shards = partition_keys(staged.select([F.col(quote(c)) for c in layout.shard]))
+                    old = {part for part in held if key_of(shard_of(part)) in set(shards)}
+                    touched = partition_rows(store, layout.shard, shards)
+                rows_held = touched.select([F.col(quote(c)) for c in self.into.names])
+                size += sum(files.size(self.spark, held[part]) for part in old)
+                kept = {part: place for part, place in held.items() if part not in old}
+                self._publish_parts(target, kept, merge_frame(rows_held, source, keys, small_source=small), size)
+        finally:
+            files.remove(self.spark, stage)
+        return rows, count
+
+    def _hit_files(self, store: DataFrame, source: DataFrame, keys: list[str], layout: Layout, small: bool) -> list[str]:
+        """The parts that hold a key of the source: only keys are read, and only where the files' statistics let them be."""
+        first = layout.cluster[0]
+        found = store
+        if first in keys:
+            low, high, some = source.agg(F.min(quote(first)), F.max(quote(first)), F.count(F.when(F.col(quote(first)).isNull(), 1))).first()
+            near = F.col(quote(first)).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
+            found = found.where(near | F.col(quote(first)).isNull() if some else near)
+        wanted = source.select(plain_keys(source, keys))
+        hits = found.select(*plain_keys(found, keys), BATCH).join(F.broadcast(wanted) if small else wanted, key_names(keys), "left_semi")
+        return [r[0] for r in hits.select(BATCH).distinct().collect()]
+
+    def _publish_parts(self, target: Target, held: dict[str, str], frame: DataFrame, size: int) -> int:
+        """Land a frame as parts and make them, with those held, the target's, unless another writer has been faster."""
+        layout, path, table = target.layout, f"{target.location}/data-{uuid.uuid4().hex[:16]}", stage_table(self.name)
+        max_bytes = self.max_bytes or FILE_BYTES
+        frame = aligned(frame, self.into)
+        if layout.cluster:
+            frame = frame.repartitionByRange(max(1, -(-size // max_bytes)), *[F.col(quote(c)) for c in layout.cluster])
+        shaped = with_shards(frame, layout, self.tag, self.into)
+        if not layout.cluster:
+            shaped = by_partition(shaped, (*layout.shard, BATCH))
+        columns = {f.name: f for f in (*self.into.fields, *layout.hidden)}
+        version = None
+        lease(self.spark, target, path)
+        try:
+            schema = T.StructType([columns[c] for c in shaped.columns])
+            create_file_table(self.spark, table, schema, path, self.max_records, (*layout.shard, BATCH))
+            try:
+                shaped.write.insertInto(table)
+                landed = {part: f"{path}/{part}" for part in partition_names(self.spark, table)}
+            finally:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            version = new_version(
+                self.spark, self.name, target.location, self.into, layout, {**held, **landed}, create_file_table, partition_spec
+            )
+            now = find_target(self.spark, self.name, self.location)
+            if self.mode != "replace" and (now.exists, now.version) != (target.exists, target.version):
+                raise SyncError(f"{self.output}: {self.name} was written by another writer meanwhile; {self.mode} again")
+            publish(self.spark, target, self.into, version, _ledger(target.ledger, [self.tag]))
+        except BaseException:
+            if version is None or find_target(self.spark, self.name, self.location).version != version:
+                if version:
+                    drop_version(self.spark, self.name, target.location, version)
+                files.remove(self.spark, path)
+            raise
+        finally:
+            release(self.spark, target, path)
+        return sum(1 for _ in landed) if layout.cluster else files.data_files(self.spark, path)
+
     # -- tables whose format has its own atomic writes --------------------------------------------
 
     def _append_v2(self, target: Target) -> tuple[int, None]:
@@ -449,6 +627,40 @@ class StagedWrite:
         return rows, count
 
 
+    # -- compaction ---------------------------------------------------------------------------------
+
+    def compact(self, max_batches: int) -> tuple[int, int]:
+        """Rewrite what lies in more than ``max_batches`` batches; the frame must be the target's own rows."""
+        self._leave("committed")
+        target = find_target(self.spark, self.name)
+        if target.kind not in ("published", "sharded") or not target.exists:
+            raise SyncError(f"{self.output}: {self.name} has no batches to bring together")
+        self.current, self.into = self.frame, self.frame.schema
+        max_bytes = self.max_bytes or FILE_BYTES
+        if target.kind == "published":
+            self.batches = self._batches(target)
+            if self.batches is None or len(self.batches) <= max_batches:
+                return 0, 0
+            count = max(1, -(-files.size(self.spark, target.version_dir) // max_bytes))
+            return self._new_version(target, self.frame.repartition(count))
+        held = read_parts(self.spark, target.location, target.version)
+        groups: dict[str, list[str]] = {}
+        for part in held:
+            if not target.layout.cluster or files.size(self.spark, held[part]) * 2 < max_bytes:
+                groups.setdefault(shard_of(part), []).append(part)
+        old = {part for parts in groups.values() if len(parts) > max_batches for part in parts}
+        if not old:
+            return 0, 0
+        store = self.spark.table(version_table(self.name, target.version))
+        names = [*target.layout.shard, BATCH]
+        rows = partition_rows(store, names, sorted(map(key_of, old))).select([F.col(quote(c)) for c in self.into.names])
+        seen = Observation()
+        size = sum(files.size(self.spark, held[part]) for part in old)
+        kept = {part: place for part, place in held.items() if part not in old}
+        count = self._publish_parts(target, kept, rows.observe(seen, F.count(F.lit(1)).alias("rows")), size)
+        return seen.get["rows"], count
+
+
 def write(df: DataFrame, output: str, mode: str, **settings) -> DataFrame:
     with StagedWrite(df, output, mode, **settings) as staged:
         return staged.commit()
@@ -467,3 +679,14 @@ def replace(df: DataFrame, output: str, **settings) -> DataFrame:
 def merge(df: DataFrame, output: str, keys: Sequence[str], order_by: Sequence[str], **settings) -> DataFrame:
     """Upsert the last row per key. Idempotent: the same rows again change nothing."""
     return write(df, output, "merge", keys=keys, order_by=order_by, **settings)
+
+
+def compact(spark: SparkSession, output: str, max_batches: int = 1, **settings) -> DataFrame:
+    """Bring the batches of a published or sharded target together into files of about ``max_file_bytes`` (128 MiB).
+
+    Rows stay the same; readers see the batches or the files, never both, and a writer that lands meanwhile is noticed. What
+    a ledger needs to recognise a replayed stream batch is kept. Returns ``rows`` rewritten and ``files``.
+    """
+    name = current_name(spark, output)
+    with StagedWrite(spark.table(name.quoted), output, "append", strict_nested=False, **settings) as staged:
+        return spark.createDataFrame([staged.compact(max_batches)], "rows BIGINT, files BIGINT")

@@ -11,6 +11,7 @@ from tablesync.errors import SyncError
 from tablesync.operators.dedup import SEQUENCE, with_sequence
 from tablesync.sinks import files
 from tablesync.sinks import write as sinks
+from tablesync.sinks.partitions import partition_keys, partition_rows
 from tablesync.sinks.target import clean_versions, find_target
 from tablesync.sinks.write import StagedWrite, append, ensure_target, merge, replace, write
 from tablesync.sources.read import current_name, read_table
@@ -188,11 +189,11 @@ def test_checks_before_any_job(spark, name):
     df = frame(spark, (1, "a"))
     nested = spark.sql("SELECT array(1) AS tags, 1 AS id")
     cases = [
-        (lambda: write(df, name, "upsert"), "write mode"),
+        (lambda: write(df, name, "upsert"), "none of the ways"),
         (lambda: append(df, name, schema_policy="evolve"), "schema policy"),
         (lambda: merge(df, name, [], ["id"]), "at least one key"),
         (lambda: merge(df, name, ["ID"], ["id"]), "'ID'"),
-        (lambda: merge(nested, name, ["tags"], ["id"]), "'tags' nested"),
+        (lambda: merge(nested, name, ["tags"], ["id"]), "'tags' cannot be compared"),
         (lambda: merge(df, name, ["id"], []), "ordering"),
         (lambda: merge(df, name, ["id"], ["gone"]), "'gone'"),
         (lambda: merge(df, name, ["id"], ["id"], columns=["name"]), "'id' not among"),
@@ -424,7 +425,7 @@ def test_many_touched_partitions_prune_the_scan_too(spark, name, count):
     spark.sql(f"CREATE TABLE {name} (id BIGINT, day INT, kind STRING) USING parquet PARTITIONED BY (day, kind)")
     append(frame(spark, (1, 5, "a/b"), (2, 6, None), (3, -7, "c"), ddl="id BIGINT, day INT, kind STRING"), name)
     some = spark.range(count).select(F.col("id").cast("int").alias("day"), F.lit("a/b").alias("kind")).union(frame(spark, (6, None), ddl="day INT, kind STRING"))
-    touched = sinks._partition_rows(spark.table(name), some)
+    touched = partition_rows(spark.table(name), some.columns, partition_keys(some))
     assert "PartitionFilters: [" in plan(touched) and "PartitionFilters: []" not in plan(touched)
     assert sorted(r["id"] for r in touched.collect()) == [1, 2]
 
@@ -467,10 +468,40 @@ def test_a_table_merge_notices_an_append(spark, name, monkeypatch):
     assert rows(spark, name) == [(1, "a"), (7, "late")]
 
 
+@pytest.mark.parametrize("change", ["changed", "new", "dropped", "moved"])
+def test_a_partition_merge_notices_another_writer(spark, name, change, monkeypatch, tmp_path):
+    ddl = "id BIGINT, v STRING, day STRING"
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY (day)")
+    append(frame(spark, (1, "a", "d1"), (9, "z", "a/b ~c"), (5, "n", None), ddl=ddl), name)
+    into = "d2" if change == "new" else "d1"
+    real = sinks.merge_frame
+
+    def meanwhile(*args, **more):
+        monkeypatch.setattr(sinks, "merge_frame", real)
+        if change == "dropped":
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION (day = 'd1')")
+        elif change == "moved":
+            spark.sql(f"ALTER TABLE {name} PARTITION (day = 'd1') SET LOCATION '{tmp_path}'")
+        else:
+            append(frame(spark, (3, "late", into), ddl=ddl), name)
+        return real(*args, **more)
+
+    monkeypatch.setattr(sinks, "merge_frame", meanwhile)
+    with pytest.raises(SyncError, match="meanwhile"):
+        merge(frame(spark, (2, "b", into), (9, "y", "a/b ~c"), (5, "m", None), ddl=ddl), name, ["id", "day"], ["v"])
+    late = {"changed": [(3, "late", "d1")], "new": [(3, "late", "d2")]}.get(change, [])
+    stays = [(1, "a", "d1")] if change in ("changed", "new") else []
+    assert rows(spark, name) == sorted([*stays, *late, (9, "z", "a/b ~c"), (5, "n", None)], key=str)
+    # An append to a partition the merge does not touch is no conflict.
+    monkeypatch.setattr(sinks, "merge_frame", lambda *a, **k: (append(frame(spark, (8, "o", "other"), ddl=ddl), name), real(*a, **k))[1])
+    merge(frame(spark, (9, "y", "a/b ~c"), ddl=ddl), name, ["id", "day"], ["v"])
+    assert (9, "y", "a/b ~c") in rows(spark, name) and (8, "o", "other") in rows(spark, name)
+
+
 def test_the_touched_partitions_prune_the_scan(spark, name):
     spark.sql(f"CREATE TABLE {name} (id BIGINT, day INT) USING parquet PARTITIONED BY (day)")
     append(frame(spark, (1, 5), (2, 6), (3, 7), ddl="id BIGINT, day INT"), name)
-    touched = sinks._partition_rows(spark.table(name), frame(spark, (6,), (None,), ddl="day INT"))
+    touched = partition_rows(spark.table(name), ["day"], partition_keys(frame(spark, (6,), (None,), ddl="day INT")))
     text = plan(touched)
     assert "PartitionFilters: [" in text and "day" in text.split("PartitionFilters: [")[1].split("]")[0]
     assert [tuple(r) for r in touched.collect()] == [(2, 6)]
