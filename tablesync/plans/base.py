@@ -9,8 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.session import scratch_dir
-from tablesync.sources.names import quote
-from tablesync.sources.read import read_table
+from tablesync.sinks.target import drop_target, find_target
+from tablesync.sources.read import current_name, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,9 +43,9 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 class ScratchTarget:
-    """A new published target in the shared scratch folder, under a name of its own.
+    """A new published or sharded target in the shared scratch folder, under a name of its own.
 
-    Its files stay behind for the lazy result; the catalog entry does not.
+    Its files stay behind for the lazy result; the catalog entries do not.
     """
 
     def __init__(self, spark: SparkSession):
@@ -57,7 +57,13 @@ class ScratchTarget:
         return self
 
     def __exit__(self, *exc) -> None:
-        self.spark.sql(f"DROP VIEW IF EXISTS {quote(self.name)}")
+        drop_target(self.spark, find_target(self.spark, current_name(self.spark, self.name)))
 
     def read(self) -> DataFrame:
         return read_table(self.spark, self.name)
+
+    def result(self) -> DataFrame:
+        """The rows as they are now, in files of their own: parts need the catalog entries that go."""
+        path = scratch_dir(self.spark, "result")
+        self.read().write.parquet(path)
+        return self.spark.read.parquet(path)

@@ -168,3 +168,24 @@ def write_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").cast(T.FloatType()).alias("balance"),
     )
     return normalize_for_write(customer)
+
+
+@register(
+    """SELECT o_orderkey, 'INTERVAL ''' || CASE WHEN us < 0 THEN '-' ELSE '' END || (abs(us) // 86400000000) || ' ' ||
+              printf('%02d:%02d:%02d', CAST(abs(us) // 3600000000 % 24 AS INT), CAST(abs(us) // 60000000 % 60 AS INT),
+                     CAST(abs(us) // 1000000 % 60 AS INT)) ||
+              CASE WHEN us % 1000000 = 0 THEN '' ELSE rtrim(printf('.%06d', CAST(abs(us) % 1000000 AS INT)), '0') END ||
+              ''' DAY TO SECOND' AS behind,
+              'INTERVAL ''' || CASE WHEN m < 0 THEN '-' ELSE '' END || (abs(m) // 12) || '-' || (abs(m) % 12) || ''' YEAR TO MONTH' AS months
+       FROM (SELECT o_orderkey, date_diff('microsecond', o_orderdate, TIMESTAMP '1996-06-30 12:34:56.789')
+                    + CAST(o_orderkey % 7 AS BIGINT) * 10 AS us,
+                    CAST(o_custkey % 50 - 25 AS BIGINT) AS m FROM orders)"""
+)
+def interval_to_text_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of both signs down to microseconds, and of years and months."""
+    since = F.expr(
+        "TIMESTAMP_NTZ '1996-06-30 12:34:56.789' - CAST(o_orderdate AS TIMESTAMP_NTZ)"
+        " + make_dt_interval(0, 0, 0, CAST(o_orderkey % 7 AS INT) * 0.00001)"
+    )
+    months = F.expr("make_ym_interval(0, CAST(o_custkey % 50 - 25 AS INT))")
+    return load(spark, sf_dir, "orders").select("o_orderkey", interval_text(since).alias("behind"), interval_text(months).alias("months"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablesync.plans.base import ScratchTarget, load, register
 from tablesync.plans.merges import AGAIN, LOADED, last
 from tablesync.session import scratch_dir
-from tablesync.sinks.write import append, merge, replace
+from tablesync.sinks.write import append, compact, merge, replace
 from tablesync.sources.names import literal
 from tablesync.sources.read import incremental, read_table
 from tablesync.streaming.stream import stream_append, stream_merge
@@ -197,7 +197,7 @@ def stream_merge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = scratch_dir(spark, "stream")
     with ScratchTarget(spark) as target:
         for stream in _arrivals(spark, sf_dir, ["user_id", "event_id", "ts", "value"]):
-            stream_merge(stream, target.name, ["user_id"], ["ts", "event_id"], checkpoint, **target.settings).awaitTermination()
+            stream_merge(stream, target.name, ["user_id"], ["ts", "event_id"], checkpoint, buckets=0, **target.settings).awaitTermination()
         return target.read()
 
 
@@ -208,3 +208,92 @@ def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         for stream in _arrivals(spark, sf_dir, ["event_id", "ts", "user_id", "value"]):
             stream_append(stream, target.name, checkpoint, **target.settings).awaitTermination()
         return target.read()
+
+
+_LAST_BY_USER = f"SELECT user_id, event_id, ts, value FROM ({last('events', 'user_id', 'ts DESC, event_id DESC')})"
+_HALVES = ({"upper": "2024-01-18 12:00:00"}, {"lower": "2024-01-15 12:00:00"})
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value")
+
+
+@register(_LAST_BY_USER)
+def sink_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event per user, merged into an unpartitioned file table in two increments."""
+    events = _events(spark, sf_dir)
+    name, result = f"scratch_{uuid.uuid4().hex[:16]}", scratch_dir(spark, "result")
+    spark.sql(
+        f"CREATE TABLE {name} (user_id BIGINT, event_id BIGINT, ts TIMESTAMP_NTZ, value DOUBLE) "
+        f"USING parquet LOCATION {literal(scratch_dir(spark, 'table'))}"
+    )
+    try:
+        for window in _HALVES:
+            merge(incremental(events, "ts", **window), name, ["user_id"], ["ts", "event_id"])
+        read_table(spark, name).write.parquet(result)  # the table goes with its catalog entry
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(result)
+
+
+@register(_LAST_BY_USER)
+def sink_merge_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into buckets of the users: the second increment rewrites those it has users in."""
+    events = _events(spark, sf_dir)
+    with ScratchTarget(spark) as target:
+        for i, window in enumerate(_HALVES):
+            more = {} if i else {"buckets": 8, **target.settings}
+            merge(incremental(events, "ts", **window), target.name, ["user_id"], ["ts", "event_id"], **more)
+        return target.result()
+
+
+@register(
+    """SELECT coalesce(l_orderkey, o_orderkey) AS o_orderkey, o_custkey, coalesce(CAST(l_extendedprice AS DOUBLE), CAST(o_totalprice AS DOUBLE)) AS o_totalprice
+       FROM orders FULL JOIN (SELECT * FROM lineitem WHERE l_orderkey < 300 QUALIFY row_number() OVER (
+         PARTITION BY l_orderkey ORDER BY l_shipdate DESC, CAST(l_extendedprice AS DOUBLE) DESC) = 1) ON l_orderkey = o_orderkey"""
+)
+def sink_merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files by key range; lines of the first orders rewrite only the files that hold those."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    lines = load(spark, sf_dir, "lineitem").where("l_orderkey < 300").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").cast("double").alias("o_totalprice"), "l_shipdate"
+    )
+    size = {"max_file_bytes": 1 << 17}
+    with ScratchTarget(spark) as target:
+        append(orders, target.name, cluster_by=["o_orderkey"], **size, **target.settings)
+        merge(lines, target.name, ["o_orderkey"], ["l_shipdate", "o_totalprice"], columns=["o_orderkey", "o_totalprice"], **size)
+        return target.result()
+
+
+@register("SELECT user_id, event_id, ts, value, CAST(ts AS DATE) AS day FROM events")
+def sink_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three windows appended by day, then the days that lie in several batches brought together."""
+    events = _events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    with ScratchTarget(spark) as target:
+        for i, window in enumerate(_WINDOWS):
+            append(incremental(events, "ts", **window), target.name, **({} if i else {"partition_by": ["day"], **target.settings}))
+        compact(spark, target.name)
+        return target.result()
+
+
+@register(last("(SELECT user_id, event_id, ts, value, CAST(ts AS DATE) AS day FROM events)", "day, user_id", "ts DESC, event_id DESC"))
+def stream_merge_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event per user and day by stream: a micro-batch rewrites only its days."""
+    checkpoint = scratch_dir(spark, "stream")
+    with ScratchTarget(spark) as target:
+        for stream in _arrivals(spark, sf_dir, ["user_id", "event_id", "ts", "value"]):
+            stream = stream.withColumn("day", F.to_date("ts"))
+            stream_merge(
+                stream, target.name, ["day", "user_id"], ["ts", "event_id"], checkpoint, partition_by=["day"], **target.settings
+            ).awaitTermination()
+        return target.result()
+
+
+@register(_LAST_BY_USER)
+def stream_merge_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last event per user by stream, into the buckets that a stream's own target has."""
+    checkpoint = scratch_dir(spark, "stream")
+    with ScratchTarget(spark) as target:
+        for stream in _arrivals(spark, sf_dir, ["user_id", "event_id", "ts", "value"]):
+            stream_merge(stream, target.name, ["user_id"], ["ts", "event_id"], checkpoint, **target.settings).awaitTermination()
+        return target.result()

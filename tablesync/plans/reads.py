@@ -12,7 +12,7 @@ from tablesync.functions.types import describe_dataset
 from tablesync.plans.base import load, path, register
 from tablesync.session import scratch_dir
 from tablesync.sources.names import quote
-from tablesync.sources.read import Window, partition_counts, read_path, read_query, read_staged, shape_read
+from tablesync.sources.read import Window, partition_counts, read_path, read_query, read_staged, shape_read, split_counts
 
 
 @register("SELECT c_name, c_custkey FROM customer")
@@ -190,3 +190,19 @@ def partition_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         for t in ("events", "lineitem", "orders")
     ]
     return reduce(DataFrame.unionByName, totals)
+
+
+@register(
+    """SELECT 'events' AS dataset, 'events.parquet' AS file, count(*) AS rows_total FROM events
+       UNION ALL SELECT 'lineitem', 'lineitem.parquet', count(*) FROM lineitem
+       UNION ALL SELECT 'orders', 'orders.parquet', count(*) FROM orders"""
+)
+def split_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each file of three tables, added up over its splits."""
+    totals = [
+        split_counts(load(spark, sf_dir, t))
+        .groupBy(F.lit(t).alias("dataset"), F.element_at(F.split("file", "/"), -1).alias("file"))
+        .agg(F.sum("rows").alias("rows_total"))
+        for t in ("events", "lineitem", "orders")
+    ]
+    return reduce(DataFrame.unionByName, totals)

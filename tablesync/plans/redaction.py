@@ -92,3 +92,20 @@ def _registered_sql(text: str) -> str:
 @register(f"SELECT doc_id, {_registered_sql('text')} AS text FROM documents")
 def redact_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact_text(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", SECRETS)
+
+
+# Many registered secrets: a few syllables of the example's languages put together; some start or hold others.
+_PARTS = ("an", "er", "th", "ion", "sch", "eau", "de", "ment", "ció", "lich", "ou", "in", "es", "ar", "ver", "qu")
+MANY_SECRETS = tuple(a + b for a in _PARTS for b in _PARTS) + tuple(a + b + a for a in _PARTS[:8] for b in _PARTS[8:])
+
+
+def _many_sql(text: str) -> str:
+    for secret in sorted({s for s in MANY_SECRETS if len(s) >= 3}, key=lambda s: (-len(s), s)):
+        text = f"replace({text}, '{secret}', '***')"
+    return _masked_sql(text)
+
+
+@register(f"SELECT doc_id, {_many_sql('text')} AS text FROM documents")
+def redact_many_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hundred registered secrets, looked up by one pattern."""
+    return redact_text(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", MANY_SECRETS)

@@ -198,6 +198,14 @@ def _clean_parts(spark: SparkSession, target: Target, free) -> list[str]:
     return old
 
 
+def drop_target(spark: SparkSession, target: Target) -> None:
+    """Remove a target's catalog entries, those of a sharded target's versions too. Files of views and external tables stay."""
+    spark.sql(f"DROP {'VIEW' if target.kind in ('published', 'sharded') else 'TABLE'} IF EXISTS {target.name.quoted}")
+    if target.kind == "sharded":
+        for version in files.children(spark, f"{target.location}/_parts"):
+            spark.sql(f"DROP TABLE IF EXISTS {version_table(target.name, version)}")
+
+
 def partition_location(spark: SparkSession, table: str, name: str) -> str | None:
     """Where one partition of a table lies, or None if there is none of that name."""
     try:

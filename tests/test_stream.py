@@ -1,9 +1,12 @@
+import os
 import uuid
 
 import pytest
 
-from tablesync.sinks.write import ensure_target
-from tablesync.sources.read import read_table
+from tablesync.sinks.sharded import read_parts
+from tablesync.sinks.target import find_target
+from tablesync.sinks.write import ensure_target, replace
+from tablesync.sources.read import current_name, read_table
 from tablesync.streaming.stream import stream_append, stream_merge
 
 DDL = "id BIGINT, at INT, name STRING"
@@ -64,3 +67,36 @@ def test_stream_append_recognises_a_replayed_batch(spark, landing, monkeypatch):
     stream_append(stream, name, checkpoint).awaitTermination()
     assert calls[0] == calls[1]
     assert rows(spark, name) == [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (7, 7, "g")]
+
+
+def test_a_stream_of_merges_rewrites_only_the_buckets_it_touches(spark, landing):
+    add, stream, name, checkpoint = landing
+    add(*((i, 1, "x") for i in range(100, 200)))
+
+    def parts():
+        target = find_target(spark, current_name(spark, name))
+        return read_parts(spark, target.location, target.version)
+
+    stream_merge(stream, name, ["id"], ["at"], checkpoint).awaitTermination()
+    before = parts()
+    assert len(before) == 16
+    add((150, 2, "y"))
+    stream_merge(stream, name, ["id"], ["at"], checkpoint).awaitTermination()
+    assert len(set(before.items()) & set(parts().items())) == 15
+    found = rows(spark, name)
+    assert len(found) == 102 and (150, 2, "y") in found
+
+
+def test_a_replayed_append_is_known_after_a_replace(spark, landing):
+    add, stream, name, checkpoint = landing
+    stream_append(stream, name, checkpoint).awaitTermination()
+    replace(spark.createDataFrame([(9, 9, "r")], DDL), name)
+    # As a driver that died after landing batch 0 and before noting it.
+    for kind in ("commits",):
+        for file in os.listdir(f"{checkpoint}/{kind}"):
+            os.remove(f"{checkpoint}/{kind}/{file}")
+    stream_append(stream, name, checkpoint).awaitTermination()
+    assert rows(spark, name) == [(9, 9, "r")]
+    add((7, 7, "g"))
+    stream_append(stream, name, checkpoint).awaitTermination()
+    assert rows(spark, name) == [(7, 7, "g"), (9, 9, "r")]
