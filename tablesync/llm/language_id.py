@@ -23,9 +23,9 @@ from tablesync.llm.common import broadcast_object, load, map_batches, staged
 ORDER = 4
 #: A code point has 16 bits of a key; those beyond the basic plane share the codes of its private use area.
 _BITS = 16
-#: n-grams of a language and order that a model keeps at most, the most frequent; all are counted and estimated, and the
-#: probability of those not kept goes to the shorter context.
-MAX_GRAMS = 500_000
+#: Share of the counts of a language and order from which on a model keeps an n-gram, the same at every size; all n-grams
+#: are counted and estimated, and the probability of those not kept goes to the shorter context.
+LEAST_SHARE = 2e-7
 #: Share of the labelled texts told right that may lie beyond the limit of rejection.
 FALSE_REJECTION = 0.001
 #: Standard deviations above the mean of its language and length at which a text is rejected, where too few texts are
@@ -154,33 +154,48 @@ def _model(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]) -> Mo
     return Model(*parts, floor=1 / 0x10000)
 
 
-def estimate(counts: DataFrame, max_grams: int = MAX_GRAMS) -> dict[str, Model]:
+def count_levels(counts: DataFrame) -> DataFrame:
+    """``lang, o, gram, n, total``: the counts of all orders and those of each gram's context, from ``lang, gram, n``.
+
+    Shorter orders count the distinct characters before; all orders are aggregated at once.
+    """
+    mask = lambda o: F.lit((1 << (_BITS * o)) - 1 if o < ORDER else -1).cast("bigint")
+    shorter = F.array(*[
+        F.struct(F.lit(o).alias("o"), F.col("gram").bitwiseAND(mask(o)).alias("gram"), F.col("gram").bitwiseAND(mask(o + 1)).alias("longer"))
+        for o in range(1, ORDER)
+    ])
+    met = counts.select("lang", F.explode(shorter).alias("x")).select("lang", "x.*").distinct()
+    every = counts.select("lang", F.lit(ORDER).alias("o"), "gram", "n").unionByName(
+        met.groupBy("lang", "o", "gram").agg(F.count(F.lit(1)).alias("n"))
+    ).withColumn("context", F.shiftrightunsigned("gram", _BITS))
+    totals = every.groupBy("lang", "o", "context").agg(F.sum("n").alias("total"))
+    return every.join(totals, ["lang", "o", "context"]).select("lang", "o", "gram", "n", "total")
+
+
+def estimate(counts: DataFrame, least_share: float = LEAST_SHARE) -> dict[str, Model]:
     """The model of each language of ``counts`` (``lang, gram, n``): counts, totals and discounts over all n-grams, in Spark."""
-    levels: dict[str, list] = {}
-    level = staged(counts, "language-grams")
-    for order in range(ORDER, 0, -1):
-        # Different counts are few: about the root of twice the characters at most.
-        ladder = level.groupBy("lang", "n").count().toPandas()
-        least, discount = {}, {}
-        for lang, rows in ladder.groupby("lang"):
-            rows = rows.sort_values("n", ascending=False)
-            kept = rows[rows["count"].cumsum() <= max_grams]
-            least[lang] = int(kept["n"].min()) if len(kept) else int(rows["n"].max()) + 1
-            discount[lang] = _discount(*(int(rows.loc[rows["n"] == k, "count"].sum()) for k in (1, 2)))
-        wanted = F.lit(False)
-        for lang, bound in least.items():
-            wanted |= (F.col("lang") == lang) & (F.col("n") >= bound)
-        context = level.withColumn("context", F.shiftrightunsigned("gram", _BITS))
-        totals = context.groupBy("lang", "context").agg(F.sum("n").alias("total"))
-        rows = context.where(wanted).join(totals, ["lang", "context"]).select("lang", "gram", "n", "total").toPandas()
-        for lang in least:
-            part = rows[rows["lang"] == lang]
-            keys = part["gram"].to_numpy(np.int64).view(np.uint64)
-            levels.setdefault(lang, []).append((keys, part["n"].to_numpy(float), part["total"].to_numpy(float), discount[lang]))
-        if order > 1:
-            shorter = F.col("gram").bitwiseAND(F.lit((1 << (_BITS * (order - 1))) - 1))
-            level = staged(level.groupBy("lang", shorter.alias("gram")).agg(F.count("*").alias("n")), "language-grams")
-    return {lang: _model(found) for lang, found in levels.items()}
+    levels = staged(count_levels(counts), "language-levels")
+    ladder = levels.groupBy("lang", "o").agg(
+        F.sum("n").alias("all"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")
+    ).collect()  # one row a language and order
+    if not ladder:
+        return {}
+    langs = sorted({r["lang"] for r in ladder})
+    known = counts.sparkSession.createDataFrame(
+        [(r["lang"], r["o"], langs.index(r["lang"]), float(r["all"] * least_share)) for r in ladder], "lang string, o int, k int, least double"
+    )
+    # At most 1 / least_share n-grams of a language and order come back: their shares add up to one.
+    rows = levels.join(F.broadcast(known), ["lang", "o"]).where(F.col("n") >= F.col("least")).select("k", "o", "gram", "n", "total").toArrow()
+    k, o, grams, n, totals = (rows.column(name).to_numpy() for name in rows.column_names)
+    discount = {(r["lang"], r["o"]): _discount(r["ones"], r["twos"]) for r in ladder}
+    found = {}
+    for i, lang in enumerate(langs):
+        parts = []
+        for order in range(ORDER, 0, -1):
+            at = (k == i) & (o == order)
+            parts.append((grams[at].view(np.uint64), n[at].astype(float), totals[at].astype(float), discount[lang, order]))
+        found[lang] = _model(parts)
+    return found
 
 
 @dataclass(frozen=True)
@@ -231,18 +246,19 @@ class Models:
 SCORE_SCHEMA = "doc_id bigint, lang_pred string, score double, entropy double, rejected boolean"
 
 
-def fit_models(docs: DataFrame, max_grams: int = MAX_GRAMS) -> Models:
+def fit_models(docs: DataFrame, least_share: float = LEAST_SHARE) -> Models:
     """Learn from ``lang`` and ``text`` of all rows of ``docs``; null languages and texts teach nothing."""
     teach = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     # Counted by halves: a text is measured by models that have not learned from it or its copies.
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("string")
     counts = staged(count_windows(teach.select(F.concat(half, "lang").alias("lang"), "text")), "language-halves")
-    found = estimate(counts.groupBy(F.expr("substr(lang, 2)").alias("lang"), "gram").agg(F.sum("n").alias("n")), max_grams)
-    langs = sorted(found)
+    # The whole is their sum; all three are estimated together.
+    whole = counts.groupBy(F.expr("'2' || substr(lang, 2)").alias("lang"), "gram").agg(F.sum("n").alias("n"))
+    halves = estimate(counts.unionByName(whole), least_share)
+    langs = sorted(lang[1:] for lang in halves if lang[0] == "2")
     if not langs:
         return Models([], [])
-    models = [found[lang] for lang in langs]
-    halves = estimate(counts, max_grams // 2)
+    models = [halves["2" + lang] for lang in langs]
     size = F.least(F.floor(F.log2("n_windows")), F.lit(LENGTHS - 1)).cast("int")
     measured = []
     for k, other in ("01", "10"):
@@ -289,7 +305,7 @@ def score_languages(docs: DataFrame, models: Models, extra: str | None = None) -
 
     ``und``, score 0 and rejected for a null text or one without a letter. Null ids stay null, repeated rows repeated.
     """
-    shared = broadcast_object(docs.sparkSession, models)  # bounded by MAX_GRAMS a language and order
+    shared = broadcast_object(docs.sparkSession, models)  # bounded by 1 / LEAST_SHARE n-grams a language and order
 
     def each(doc_id, text, **more):
         found = shared().score(text)
