@@ -1,9 +1,12 @@
-"""Benchmark decontamination (operator 7): exact seeds, then edit distance; all over words.
-
-An item is cut into one piece more than the edits it may have, of about five words at most. Each edit can break one
-piece, so that a passage within the allowed edits holds one of them unbroken: every such passage is found, whatever its
-length and edits. Where a piece stands in a text, the words around must be the item's but for the allowed edits; there
-the edit distance to the best stretch decides.
+"""Benchmark decontamination (operator 7): CGK walks and bit-sampling keys for candidates, edit distance; all over words.
+
+An item is cut into windows that share its allowed edits, so that in every passage within them some window has one edit
+at most. A CGK walk embeds a window: at each step it notes the word it stands at, and a random bit of that word decides
+whether it goes on to the next, so that windows an edit apart soon walk in step again and differ in few places. Keys of a few
+places of the embedding, sampled anew for each of several walks, meet with a probability that the number of keys brings to
+the target recall. Windows of all texts are embedded alike, those that hold as many words and pairs of neighbours of the
+items as one edit must leave. Where a key meets,
+the words around must be the item's but for the allowed edits; there the edit distance to the best stretch decides.
 """
 
 from __future__ import annotations
@@ -19,8 +22,11 @@ from tablesync.llm.common import broadcast_object, load, map_batches
 
 #: A passage is a leak if its words are within this share of an item's words in edits.
 EDIT_SHARE = 0.2
-#: Items of fewer words say too little to be searched.
-MIN_WORDS = 5
+#: Walks over a window, keys sampled from each, and places of the embedding a key is made of. With them a window with one
+#: edit meets its item's with a probability of 0.99 (measured in the tests), one without edits always.
+WALKS, SAMPLES, PLACES = 24, 3, 4
+#: Bits that tell the known pairs of neighbours, at most.
+PAIR_BITS = 24
 #: Words of the joined texts of a batch that are looked up at once.
 CHUNK_WORDS = 100_000
 #: Items that one pass over the documents searches for; a larger benchmark takes more passes.
@@ -53,20 +59,47 @@ def best_stretch(item: list[int], text: list[int] | np.ndarray) -> tuple[int, in
     return int(edits[end]), int(row[end] % unit), end
 
 
-def pieces_of(length: int) -> list[tuple[int, int]]:
-    """``(start, words)`` of the pieces of an item: one more than its allowed edits, as equal as they can be."""
-    parts = edits_allowed(length) + 1
+def windows_of(length: int) -> list[tuple[int, int]]:
+    """``(start, words)`` of the windows of an item, as equal as they can be: so many that some has one edit at most."""
+    parts = edits_allowed(length) // 2 + 1
     cuts = [length * k // parts for k in range(parts + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def window_keys(line: np.ndarray, size: int) -> np.ndarray:
-    """A key of each ``size`` words in a row; keys of different words may meet."""
-    count = max(0, len(line) - size + 1)
-    key = np.full(count, size, np.uint64)
-    for k in range(size):
-        key = (key ^ (key >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + line[k : k + count].astype(np.uint64)
-    return key
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """Random-looking 64-bit values of small numbers."""
+    x = (numbers.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _pairs(line: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Places in a table for each two neighbours of a line of mixed words."""
+    return ((line[:-1] * np.uint64(0xD6E8FEB86659FD93) ^ line[1:]) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - (len(table).bit_length() - 1))).astype(np.int64)
+
+
+def walk_keys(line: np.ndarray, starts: np.ndarray, size: int, walk: int) -> list[np.ndarray]:
+    """The sampled keys of one CGK walk over each window of ``size`` words of ``line`` (mixed words) from ``starts`` on.
+
+    A walk takes two steps a word; a window that is walked through stays at its end.
+    """
+    rng = np.random.default_rng((size, walk))
+    steps = 2 * size
+    turns = rng.integers(0, 1 << 63, steps, np.uint64) * np.uint64(2) + np.uint64(1)
+    # The last places are reached by few walks only in step, and say little.
+    places = [set(rng.choice(steps - 1, min(PLACES, steps - 1), replace=False).tolist()) for _ in range(SAMPLES)] if steps > 2 else [{0}]
+    keys = [np.full(len(starts), size * 1_000_003 + walk * 1009 + k, np.uint64) for k in range(len(places))]
+    at, end = starts.copy(), starts + size
+    for step in range(steps):
+        word = line[np.minimum(at, end - 1)]
+        word = np.where(at < end, word, np.uint64(1))
+        for k, sampled in enumerate(places):
+            if step in sampled:
+                keys[k] = (keys[k] ^ word) * np.uint64(0x9E3779B97F4A7C15)
+                keys[k] ^= keys[k] >> np.uint64(29)
+        at += ((word * turns[step]) >> np.uint64(63)).astype(np.int64)
+    return keys
 
 
 @dataclass(frozen=True)
@@ -76,48 +109,65 @@ class Items:
     ids: list[int]
     words: list[list[int]]
     vocabulary: dict[str, int]
-    #: words of a piece -> sorted keys of the pieces, and the item and start of each
-    seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    #: words of a window, edits it may have -> per walk and sample, sorted keys of the windows, and the item and start of each
+    seeds: dict[tuple[int, int], list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]]
+    #: by hash: do two words stand side by side in an item (or others of the same hash)
+    pairs: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int, str | None]]) -> Items:
         vocabulary: dict[str, int] = {}
         texts = [(i, words_of(t)) for i, t in rows]
-        texts = [(i, w) for i, w in texts if len(w) >= MIN_WORDS]
+        texts = [(i, w) for i, w in texts if w]
         words = [[vocabulary.setdefault(x, len(vocabulary) + 1) for x in w] for _, w in texts]
-        by_size: dict[int, list[tuple[int, int, int]]] = {}
+        by_size: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for n, w in enumerate(words):
-            keys: dict[int, np.ndarray] = {}
-            for start, size in pieces_of(len(w)):
-                if size not in keys:
-                    keys[size] = window_keys(np.array(w), size)
-                by_size.setdefault(size, []).append((int(keys[size][start]), n, start))
+            for start, size in windows_of(len(w)):
+                by_size.setdefault((size, min(1, edits_allowed(len(w)))), []).append((n, start))
+        begin = np.cumsum([0] + [len(w) for w in words])
+        line = _mixed(np.array([x for w in words for x in w], np.int64))
         seeds = {}
-        for size, found in by_size.items():
-            found.sort()
-            seeds[size] = (np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found]), np.array([f[2] for f in found]))
-        return cls([i for i, _ in texts], words, vocabulary, seeds)
+        for (size, edits), found in by_size.items():
+            item, start = np.array(found, np.int64).T
+            seeds[size, edits] = []
+            for walk in range(WALKS if edits else 1):  # without edits every walk meets
+                made = []
+                for keys in walk_keys(line, begin[item] + start, size, walk)[: None if edits else 1]:
+                    rank = np.argsort(keys, kind="stable")
+                    made.append((keys[rank], item[rank], start[rank]))
+                seeds[size, edits].append(made)
+        pairs = np.zeros(1 << min(PAIR_BITS, max(10, (16 * len(line)).bit_length())), bool)
+        pairs[_pairs(line, pairs)] = True
+        return cls([i for i, _ in texts], words, vocabulary, seeds, pairs)
 
     def _places(self, line: np.ndarray) -> dict[int, np.ndarray]:
-        """item number -> where it would start in ``line``, could be outside, by the pieces that stand there."""
+        """item number -> where it would start in ``line``, could be outside, by the windows whose keys meet there."""
         found: dict[int, list[np.ndarray]] = {}
-        for size, (keys, items, offsets) in self.seeds.items():
-            for low in range(0, len(line), CHUNK_WORDS):
-                part = line[low : low + CHUNK_WORDS + size - 1]
-                at = np.flatnonzero(part[: len(part) - size + 1] > 0)
-                wanted = window_keys(part, size)[at]
-                first = np.searchsorted(keys, wanted, "left")
-                count = np.searchsorted(keys, wanted, "right") - first
-                hit = np.flatnonzero(count)
-                if not len(hit):
-                    continue
-                first, count = first[hit], count[hit]
-                seed = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                place = np.repeat(low + at[hit], count) - offsets[seed]
-                order = np.argsort(items[seed], kind="stable")
-                numbers, starts = np.unique(items[seed][order], return_index=True)
-                for n, places in zip(numbers.tolist(), np.split(place[order], starts[1:])):
-                    found.setdefault(n, []).append(places)
+        known = np.concatenate([[0], np.cumsum(line > 0)])
+        mixed = _mixed(np.arange(len(self.vocabulary) + 1))[line]
+        near = np.concatenate([[0], np.cumsum(self.pairs[_pairs(mixed, self.pairs)] & (line[:-1] > 0) & (line[1:] > 0))])
+        for (size, edits), walks in self.seeds.items():
+            # An edit leaves all words but one of an item's window in the text's, and all pairs but two.
+            enough = known[size:] - known[:-size] >= max(1, size - edits)
+            enough &= near[size - 1 :] - near[: len(near) - size + 1] >= size - 1 - 2 * edits
+            windows = np.flatnonzero(enough)
+            for low in range(0, len(windows), CHUNK_WORDS):
+                at = windows[low : low + CHUNK_WORDS]
+                part = mixed[at[0] : at[-1] + size]
+                for walk, made in enumerate(walks):
+                    for (keys, items, offsets), wanted in zip(made, walk_keys(part, at - at[0], size, walk)):
+                        first = np.searchsorted(keys, wanted, "left")
+                        hit = np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == wanted)
+                        if not len(hit):
+                            continue
+                        first = first[hit]
+                        count = np.searchsorted(keys, wanted[hit], "right") - first
+                        seed = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+                        place = np.repeat(at[hit], count) - offsets[seed]
+                        order = np.argsort(items[seed], kind="stable")
+                        numbers, starts = np.unique(items[seed][order], return_index=True)
+                        for n, places in zip(numbers.tolist(), np.split(place[order], starts[1:])):
+                            found.setdefault(n, []).append(places)
         return {n: np.unique(np.concatenate(parts)) for n, parts in found.items()}
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
@@ -172,8 +222,8 @@ def item_blocks(benchmark: DataFrame, block: int = BLOCK_ITEMS) -> list[Items]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, start_word, end_word, edits``: each benchmark item that a row of ``docs`` holds, at its best place.
 
-    Words are runs of letters and digits, lower-cased. Null and empty texts and items hold nothing; items of fewer than
-    :data:`MIN_WORDS` words are not searched; repeated rows are reported each, null ids as null. Other columns are not read.
+    Words are runs of letters and digits, lower-cased. Null and empty texts and items hold nothing; items of fewer than five
+    words are found where they stand unchanged; repeated rows are reported each, null ids as null. Other columns are not read.
     """
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     out = None

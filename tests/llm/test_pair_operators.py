@@ -3,8 +3,9 @@
 import hashlib
 import math
 import random
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import oracle
@@ -117,17 +118,52 @@ def test_probabilities_sum_to_one_at_most():
         assert 0.95 < np.exp2(model.log2(grams.astype(np.uint64))).sum() <= 1.0 + 1e-9
 
 
+def plain_kneser_ney(texts, order=4):
+    """Interpolated Kneser-Ney over dictionaries of strings; returns the probability of a character after others."""
+    counts = {order: Counter()}
+    for text in texts:
+        plain = " " * (order - 1) + re.sub(r"[^a-z]+", " ", text).strip() + " "
+        counts[order].update(plain[i : i + order] for i in range(len(plain) - order + 1))
+    for o in range(order - 1, 0, -1):
+        counts[o] = Counter(gram[1:] for gram in counts[o + 1])
+    ones, twos = ({o: sum(n == k for n in c.values()) for o, c in counts.items()} for k in (1, 2))
+    discount = {o: ones[o] / (ones[o] + 2 * twos[o]) if ones[o] and twos[o] else 0.5 for o in counts}
+
+    def probability(gram):
+        if not gram:
+            return 1 / 0x10000
+        o, shorter = len(gram), probability(gram[1:])
+        after = {g: n for g, n in counts[o].items() if g[:-1] == gram[:-1]}
+        if not after:
+            return shorter
+        total = sum(after.values())
+        return max(after.get(gram, 0) - discount[o], 0) / total + discount[o] * len(after) / total * shorter
+
+    return probability
+
+
+def test_models_equal_plain_kneser_ney(spark):
+    texts = ["the cat sat on the mat", "the dog, the cat and the hat", "a log sat under 12 dogs", "on and on and on"]
+    counts = language_id.count_windows(spark.createDataFrame([("en", t) for t in texts], "lang string, text string"))
+    model, plain = language_id.estimate(counts)["en"], plain_kneser_ney(texts)
+    for gram in ("the ", " cat", "zzzz", "t on", "ogs ", "qthe", "   a", "and ", "log ", " dox"):
+        key = 0
+        for c in gram:
+            key = (key << 16) | ord(c)
+        assert abs(2 ** model.log2(np.array([key], np.uint64))[0] - plain(gram)) < 1e-9, gram
+
+
 def test_models_are_estimated_over_all_grams(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("lang", "text")
     counts = language_id.count_windows(docs.union(spark.createDataFrame([("xx", "漢字かな交じり文 " * 9)], docs.schema))).persist()
     rows = counts.toPandas()
-    whole, small = language_id.estimate(counts), language_id.estimate(counts, max_grams=300)
+    whole, small = language_id.estimate(counts), language_id.estimate(counts, least_share=1e-3)
     counts.unpersist()
     for lang, part in rows.groupby("lang"):
         grams = part["gram"].to_numpy(np.int64).view(np.uint64)
         plain = language_id.kneser_ney(grams, part["n"].to_numpy())
         assert np.allclose(whole[lang].log2(grams), plain.log2(grams))
-        assert all(len(k) <= 300 for k in small[lang].keys)
+        assert all(len(k) <= 1000 for k in small[lang].keys)
         # What is kept has the values of the whole model, and contexts still sum to one.
         for order in range(language_id.ORDER):
             at = np.searchsorted(plain.keys[order], small[lang].keys[order])
@@ -227,6 +263,38 @@ def test_leaks_at_the_full_edit_bound_equal_plain_edit_distance(length, kind):
     assert {f for f in decontaminate.Items.of(items).find(texts)} == want
 
 
+def test_a_window_with_one_edit_meets_its_item_with_the_stated_probability():
+    """Single windows of every size and kind of edit: the least recall, of which an item of several windows has more."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for length in range(5, 10):  # one window, one edit
+        for kind in ("replace", "insert", "delete"):
+            items = [(i, " ".join(rng.choices(vocabulary, k=length))) for i in range(200)]
+            texts = []
+            for _, text in items:
+                words, at = text.split(), rng.randrange(length)
+                words[at : at + (kind != "insert")] = [] if kind == "delete" else [rng.choice(vocabulary)]
+                texts.append(" ".join(rng.choices(vocabulary, k=20) + words + rng.choices(vocabulary, k=20)))
+            found = {(t, i) for t, i, *_ in decontaminate.Items.of(items).find(texts)}
+            assert sum((i, i) in found for i in range(200)) >= 0.985 * 200, (length, kind)
+
+
+def test_walks_of_equal_windows_meet_and_of_others_do_not():
+    rng = np.random.default_rng(3)
+    line = decontaminate._mixed(rng.integers(0, 500, 4000))
+    line[2000:2300] = line[100:400]
+    for walk in range(3):
+        for keys in decontaminate.walk_keys(line, np.arange(3980), 9, walk):
+            assert (keys[100:392] == keys[2000:2292]).all()
+            assert len(np.unique(keys)) > 1500  # neighbours may walk in step
+
+
+def test_short_items_are_found_unchanged():
+    items = decontaminate.Items.of([(1, "Alpha"), (2, "beta gamma"), (3, "one two three four"), (4, "...")])
+    found = {(t, i, a, b, e) for t, i, a, b, e in items.find(["x alpha y", "beta x gamma", "z Beta, gamma!", "one two three five", "q one two three four"])}
+    assert found == {(0, 1, 1, 2, 0), (2, 2, 1, 3, 0), (4, 3, 1, 5, 0)}
+
+
 def test_leaks_of_odd_and_no_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "short one"), (3, "x " * 12)], "item_id bigint, text string")
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(odd_docs, items).collect()} == {(10, 3)}

@@ -259,6 +259,16 @@ def test_personal_data_of_odd_and_no_rows(spark, odd_docs, no_docs):
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
     assert out.where("text IS NULL").count() == odd_docs.where("text IS NULL").count()
     assert pii_terms.pii_stage(spark, no_docs, SF_DIR).collect() == []
+    # Columns of every name an operator has used for itself come back with their own values.
+    clashes = ["__text", "__has_digit", "__spans", "__key", "__held_key", "held", "row", "key", "term", "c0", "value", "n_value", "rest", "a`b"]
+    texts = [f"mail p{i}@b.org now zorbal{'' if i else ' quux'}" for i in range(3)] * 2
+    rows = [(i, t, *(f"{c} {i} a@b.org" for c in clashes)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *clashes])
+    out = by_id(pii_terms.pii_stage(spark, docs, SF_DIR))
+    assert len(out) == 6
+    for row in rows:
+        found = out[row[0]]
+        assert "@" not in found["text"] and tuple(found[c] for c in clashes) == row[2:]
 
 
 def test_personal_data_runs_no_python(spark):
