@@ -3,9 +3,11 @@
 Personal data proper (addresses, numbers) is found by pattern. What else gives a person away is measured on the corpus: a
 term that stands in the documents of one protected value, and hardly in any other, reveals it. With counts of different
 texts, ``PMI(term; value) = log2(N * joint / (n(term) * n(value)))`` is the information that the term gives about the
-value, and ``IC(value) = log2(N / n(value))`` all there is; their ratio is what the term discloses. ``joint`` is smoothed by
-an absolute discount, one per kind of value: where most pairs meet once, as chance has it, meeting once says little. Terms
-above one threshold are generalised, above a higher one removed, wherever they stand.
+value, and ``IC(value) = log2(N / n(value))`` all there is. What is left open, ``IC - PMI``, is ``-log2(joint / n(term))``
+bits: how surely the term's texts are the value's, whatever the size of the corpus. The share is taken at its lower confidence
+bound (Wilson), so that few texts say less than many. A term that met a value in one text only discloses nothing; one that did
+in two texts is generalised if it stands in at most one more, one in nine, all of them the value's, is removed. It must also make the value eight times as
+likely as it is anyway. Terms that disclose are masked wherever they stand.
 """
 
 from __future__ import annotations
@@ -14,10 +16,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import load, staged
+from tablesync.sources.names import quote
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Share of a value's information that a term may give before it is generalised, and before it is removed.
-GENERALISE, REMOVE = 0.8, 0.95
+#: Share of a term's texts that hold the value, at its lower bound, from which on the term is generalised, and removed.
+GENERALISE, REMOVE = 0.35, 0.9
+#: Standard deviations that the lower bound lies below the share, and bits that the term must tell about the value.
+SIGMAS, LEAST_BITS = 1.0, 3
+#: Candidate terms, and bytes of them, up to which they are sent to every task.
+BROADCAST_TERMS, BROADCAST_BYTES = 300_000, 16 << 20
 #: Terms are runs of three letters or more, lower-cased.
 TERM = r"(?<!\p{L})\p{L}{3,}+"
 
@@ -80,68 +87,76 @@ def _text_key() -> Column:
     return F.xxhash64("__text")
 
 
-def disclosing_terms(found: DataFrame) -> DataFrame:
-    """``term, action`` over the whole corpus; ``found`` is stored and has ``__text`` and ``__spans``.
+def _lower_bound(joint: str, n: str) -> str:
+    """SQL: the lower end of the Wilson interval of ``joint / n``."""
+    z = SIGMAS
+    return f"(({joint} + {z * z / 2}D - {z}D * sqrt({joint} * ({n} - {joint}) / {n} + {z * z / 4}D)) / ({n} + {z * z}D))"
 
-    All counts are of different texts: a text and its copies are one. A term counts anywhere in a text but in its values.
-    """
-    rest = F.when(F.size("__spans") == 0, F.col("__text")).otherwise(F.expr("""
+
+def _rest() -> Column:
+    """The text without its values."""
+    return F.when(F.size("__spans") == 0, F.col("__text")).otherwise(F.expr("""
         aggregate(__spans, named_struct('at', 0, 'out', ''),
           (s, x) -> CASE WHEN x.end <= s.at THEN s ELSE named_struct('at', x.end, 'out', concat(s.out,
             substr(__text, s.at + 1, greatest(x.start - s.at, 0)), ' ')) END,
           s -> concat(s.out, substr(__text, s.at + 1)))"""))
-    texts = found.select(_text_key().alias("key"), rest.alias("rest"))
+
+
+def _measured(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """``term, action`` of the disclosing terms, and ``term, key`` of the texts that candidates stand in; None without any.
+
+    All counts are of different texts: a text and its copies are one. Texts with values say which terms can be
+    candidates; only those are looked for in the others.
+    """
     holding = staged(found.where("size(__spans) > 0").select(
-        _text_key().alias("key"), rest.alias("rest"),
+        _text_key().alias("key"), _rest().alias("rest"),
         F.array_distinct(F.transform("__spans", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["found"]).alias("found")))).alias("values"),
     ).dropDuplicates(["key"]), "pii-holding")
     if holding.isEmpty():
-        return found.sparkSession.createDataFrame([], "term string, action string")
-    total = float(texts.select("key").distinct().count())
-    # Values of a kind that stand in the same texts tell the same: one of them is measured, so that a text with many
-    # values does not pair each of them with each of its terms.
+        return None
+    total = float(found.select(_text_key()).distinct().count())
     held = holding.select("key", F.explode("values").alias("value"))
+    # Values of a kind that stand in the same texts tell the same: one of them is measured, so that a text with many
+    # values does not pair each of them with each of its terms. A value in one text is met once by all terms there.
     values = held.groupBy("value").agg(F.count("*").alias("n_value"), F.sum(F.xxhash64("key", F.lit(1)).cast("decimal(20,0)")).alias("where"))
-    values = values.groupBy("value.kind", "n_value", "where").agg(F.min("value").alias("value")).where(F.col("n_value") < total)  # in every text: nothing to disclose
-    values = staged(values.select("value", "n_value"), "pii-values")
-    # joint <= n_value, so that a term in more texts than this cannot reach the threshold.
-    most_texts = F.pow("n_value", F.lit(GENERALISE)) * total ** (1 - GENERALISE)
-    bound = values.agg(F.max(most_texts)).first()[0]
-    if bound is None:
-        return found.sparkSession.createDataFrame([], "term string, action string")
-    spread = texts.dropDuplicates(["key"]).select(F.explode(F.array_distinct(_terms(F.col("rest")))).alias("term")).groupBy("term").agg(
-        F.count("*").alias("n_term")
-    ).where(F.col("n_term") <= bound)
-    terms = holding.select("key", F.explode(F.array_distinct(_terms(F.col("rest")))).alias("term")).join(spread, "term")
-    pairs = terms.join(held.join(values, "value"), "key").where(F.col("n_term") <= most_texts)
-    joint = staged(pairs.groupBy("value", "term").agg(F.count("*").alias("joint"), F.first("n_term").alias("n_term"), F.first("n_value").alias("n_value")), "pii-joint")
-    share = 1 + F.log2((F.col("joint") - _discount(joint)) / F.col("n_term")) / F.log2(F.lit(total) / F.col("n_value"))
-    most = joint.groupBy("term").agg(F.max(share).alias("share"))
-    return staged(most.where(F.col("share") >= GENERALISE).select(
-        "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("action")
-    ), "pii-disclosing")
-
-
-def _discount(joint: DataFrame) -> Column:
-    """What is taken from ``joint``, by kind: ``n1 / (n1 + 2 n2)`` of the pairs that meet once and twice (Ney and Essen).
-
-    One of either is added, so that it lies between 0 and 1 where few pairs are known."""
-    met = {r["kind"]: r for r in joint.groupBy("value.kind").agg(
-        F.count_if(F.col("joint") == 1).alias("once"), F.count_if(F.col("joint") == 2).alias("twice")
-    ).collect()}
-    out = F.lit(0.5)
-    for kind, r in met.items():
-        once, twice = r["once"] + 1, r["twice"] + 1
-        out = F.when(F.col("value.kind") == kind, once / (once + 2 * twice)).otherwise(out)
-    return out
-
-
-def _with_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
+    values = values.where("n_value > 1").groupBy("value.kind", "n_value", "where").agg(F.min("value").alias("value")).select("value", "n_value")
+    terms = staged(holding.select("key", F.explode(F.array_distinct(_terms(F.col("rest")))).alias("term")), "pii-terms")
+    joint = terms.join(held.join(values, "value"), "key").groupBy("value", "term").agg(
+        F.count("*").alias("joint"), F.first("n_value").alias("n_value")
+    ).where("joint > 1")
+    enough = lambda n: f"{_lower_bound('joint', n)} >= greatest({GENERALISE}D, {2.0**LEAST_BITS}D * n_value / {total!r}D)"
+    # A term stands in as many texts as hold values, at least.
+    likely = joint.join(terms.groupBy("term").agg(F.count("*").alias("n_held")), "term").where(enough("n_held"))
+    likely = staged(likely.select("term", "joint", "n_value"), "pii-likely")
+    wanted = staged(likely.select("term").distinct(), "pii-candidates")
+    size = wanted.agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("bytes")).first()
+    if not size["n"]:
+        return None
+    few = size["n"] <= BROADCAST_TERMS and size["bytes"] <= BROADCAST_BYTES
+    stands = found.select(_text_key().alias("key"), F.explode(F.array_distinct(_terms(_rest()))).alias("term"))
+    places = staged(stands.join(F.broadcast(wanted) if few else wanted, "term").distinct(), "pii-places")
+    measured = likely.join(places.groupBy("term").agg(F.count("*").alias("n_term")), "term").where(enough("n_term"))
+    most = measured.groupBy("term").agg(F.max(F.expr(_lower_bound("joint", "n_term"))).alias("share"))
+    disclosing = staged(most.select("term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("action")), "pii-disclosing")
+    return disclosing, places
+
+
+def disclosing_terms(found: DataFrame) -> DataFrame:
+    """``term, action`` over the whole corpus; ``found`` is stored and has ``__text`` and ``__spans``.
+
+    A term counts anywhere in a text but in its values.
+    """
+    measured = _measured(found)
+    return measured[0] if measured else found.sparkSession.createDataFrame([], "term string, action string")
+
+
+def _with_terms(found: DataFrame) -> DataFrame:
     """``__spans`` with those of disclosing terms. ``found`` must be stored."""
-    if terms.isEmpty():
+    measured = _measured(found)
+    if not measured or measured[0].isEmpty():
         return found
-    held = found.select(F.xxhash64("__text").alias("key"), F.explode(F.array_distinct(_terms(F.col("__text")))).alias("term"))
-    held = held.join(terms, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("held"))
+    terms, places = measured
+    held = places.join(terms, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("held"))
     joined = found.withColumn("__key", F.xxhash64("__text")).join(held.withColumnRenamed("key", "__held_key"), F.col("__key") == F.col("__held_key"), "left")
     sql = _located(TERM, "map_contains_key(held, lower(x.found))")
     more = (
@@ -154,8 +169,9 @@ def _with_terms(found: DataFrame, terms: DataFrame) -> DataFrame:
 
 def find_private(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``__text`` (null: empty) and ``__spans``: personal data, and terms that disclose it."""
-    found = staged(with_spans(docs, text), "pii-found")
-    return _with_terms(found, disclosing_terms(found))
+    # The text is stored once: under its own name.
+    found = staged(with_spans(docs, text).drop("__text"), "pii-found").withColumn("__text", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return _with_terms(found)
 
 
 def _listed(spans: Column) -> Column:
@@ -185,10 +201,15 @@ def op4_pii_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows of ``docs`` with personal data and disclosing terms replaced in ``text``; a null text stays null."""
-    found = find_private(docs)
-    clean = F.when(F.col("text").isNotNull(), sanitised())
-    changed = found.withColumn("text", clean)
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+    """All rows of ``docs`` with personal data and disclosing terms replaced in ``text``; a null text stays null.
+
+    The other columns, whatever they are called, go along in a struct of their own and come back as they were.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select("text", F.struct(F.lit(0).alias("_"), *[F.col(quote(c)).alias(f"c{i}") for i, c in enumerate(others)]).alias("row"))
+    found = find_private(packed)
+    changed = found.withColumn("text", F.when(F.col("text").isNotNull(), sanitised()))
+    out = {c: F.col("row")[f"c{i}"] for i, c in enumerate(others)}
+    if "n_chars" in out:
+        out["n_chars"] = F.when(F.size("__spans") > 0, F.length("text")).otherwise(out["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return changed.select(*[F.col("text") if c == "text" else out[c].alias(c) for c in docs.columns])

@@ -238,22 +238,31 @@ def test_term_shares_equal_plain_counts_of_texts(spark):
     terms = {t: set(re.findall(r"(?<![^\W\d_])[^\W\d_]{3,}", mail.sub(" ", t).lower())) for t in different}
     values = {t: {m[0] for m in mail.finditer(t)} for t in different}
     n_term, n_value = Counter(w for t in different for w in terms[t]), Counter(v for t in different for v in values[t])
-    where = {v: frozenset(t for t in different if v in values[t]) for v in n_value}
-    chosen = {w: min(v for v in where if where[v] == w) for w in where.values()}
-    joint = Counter((v, w) for t in different for v in values[t] & set(chosen.values()) for w in terms[t])
-    n = len(different)
-    joint = {(v, w): k for (v, w), k in joint.items() if n_term[w] <= n_value[v] ** 0.8 * n**0.2}
-    once, twice = (1 + sum(k == c for k in joint.values()) for c in (1, 2))
-    share = {}
+    joint = Counter((v, w) for t in different for v in values[t] for w in terms[t])
+    n, share = len(different), {}
     for (v, w), k in joint.items():
-        pmi = np.log2(n * (k - once / (once + 2 * twice)) / (n_term[w] * n_value[v]))
-        share[w] = max(share.get(w, -99), pmi / np.log2(n / n_value[v]))
-    want = {w: "remove" if s >= 0.95 else "generalise" for w, s in share.items() if s >= 0.8}
+        m = n_term[w]
+        bound = (k + 0.5 - np.sqrt(k * (m - k) / m + 0.25)) / (m + 1)
+        if k > 1 and bound >= max(0.35, 8 * n_value[v] / n):
+            share[w] = max(share.get(w, 0), bound)
+    want = {w: "remove" if s >= 0.9 else "generalise" for w, s in share.items()}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     found = pii_terms.disclosing_terms(pii_terms.staged(pii_terms.with_spans(df), "test"))
     assert {r["term"]: r["action"] for r in found.collect()} == want and {"remove", "generalise"} == set(want.values())
 
 
+def test_verdicts_do_not_change_with_unrelated_texts(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijkl", k=5)) for _ in range(200)]
+    texts = [" ".join(rng.choices(words, k=15)) + f" name{chr(97 + k)} p{k}@x.org n{i}" for k in range(12) for i in range(1 + k)]
+    more = [" ".join(rng.choices(words, k=15)) + f" other {i}" for i in range(600)]
+    verdicts = []
+    for some in (texts + more[:300], texts + more):
+        df = spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string")
+        verdicts.append({r["term"]: r["action"] for r in pii_terms.disclosing_terms(pii_terms.staged(pii_terms.with_spans(df), "test")).collect()})
+    assert verdicts[0] == verdicts[1] and verdicts[0]["nameb"] == "generalise" and verdicts[0]["namel"] == "remove" and "namea" not in verdicts[0]
+
+
 def test_personal_data_of_odd_and_no_rows(spark, odd_docs, no_docs):
     out = pii_terms.pii_stage(spark, odd_docs, SF_DIR)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
