@@ -247,11 +247,14 @@ def test_a_replayed_batch_is_known_after_a_new_version(spark, name, layout, betw
     assert len(rows(spark, name)) == len(before) + 4
 
 
-def test_two_hundred_batches_become_few_files(spark, name):
+def test_two_hundred_batches_become_few_files(spark, name, tmp_path):
     append(frame(spark, (0, "v", "d")), name)
     target = target_of(spark, name)
-    for i in range(1, 200):  # as appends leave them
-        files.rename(spark, _one_file(spark, i), f"{target.version_dir}/b{i}")
+    more = spark.range(1, 200).select("id", F.lit("v").alias("v"), F.lit("d").alias("day"))
+    more.repartition(199, "id").write.option("maxRecordsPerFile", 1).parquet(f"{tmp_path}/more")
+    for i, file in enumerate(c for c in files.children(spark, f"{tmp_path}/more") if c.endswith(".parquet")):  # as appends leave them
+        files.rename(spark, f"{tmp_path}/more/{file}", f"{target.version_dir}/b{i}/{file}")
+    assert len(files.children(spark, target.version_dir)) == 200
     reader = read_table(spark, name)
     before = rows(spark, name)
     assert len(before) == 200
@@ -261,14 +264,6 @@ def test_two_hundred_batches_become_few_files(spark, name):
     assert compact(spark, name).first()["rows"] == 0
 
 
-def _one_file(spark, i):
-    from tablesync.session import scratch_dir
-
-    path = scratch_dir(spark, "batch")
-    frame(spark, (i, "v", "d")).coalesce(1).write.parquet(path)
-    return path
-
-
 @pytest.mark.parametrize("layout", ["columns", "buckets", "files"])
 def test_compaction_of_parts(spark, name, layout):
     for i in range(6):
