@@ -39,7 +39,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: No SQL: the stages learn models, hash, embed or tokenise. Tested against their brute-force versions.
+#: No SQL: the stages learn models, hash, embed or tokenise. Each is tested against a plain version of it.
 ORACLE_SQL = None
 
 
