@@ -77,9 +77,9 @@ def build_filter(hashes: DataFrame, count: int) -> Filter:
     probes = hashes.select(F.explode(F.array(
         F.struct(place(0).alias("w"), bit(58).alias("b")), F.struct(place(26).alias("w"), bit(50).alias("b"))
     )).alias("p")).select("p.*")
-    rows = probes.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    rows = probes.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # columns, not row objects
     words = np.zeros(size, np.int64)
-    words[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64)
+    words[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
     return Filter(words.view(np.uint64))
 
 
@@ -174,8 +174,8 @@ class _Columns:
         return out
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256, kept_text, repeats`` per row of ``docs`` (``doc_id``, ``text``).
+def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = True) -> DataFrame:
+    """``doc_id, n_words, n_removed, kept_sha256`` and, with ``texts``, ``kept_text`` and ``repeats`` per row of ``docs``.
 
     The first place of a window is that with the smallest id (a null id is the smallest), then the smallest start; a repeated
     row has its windows at the same places, so neither of the two loses them to the other. A null text has no words. Stretches
@@ -205,16 +205,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             out["n_words"].append(len(words))
             out["n_removed"].append(sum(hi - lo for lo, hi in merged))
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-            out["kept_text"].append(kept.decode("utf-8", "surrogatepass"))
-            out["repeats"].append([{"lo": lo, "hi": hi} for lo, hi in merged])
+            if texts:
+                out["kept_text"].append(kept.decode("utf-8", "surrogatepass"))
+                out["repeats"].append([{"lo": lo, "hi": hi} for lo, hi in merged])
         return {"doc_id": doc_id} | out
 
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, repeats array<struct<lo:bigint,hi:bigint>>"
-    return map_batches(rows, schema, each)
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+    return map_batches(rows, schema + (", kept_text string, repeats array<struct<lo:bigint,hi:bigint>>" if texts else ""), each)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(load(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return remove_repeats(load(spark, sf_dir, "documents"), texts=False)
 
 
 OP5_SQL = """
