@@ -39,7 +39,7 @@ def _header(kind: Column) -> Column:
     revisit = kind == "revisit"
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     return F.concat(
-        F.lit("WARC/1.1\r\n"), line("WARC-Type", kind), line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id"), F.lit(">"))),
+        F.lit("WARC/1.1\r\n"), line("WARC-Type", kind), line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))),
         line("WARC-Date", F.lit(_DATE)),
         # A line break in a URL would end the header: it is escaped.
         line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "%0A")),
@@ -57,11 +57,12 @@ def write_archive(pages: DataFrame, path: str, min_shared: int = MIN_SHARED) ->
     """Archive every row of ``pages`` (``page_id``, ``url``, ``html``; others are not read).
 
     Of equal payloads of at least ``min_shared`` bytes the one with the largest id is the response. A null page is an empty
-    payload, a null id is written as 0, a repeated row is a record of its own with the same type as the first.
+    payload, a null id stays null and is never the largest if there is another, a repeated row is a record of its own with the
+    same type as the first.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
-        F.coalesce(F.col("page_id").cast("bigint"), F.lit(0)).alias("page_id"), F.col("url").cast("string"), html.alias("payload")
+        F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string"), html.alias("payload")
     ).withColumns({
         "bytes": F.octet_length("payload").cast("bigint"), "sha256": F.sha2("payload", 256), "sha1": F.sha1("payload"),
     })
@@ -74,7 +75,7 @@ def write_archive(pages: DataFrame, path: str, min_shared: int = MIN_SHARED) ->
         F.when((F.col("low") == F.col("high")) & (F.col("least") == F.col("most")), F.col("first_id"))
         .otherwise(F.raise_error(F.lit("payloads of one digest differ")).cast("bigint")).alias("first_id"),
     )
-    kind = F.when((F.col("bytes") >= min_shared) & (F.col("page_id") != F.col("first_id")), "revisit").otherwise("response")
+    kind = F.when((F.col("bytes") >= min_shared) & ~F.col("page_id").eqNullSafe(F.col("first_id")), "revisit").otherwise("response")
     archive = Archive(path)
     slim.join(groups, "sha256").withColumn("kind", kind).select(
         "page_id", _header(F.col("kind")).alias("header"), "sha256"
@@ -101,7 +102,7 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     joined = spark.read.parquet(archive.headers).join(stored, "sha256")
     revisit = field("WARC-Type") == "revisit"
     return joined.select(
-        page("WARC-Record-ID").cast("bigint").alias("page_id"), "header",
+        F.nullif(page("WARC-Record-ID"), F.lit("")).cast("bigint").alias("page_id"), "header",
         F.concat("header", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")), F.lit(b"\r\n\r\n")).alias("record"),
         "payload", "payload_bytes", "payload_digest", field("WARC-Type").alias("record_type"),
         F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("declared_digest"),
@@ -124,11 +125,11 @@ def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = """
-WITH p AS (SELECT coalesce(page_id, 0) AS page_id, sha1(coalesce(html, '')) AS payload_digest,
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,
                   CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
      f AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
 FROM f
 """
