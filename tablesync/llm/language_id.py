@@ -35,6 +35,8 @@ REJECT_SIGMAS = 8.0
 CELL_ROWS = 30
 #: Lengths are told apart by their log2, up to this one.
 LENGTHS = 25
+#: Texts that the pipeline's stage scores at once.
+STAGE_ROWS = 250
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -344,8 +346,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     def known(text):
         import pandas as pd
 
-        values = [None if t is None else str(t) for t in text]
-        rejected = [r for i in range(0, len(values), 1000) for r in models().score(values[i : i + 1000])["rejected"]]
+        rejected: list[bool] = []
+        for i in range(0, len(text), STAGE_ROWS):  # texts of a slice are held as numbers together
+            rejected += models().score([None if t is None else str(t) for t in text.iloc[i : i + STAGE_ROWS]])["rejected"]
         return pd.Series([not r for r in rejected], dtype=bool)
 
     return docs.where(known(F.col("text").cast("string")))
