@@ -3,15 +3,18 @@
 Texts are tokenised in the tasks that read them; from then on only piece lengths move. Pieces are dealt by a hash
 into blocks of a bounded number, each packed on its own: the largest piece left opens a sequence, a branch and bound over
 the lengths left enumerates the fillings of its gap that no other dominates, a best-fit filling being the first
-incumbent, and stops as soon as the waste cannot shrink. A block wastes at most about one sequence more than one pack of
+incumbent, bounded by the sums that the lengths left can reach, until the waste cannot shrink. A block wastes at most about one sequence more than one pack of
 everything would.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from bisect import bisect_right
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,6 +22,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.llm.common import load, map_batches, staged, worker_state
 
@@ -26,14 +30,15 @@ TOKENS = 4096
 END_ID = 1
 #: Pieces per block: bounds what a task holds.
 BLOCK_PIECES = 8192
-#: Steps of one branch and bound before its incumbent is taken.
-NODES = 400
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 800_000
 
-# What the tokenizer file makes of a text before its merges: lower case, white space dropped, these pieces apart.
-_SPACE = regex.compile(r"\s+")
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# What the tokenizer file makes of a text before its merges: lower case, white space dropped, these pieces apart. The plain
+# form gives the same where there are no numbers but digits and none of the controls that only Python takes for space.
+_PIECES = regex.compile(r"\p{L}+|'(?:s|t|re|ve|m|ll|d)|\p{N}|[^\s\p{L}\p{N}]+")
+_PLAIN_PIECES = re.compile(r"[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)|\d|(?:[^\w\s]|_)+")
+_CONTROLS = re.compile(r"[\x1c-\x1f]")
+_NOT_PLAIN = regex.compile(r"[\p{Nl}\p{No}\x1c-\x1f]")
 
 
 class WordTokenizer:
@@ -46,21 +51,23 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        # Tokens that end a piece; a vocabulary without such a mark has none, and words are then encoded apart.
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        import unicodedata
-
         split, plain = [], []
         for text in texts:
             whole = any(x in text for x in self.special)
             plain.append(not whole)
-            split.append([] if whole else _PIECES.findall(self.lower(unicodedata.normalize("NFC", text))))
+            split.append([] if whole else pieces_of(self.lower(unicodedata.normalize("NFC", text))))
         if len(self.words) > KEPT_WORDS:
             self.words = {}
         known = self.words
-        missing = sorted({w for words in split for w in words if w not in known})
+        missing = sorted(set(chain.from_iterable(split)) - known.keys())
         for i in range(0, len(missing), 5000):
             part = missing[i : i + 5000]
             known.update(zip(part, self.word_ids(part)))
@@ -71,13 +78,14 @@ class WordTokenizer:
         ]
 
     def word_ids(self, words: list[str]) -> list[bytes]:
-        """The ids of each word: all words as one text, which is cut where the tokenizer cut it."""
-        whole = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, word = np.array(whole.ids, "<u4"), np.array(whole.word_ids, np.int64)
-        cuts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])).tolist()
-        if len(cuts) - 1 != len(words):  # a word that is not one piece alone
+        """The ids of each word: all words as one text, which is cut behind the tokens that end a piece."""
+        whole = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or (len(ends) and ends[-1] != len(ids)):  # a word that is not one piece alone
             return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
     @staticmethod
     def lower(text: str) -> str:
@@ -85,6 +93,11 @@ class WordTokenizer:
         return text.lower() if "Σ" not in text else "".join(map(str.lower, text))
 
 
+def pieces_of(text: str) -> list[str]:
+    plain = not (_CONTROLS.search(text) if text.isascii() else _NOT_PLAIN.search(text))
+    return (_PLAIN_PIECES if plain else _PIECES).findall(text)
+
+
 def tokenizer_at(path: str) -> WordTokenizer:
     state = worker_state()
     if ("tokenizer", path) not in state:
@@ -146,48 +159,39 @@ def best_fit(left: _Left, gap: int) -> list[int]:
     return filling
 
 
-def complete(left: _Left, gap: int, nodes: int = NODES) -> list[int]:
+def complete(left: _Left, gap: int) -> list[int]:
     """The lengths that fill a gap with the least waste, by branch and bound.
 
-    Fillings are enumerated in descending lengths. One is dominated, and not followed, if a length that is left would
-    still fit beside it; a branch ends if all it could add leaves as much waste as the incumbent's.
+    Fillings are enumerated in descending lengths, as many of each as can be first. The sums that the lengths below can
+    reach, as bit sets, bound each branch: the waste of the best filling is known from all of them, and a branch from which
+    it cannot be reached is not followed, so that the search ends without going back. A filling of the least waste is
+    dominated by none. The best-fit filling is the first incumbent.
     """
     best = best_fit(left, gap)
-    waste = gap - sum(best)
-    if not waste or not left.sizes:
+    if sum(best) == gap:
         return best
-    budget = nodes
-    sizes, count = left.sizes, left.count
-
-    def search(room: int, top: int, chosen: list[int]) -> None:
-        nonlocal best, waste, budget
-        if budget <= 0 or not waste:
-            return
-        budget -= 1
-        at = min(top, bisect_right(sizes, room) - 1)
-        if at < 0:
-            if room < waste:
-                best, waste = list(chosen), room
-            return
-        fitted = False
-        for i in range(at, -1, -1):
-            size = sizes[i]
-            if chosen.count(size) >= count[size]:
-                continue
-            fitted = True
-            most = room // size
-            if most == 1 and room - size >= waste and room - size < sizes[0]:
-                break  # smaller ones alone leave more still
-            chosen.append(size)
-            search(room - size, i, chosen)
-            chosen.pop()
-            if budget <= 0 or not waste:
-                return
-        if not fitted and room < waste:
-            best, waste = list(chosen), room
-
-    search(gap, len(sizes) - 1, [])
-    return best
+    room = (1 << (gap + 1)) - 1
+    sizes = left.sizes[: bisect_right(left.sizes, gap)]
+    reach = [1]  # bit s: some of the lengths so far add up to s
+    for size in sizes:
+        sums, copies, step = reach[-1], min(left.count[size], gap // size), 1
+        while copies:  # binary parts of the number of copies reach every number of them
+            step = min(step, copies)
+            sums |= (sums << (size * step)) & room
+            copies -= step
+            step *= 2
+        reach.append(sums)
+    goal = reach[-1].bit_length() - 1
+    if goal == sum(best):
+        return best
+    filling: list[int] = []
+    for below, size in zip(reach[-2::-1], sizes[::-1]):
+        copies = min(left.count[size], goal // size)
+        while not below >> (goal - copies * size) & 1:
+            copies -= 1
+        filling += [size] * copies
+        goal -= copies * size
+    return filling
 
 
 def pack(lengths: np.ndarray, capacity: int = TOKENS) -> tuple[np.ndarray, np.ndarray]:
@@ -226,7 +230,8 @@ def pack_pieces(parts: DataFrame, capacity: int = TOKENS, block_pieces: int = BL
         return rows.assign(sequence_id=rows["block"].to_numpy(np.int64) * (1 << 32) + sequence, offset=offset)
 
     block = F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(blocks))
-    schema = f"{parts.selectExpr('*', 'CAST(0 AS BIGINT) AS block')._jdf.schema().toDDL()}, sequence_id bigint, offset bigint"
+    more = [T.StructField(name, T.LongType()) for name in ("block", "sequence_id", "offset")]
+    schema = T.StructType([*parts.schema.fields, *more])
     return parts.withColumn("block", block).groupBy("block").applyInPandas(each, schema)
 
 
