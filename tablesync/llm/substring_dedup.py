@@ -86,7 +86,7 @@ def build_filter(hashes: DataFrame, count: int) -> Filter:
 def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, text_key, repeats`` of rows with words to remove: array of ``lo``, ``hi`` (words, end exclusive),
     stretches that may overlap. ``text_key`` is the hash of the text, which tells rows with the same id apart."""
-    source = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    source = docs.select("doc_id", F.hash("text").alias("text_key"), "text")
 
     def seeds(text):
         found = [anchors(word_hashes(t), window)[:2] for t in text]
@@ -104,22 +104,21 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
     def extend(doc_id, text_key, text):
-        out = _Columns("k1", "k2", "uid", "lo", "hi", "varied")
+        out = _Columns("k1", "k2", "lo", "hi", "varied")
         met, varied = filters()
         for i, t in enumerate(text):
             h, stretch, first, last = anchors(word_hashes(t), window)
             at = np.flatnonzero(met.has(h)) if len(h) else []
             if len(at):
-                uid = _place(h, stretch, doc_id[i], first)
-                out.add(doc_id[i], text_key[i], h[at], stretch[at], uid[at], first[at], last[at] + window, varied.has(h[at]))
+                out.add(doc_id[i], text_key[i], h[at], stretch[at], first[at], last[at] + window, varied.has(h[at]))
         return out.arrays()
 
-    schema = "k1 bigint, k2 bigint, uid bigint, lo bigint, hi bigint, varied boolean, doc_id bigint, text_key bigint"
+    schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, varied boolean, doc_id bigint, text_key int"
     stretches = staged(map_batches(source, schema, extend), "repeat-stretches")
     firsts = stretches.groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "lo", "uid")).alias("first"), F.count("*").alias("n"), F.bool_or("varied").alias("varied")
+        F.min(F.struct("doc_id", "lo")).alias("first"), F.count("*").alias("n"), F.bool_or("varied").alias("varied")
     )
-    chosen = staged(firsts.where("varied").select(F.col("first.uid").alias("h")), "repeat-firsts")
+    chosen = staged(firsts.where("varied").select(F.xxhash64("k1", "k2", "first.doc_id", "first.lo").alias("h")), "repeat-firsts")
     windowed = broadcast_object(docs.sparkSession, build_filter(chosen, chosen.count()))
 
     def single(doc_id, text_key, text):
@@ -134,7 +133,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 out.add(doc_id[i], text_key[i], run_hashes(hashes, window, 1)[at], run_hashes(hashes, window, 2)[at], at, at + window)
         return out.arrays()
 
-    schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, doc_id bigint, text_key bigint"
+    schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, doc_id bigint, text_key int"
     windows = staged(map_batches(source, schema, single), "repeat-windows")
     later = _later(stretches).union(_later(windows))
     return later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("repeats"))
@@ -147,12 +146,23 @@ def _later(units: DataFrame) -> DataFrame:
     return found.select("doc_id", "text_key", "lo", "hi")
 
 
+#: The primes of XXH64, which Spark's ``xxhash64`` chains over columns from seed 42 on.
+_PRIMES = tuple(map(np.uint64, (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)))
+
+
 def _place(h: np.ndarray, stretch: np.ndarray, doc_id: int | None, first: np.ndarray) -> np.ndarray:
-    """One hash of an anchor, its stretch and where it stands."""
-    out = h ^ (stretch * np.uint64(0xD6E8FEB86659FD93)) ^ np.uint64((doc_id or 0) & 0xFFFFFFFFFFFFFFFF)
-    for more in (first.view(np.uint64), np.uint64(0)):
-        out = (out ^ (out >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + more
-    return out ^ (out >> np.uint64(29))
+    """What ``xxhash64(k1, k2, doc_id, lo)`` is in Spark: an anchor, its stretch and where it stands. Nulls are passed over."""
+    p1, p2, p3, p4, p5 = _PRIMES
+    turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    out = np.full(len(h), 42, np.uint64)
+    for part in (h, stretch, *([] if doc_id is None else [np.full(len(h), doc_id, np.int64)]), first):
+        out = out + p5 + np.uint64(8)
+        out ^= turn(part.view(np.uint64) * p2, 31) * p1
+        out = turn(out, 27) * p1 + p4
+        out = (out ^ (out >> np.uint64(33))) * p2
+        out = (out ^ (out >> np.uint64(29))) * p3
+        out ^= out >> np.uint64(32)
+    return out
 
 
 class _Columns:
@@ -183,7 +193,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = True) ->
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     found = find_repeats(docs, window).withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "key")
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("key")), "left").select(
+    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.hash("text") == F.col("key")), "left").select(
         "doc_id", "text", "repeats"
     )
 
