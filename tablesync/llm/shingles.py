@@ -27,6 +27,15 @@ def run_hashes(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
+def hashes_at(hashes: np.ndarray, at: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """``run_hashes(hashes, size, seed)[at]``, without the others."""
+    out = np.full(len(at), size + (seed << 32), np.uint64)
+    for j in range(size):
+        out = (out ^ (out >> np.uint64(29))) * _MIX + hashes[at + j]
+    out = (out ^ (out >> np.uint64(32))) * _MIX
+    return out ^ (out >> np.uint64(29))
+
+
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word shingles; a shorter text is one shingle, a text without words none."""
     words = word_hashes(text, lower=True)

@@ -13,44 +13,79 @@ third of all documents costs as many rows as it has places.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import broadcast_object, load, map_batches, staged
-from tablesync.llm.shingles import run_hashes, word_hashes
+from tablesync.llm.shingles import hashes_at, run_hashes, word_hashes
 
 WINDOW = 20
 RUN = 6
 #: 64-bit words of a filter at most (128 MB); beyond, it lets more through that is then found not to repeat.
 FILTER_WORDS = 1 << 24
+#: Words of several texts that are looked at together; a longer text is looked at alone.
+LINE_WORDS = 1 << 17
+
+
+class Line:
+    """The word hashes of several texts in one array, so that numpy runs over all of them at once.
+
+    Beside each text stand as many zeros as an anchor's stretch can reach beyond it; texts shorter than a window are left out.
+    ``windows`` holds where each window starts, text by text, in order; per anchor there are its place, its hash, the hash of
+    the stretch around it, the text it stands in, its first and last window in that text (from 0) and its first in ``windows``.
+    """
+
+    def __init__(self, texts: list[np.ndarray], window: int = WINDOW, run: int = RUN):
+        span, side = window - run + 1, window - run
+        owner = np.array([i for i, t in enumerate(texts) if len(t) >= window], np.int64)
+        sizes = np.array([len(texts[i]) for i in owner], np.int64)
+        begin = np.cumsum(sizes + 2 * side) - sizes - side  # of the words of each text
+        gap = np.zeros(side, np.uint64)
+        self.hashes = np.concatenate([x for i in owner for x in (gap, texts[i], gap)] or [gap])
+        counts = sizes - window + 1
+        before = np.cumsum(counts) - counts
+        self.windows = np.repeat(begin - before, counts) + np.arange(counts.sum())
+        runs = least = run_hashes(self.hashes, run)
+        place, width = np.arange(len(runs)), 1
+        while width < span and len(owner):  # the least of two stretches that together make the wider one, the right one on ties
+            step = min(width, span - width)
+            right = least[step:] <= least[:-step]
+            least, place = np.where(right, least[step:], least[:-step]), np.where(right, place[step:], place[:-step])
+            width += step
+        place = place[self.windows]  # of windows within a text only
+        self.begins = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else place
+        self.counts = np.diff(np.concatenate([self.begins, [len(place)]]))
+        at = place[self.begins]
+        text = np.searchsorted(before, self.begins, "right") - 1
+        self.owner, self.h = owner[text], runs[at]
+        self.first = self.begins - before[text]
+        self.last = self.first + self.counts - 1
+        # The stretch: the anchor and as many words on both sides as a window with it can have; beyond the text, zeros.
+        stretch = np.full(len(at), 77, np.uint64)
+        for j in (*range(0, 2 * side, run), 2 * side):  # runs that together hold all its words
+            stretch = (stretch ^ (stretch >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + runs[at + (j - side)]
+        self.stretch = stretch ^ (stretch >> np.uint64(32))
+
+
+def lines(texts: list[str | None], window: int = WINDOW) -> Iterator[tuple[int, Line]]:
+    """The texts in order, as many at once as have about :data:`LINE_WORDS` words, each time with the number of the first."""
+    start, words, part = 0, 0, []
+    for i, t in enumerate(texts):
+        part.append(word_hashes(t))
+        words += len(part[-1])
+        if words >= LINE_WORDS or i == len(texts) - 1:
+            yield start, Line(part, window)
+            start, words, part = i + 1, 0, []
 
 
 def anchors(hashes: np.ndarray, window: int = WINDOW, run: int = RUN) -> tuple[np.ndarray, ...]:
     """Of a text's word hashes: anchor hashes, hashes of the stretch around each, first and last window of each."""
-    n, span = len(hashes) - window + 1, window - run + 1
-    empty = np.zeros(0, np.int64)
-    if n < 1:
-        return empty.view(np.uint64), empty.view(np.uint64), empty, empty
-    runs = run_hashes(hashes, run)
-    least, place, width = runs, np.arange(len(runs)), 1
-    while width < span:  # the least of two stretches that together make the wider one, the right one on ties
-        step = min(width, span - width)
-        right = least[step:] <= least[:-step]
-        least, place = np.where(right, least[step:], least[:-step]), np.where(right, place[step:], place[:-step])
-        width += step
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    last = np.concatenate([first[1:] - 1, [n - 1]])
-    at = place[first]
-    # The stretch: the anchor and as many words on both sides as a window with it can have; beyond the text, zeros.
-    side = window - run
-    padded = np.concatenate([np.zeros(side, np.uint64), hashes, np.zeros(side, np.uint64)])
-    stretch = np.full(len(at), 77, np.uint64)
-    around = run_hashes(padded, run)  # runs that together hold all its words
-    for j in (*range(0, 2 * side, run), 2 * side):
-        stretch = (stretch ^ (stretch >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) + around[at + j]
-    return runs[at], stretch ^ (stretch >> np.uint64(32)), first, last
+    line = Line([hashes], window, run)
+    return line.h, line.stretch, line.first, line.last
 
 
 class Filter:
@@ -89,9 +124,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     source = docs.select("doc_id", F.hash("text").alias("text_key"), "text")
 
     def seeds(text):
-        found = [anchors(word_hashes(t), window)[:2] for t in text]
-        join = lambda i: np.concatenate([f[i] for f in found]).view(np.int64)
-        return {"h": join(0), "stretch": join(1)}
+        return _joined([{"h": line.h, "stretch": line.stretch} for _, line in lines(text, window)], ("h", "stretch"))
 
     met = staged(
         map_batches(source.select("text"), "h bigint, stretch bigint", seeds).groupBy("h").agg(
@@ -104,14 +137,15 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
     def extend(doc_id, text_key, text):
-        out = _Columns("k1", "k2", "lo", "hi", "varied")
+        out = []
         met, varied = filters()
-        for i, t in enumerate(text):
-            h, stretch, first, last = anchors(word_hashes(t), window)
-            at = np.flatnonzero(met.has(h)) if len(h) else []
-            if len(at):
-                out.add(doc_id[i], text_key[i], h[at], stretch[at], first[at], last[at] + window, varied.has(h[at]))
-        return out.arrays()
+        for start, line in lines(text, window):
+            at = np.flatnonzero(met.has(line.h))
+            out.append({
+                "k1": line.h[at], "k2": line.stretch[at], "lo": line.first[at], "hi": line.last[at] + window,
+                "varied": varied.has(line.h[at]), "row": start + line.owner[at],
+            })
+        return _joined(out, ("k1", "k2", "lo", "hi", "varied", "row"), doc_id=doc_id, text_key=text_key)
 
     schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, varied boolean, doc_id bigint, text_key int"
     stretches = staged(map_batches(source, schema, extend), "repeat-stretches")
@@ -122,16 +156,22 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     windowed = broadcast_object(docs.sparkSession, build_filter(chosen, chosen.count()))
 
     def single(doc_id, text_key, text):
-        out = _Columns("k1", "k2", "lo", "hi")
+        out = []
         wanted = windowed()
-        for i, t in enumerate(text):
-            hashes = word_hashes(t)
-            h, stretch, first, last = anchors(hashes, window)
-            each = np.repeat(wanted.has(_place(h, stretch, doc_id[i], first)), last - first + 1) if len(h) else np.zeros(0, bool)
-            at = np.flatnonzero(each)  # windows of an anchor follow one another
-            if len(at):
-                out.add(doc_id[i], text_key[i], run_hashes(hashes, window, 1)[at], run_hashes(hashes, window, 2)[at], at, at + window)
-        return out.arrays()
+        ids = pa.array(doc_id, pa.int64())
+        null, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+        for start, line in lines(text, window):
+            row = start + line.owner
+            hit = wanted.has(_place(line.h, line.stretch, ids[row], null[row], line.first))
+            each = np.flatnonzero(np.repeat(hit, line.counts))  # windows of an anchor follow one another
+            at = line.windows[each]
+            anchor = np.searchsorted(line.begins, each, "right") - 1
+            lo = line.first[anchor] + each - line.begins[anchor]
+            out.append({
+                "k1": hashes_at(line.hashes, at, window, 1), "k2": hashes_at(line.hashes, at, window, 2),
+                "lo": lo, "hi": lo + window, "row": row[anchor],
+            })
+        return _joined(out, ("k1", "k2", "lo", "hi", "row"), doc_id=doc_id, text_key=text_key)
 
     schema = "k1 bigint, k2 bigint, lo bigint, hi bigint, doc_id bigint, text_key int"
     windows = staged(map_batches(source, schema, single), "repeat-windows")
@@ -150,38 +190,31 @@ def _later(units: DataFrame) -> DataFrame:
 _PRIMES = tuple(map(np.uint64, (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)))
 
 
-def _place(h: np.ndarray, stretch: np.ndarray, doc_id: int | None, first: np.ndarray) -> np.ndarray:
+def _place(h: np.ndarray, stretch: np.ndarray, doc_id: np.ndarray, null: np.ndarray, first: np.ndarray) -> np.ndarray:
     """What ``xxhash64(k1, k2, doc_id, lo)`` is in Spark: an anchor, its stretch and where it stands. Nulls are passed over."""
     p1, p2, p3, p4, p5 = _PRIMES
     turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
     out = np.full(len(h), 42, np.uint64)
-    for part in (h, stretch, *([] if doc_id is None else [np.full(len(h), doc_id, np.int64)]), first):
+    for part in (h, stretch, doc_id, first):
+        before = out
         out = out + p5 + np.uint64(8)
         out ^= turn(part.view(np.uint64) * p2, 31) * p1
         out = turn(out, 27) * p1 + p4
         out = (out ^ (out >> np.uint64(33))) * p2
         out = (out ^ (out >> np.uint64(29))) * p3
         out ^= out >> np.uint64(32)
+        if part is doc_id:
+            out = np.where(null, before, out)
     return out
 
 
-class _Columns:
-    def __init__(self, *names: str):
-        self.names = names
-        self.parts: dict[str, list] = {k: [] for k in (*names, "doc_id", "text_key")}
-
-    def add(self, doc_id, text_key, *columns: np.ndarray) -> None:
-        for k, v in zip(self.names, columns):
-            self.parts[k].append(v)
-        self.parts["doc_id"] += [doc_id] * len(columns[0])
-        self.parts["text_key"] += [text_key] * len(columns[0])
-
-    def arrays(self) -> dict[str, object]:
-        out = dict(self.parts)
-        for k in self.names:
-            joined = np.concatenate(self.parts[k]) if self.parts[k] else np.zeros(0, np.int64)
-            out[k] = joined.view(np.int64) if joined.dtype == np.uint64 else joined
-        return out
+def _joined(parts: list[dict[str, np.ndarray]], names: tuple[str, ...], **columns: list) -> dict[str, object]:
+    """The parts one after another; ``columns`` are taken at the number in ``row``."""
+    out = {k: np.concatenate([p[k] for p in parts] or [np.zeros(0, np.int64)]) for k in names}
+    out = {k: v.view(np.int64) if v.dtype == np.uint64 else v for k, v in out.items()}
+    for k, v in columns.items():
+        out[k] = pa.array(v, pa.int64()).take(pa.array(out["row"]))
+    return out
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = True) -> DataFrame:
@@ -192,10 +225,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = True) ->
     of ``repeats`` are maximal and apart. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    found = find_repeats(docs, window).withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "key")
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.hash("text") == F.col("key")), "left").select(
-        "doc_id", "text", "repeats"
-    )
+    found = staged(find_repeats(docs, window).withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "key"), "repeats")
+    # Only texts that may have something to remove are shuffled to meet it.
+    keys = found.select(F.xxhash64("id", "key").alias("h"))
+    touched = broadcast_object(docs.sparkSession, build_filter(keys, keys.count()))
+
+    @F.pandas_udf("boolean")
+    def may_repeat(h):
+        import pandas as pd
+
+        return pd.Series(touched().has(h.to_numpy().view(np.uint64)))
+
+    hit = may_repeat(F.xxhash64("doc_id", F.hash("text")))
+    rest = docs.where(~hit).select("doc_id", "text", F.lit(None).cast(found.schema["repeats"].dataType).alias("repeats"))
+    rows = rest.union(docs.where(hit).join(
+        found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.hash("text") == F.col("key")), "left"
+    ).select("doc_id", "text", "repeats"))
 
     def each(doc_id, text, repeats):
         out = {k: [] for k in ("n_words", "n_removed", "kept_sha256", "kept_text", "repeats")}

@@ -12,12 +12,14 @@ import oracle
 import public_tokenizers
 import pytest
 from conftest_data import documents
+from plans import plan
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tablesync.llm import decontaminate, language_id, near_dedup, packing, substring_dedup, warc_archive
 from tablesync.llm.components import connected_components
 from tablesync.llm.queries import ORACLES, QUERIES
+from tablesync.llm.shingles import hashes_at, run_hashes, word_hashes
 from tablesync.session import scratch_dir
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -86,6 +88,38 @@ def test_repeats_equal_plain_python(spark):
         assert r["kept_text"].encode() == want[r["doc_id"]], r["doc_id"]
 
 
+@pytest.mark.parametrize("words", [1, 90, 1 << 17])
+def test_anchors_of_many_texts_are_those_of_each(monkeypatch, words):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 1, 19, 20, 21, 70]))) for _ in range(60)] + [None]
+    monkeypatch.setattr(substring_dedup, "LINE_WORDS", words)
+    hashed = []
+    monkeypatch.setattr(substring_dedup, "run_hashes", lambda *a: hashed.append(1) or run_hashes(*a))
+    got = {i: [] for i in range(len(texts))}
+    windows = []
+    for start, line in substring_dedup.lines(texts):
+        for k, i in enumerate(line.owner):
+            got[start + i].append((int(line.h[k]), int(line.first[k]), int(line.last[k])))
+        windows.append(hashes_at(line.hashes, line.windows, 20, 1))
+    assert len(hashed) <= 1 + sum(map(len, (t or "" for t in texts))) // words
+    for i, t in enumerate(texts):
+        runs = run_hashes(word_hashes(t), 6).tolist()
+        least = [min(range(w, w + 15), key=lambda k: (runs[k], -k)) for w in range(len(runs) - 14)]
+        want = {k: (runs[k], least.index(k), len(least) - 1 - least[::-1].index(k)) for k in least}
+        assert got[i] == list(want.values())
+    assert np.concatenate(windows).tolist() == [x for t in texts for x in run_hashes(word_hashes(t), 20, 1).tolist()]
+
+
+def test_only_texts_that_may_repeat_are_shuffled(spark):
+    passage = " ".join(f"p{k}" for k in range(25))
+    texts = [" ".join(f"u{i}x{k}" for k in range(30)) + (f" {passage}" if i in (3, 8) else "") for i in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[3])], "doc_id bigint, text string")
+    out = substring_dedup.remove_repeats(docs)
+    rest, met = plan(out).split("Union")[1].split("Join", 1)
+    assert "may_repeat" in rest and "Exchange" not in rest and "may_repeat" in met
+    assert {(r["doc_id"], r["n_removed"]) for r in out.collect()} == {(i, 55 if i == 3 else 25 if i == 8 else 0) for i in range(40)} | {(None, 0)}
+
+
 def test_repeats_of_odd_and_no_rows(odd_docs, no_docs):
     out = substring_dedup.remove_repeats(odd_docs).select("doc_id", "n_words", "n_removed").collect()
     assert len(out) == odd_docs.count()
