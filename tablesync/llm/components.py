@@ -15,7 +15,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round is written out, so that a lost executor costs one round at most.
     """
     current = staged(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components"
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components", few=True
     )
     while not _stars(current):
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v"))
         ).distinct()
-        current = staged(small, "components")
+        current = staged(small, "components", few=True)
     return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 

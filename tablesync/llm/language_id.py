@@ -177,7 +177,7 @@ def count_levels(counts: DataFrame) -> DataFrame:
 
 def estimate(counts: DataFrame, least_share: float = LEAST_SHARE) -> dict[str, Model]:
     """The model of each language of ``counts`` (``lang, gram, n``): counts, totals and discounts over all n-grams, in Spark."""
-    levels = staged(count_levels(counts), "language-levels")
+    levels = staged(count_levels(counts), "language-levels", few=True)
     ladder = levels.groupBy("lang", "o").agg(
         F.sum("n").alias("all"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")
     ).collect()  # one row a language and order
@@ -258,7 +258,7 @@ def fit_models(docs: DataFrame, least_share: float = LEAST_SHARE, slice_rows: in
     teach = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     # Counted by halves: a text is measured by models that have not learned from it or its copies.
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("string")
-    counts = staged(count_windows(teach.select(F.concat(half, "lang").alias("lang"), "text")), "language-halves")
+    counts = staged(count_windows(teach.select(F.concat(half, "lang").alias("lang"), "text")), "language-halves", few=True)
     # The whole is their sum; all three are estimated together.
     whole = counts.groupBy(F.expr("'2' || substr(lang, 2)").alias("lang"), "gram").agg(F.sum("n").alias("n"))
     halves = estimate(counts.unionByName(whole), least_share)

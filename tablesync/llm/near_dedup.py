@@ -100,7 +100,7 @@ def _sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
         return {"doc_id": doc_id, "set": keys, "n": [len(x) for x in sets], "shingles": [x.view(np.int64) for x in sets]}
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    return staged(map_batches(texts, "doc_id bigint, set bigint, n bigint, shingles array<bigint>", each), "near-sets")
+    return staged(map_batches(texts, "doc_id bigint, set bigint, n bigint, shingles array<bigint>", each), "near-sets", few=True)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             F.struct(
                 F.first("n_shingles").alias("size"), F.first("signature").alias("bits"), F.first("parity").alias("parity")
             ).alias("signature"),
-        ), "near-classes",
+        ), "near-classes", few=True,
     )
     copies = rows.select("doc_id", "set_key").join(classes.select("set_key", "rep"), "set_key").where("doc_id <> rep").select(
         F.col("doc_id").alias("u"), F.col("rep").alias("v")
@@ -146,7 +146,7 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     banded = classes.select(F.col("rep").alias("doc_id"), F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
     signatures = classes.select(F.col("rep").alias("doc_id"), "signature")
-    members = staged(banded.join(shared.select("bucket", "first"), "bucket").join(signatures, "doc_id"), "near-members")
+    members = staged(banded.join(shared.select("bucket", "first"), "bucket").join(signatures, "doc_id"), "near-members", few=True)
     edges = copies
     far = _farthest(percent)
 
@@ -157,7 +157,7 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         close = alike.where((100 + percent) * _distance("su", "sv", "parity", PARITY_BITS) <= (100 - percent) * (a + b)).where(
             _distance("su", "sv", "bits", BANDS * ROWS * SIGNATURE_BITS) <= far
         )
-        return staged(close.select("u", "v", *more).distinct(), "near-pairs")
+        return staged(close.select("u", "v", *more).distinct(), "near-pairs", few=True)
 
     su, sv = F.col("signature").alias("su"), F.col("signature").alias("sv")
     firsts = members.where("doc_id = first").select("bucket", F.col("doc_id").alias("u"), su).dropDuplicates(["bucket"])
@@ -169,17 +169,17 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             "component", F.coalesce("component", "doc_id")
         )
         spread = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        return staged(placed.join(spread.select("bucket"), "bucket"), "near-open")
+        return staged(placed.join(spread.select("bucket"), "bucket"), "near-open", few=True)
 
     sets = _sets(unsettled(members).select("doc_id").distinct(), docs)
-    members = staged(rare_buckets(sets, percent).join(signatures, "doc_id"), "near-members")
+    members = staged(rare_buckets(sets, percent).join(signatures, "doc_id"), "near-members", few=True)
     done, slots = members.select("bucket", "doc_id").limit(0), PIVOTS
     while True:
         still = unsettled(members)
         waiting = still.join(done, ["bucket", "doc_id"], "left_anti")
         pivot = staged(waiting.groupBy("bucket", F.pmod(F.xxhash64("doc_id", "bucket"), F.lit(slots))).agg(
             F.min_by(F.struct("doc_id", "component", "signature"), "doc_id").alias("p")
-        ).select("bucket", "p.*"), "near-pivots")
+        ).select("bucket", "p.*"), "near-pivots", few=True)
         if pivot.isEmpty():
             return label
         chosen = pivot.select("bucket", F.col("doc_id").alias("u"), F.col("component").alias("cu"), su)
@@ -190,8 +190,8 @@ def link(sketched: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             joined = checked(pairs, sets, percent).select(F.col("cu").alias("u"), F.col("cv").alias("v"))
             moved = connected_components(joined)
             to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
-            label = staged(label.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component")).union(moved), "near-labels")
-        done, slots = staged(done.union(pivot.select("bucket", "doc_id")), "near-done"), slots * GROWTH
+            label = staged(label.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component")).union(moved), "near-labels", few=True)
+        done, slots = staged(done.union(pivot.select("bucket", "doc_id")), "near-done", few=True), slots * GROWTH
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

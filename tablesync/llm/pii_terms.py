@@ -111,7 +111,7 @@ def _measured(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     holding = staged(found.where("size(__spans) > 0").select(
         _text_key().alias("key"), _rest().alias("rest"),
         F.array_distinct(F.transform("__spans", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["found"]).alias("found")))).alias("values"),
-    ).dropDuplicates(["key"]), "pii-holding")
+    ).dropDuplicates(["key"]), "pii-holding", few=True)
     if holding.isEmpty():
         return None
     total = float(found.select(_text_key()).distinct().count())
@@ -120,24 +120,24 @@ def _measured(found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     # values does not pair each of them with each of its terms. A value in one text is met once by all terms there.
     values = held.groupBy("value").agg(F.count("*").alias("n_value"), F.sum(F.xxhash64("key", F.lit(1)).cast("decimal(20,0)")).alias("where"))
     values = values.where("n_value > 1").groupBy("value.kind", "n_value", "where").agg(F.min("value").alias("value")).select("value", "n_value")
-    terms = staged(holding.select("key", F.explode(F.array_distinct(_terms(F.col("rest")))).alias("term")), "pii-terms")
+    terms = staged(holding.select("key", F.explode(F.array_distinct(_terms(F.col("rest")))).alias("term")), "pii-terms", few=True)
     joint = terms.join(held.join(values, "value"), "key").groupBy("value", "term").agg(
         F.count("*").alias("joint"), F.first("n_value").alias("n_value")
     ).where("joint > 1")
     enough = lambda n: f"{_lower_bound('joint', n)} >= greatest({GENERALISE}D, {2.0**LEAST_BITS}D * n_value / {total!r}D)"
     # A term stands in as many texts as hold values, at least.
     likely = joint.join(terms.groupBy("term").agg(F.count("*").alias("n_held")), "term").where(enough("n_held"))
-    likely = staged(likely.select("term", "joint", "n_value"), "pii-likely")
-    wanted = staged(likely.select("term").distinct(), "pii-candidates")
+    likely = staged(likely.select("term", "joint", "n_value"), "pii-likely", few=True)
+    wanted = staged(likely.select("term").distinct(), "pii-candidates", few=True)
     size = wanted.agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("bytes")).first()
     if not size["n"]:
         return None
     few = size["n"] <= BROADCAST_TERMS and size["bytes"] <= BROADCAST_BYTES
     stands = found.select(_text_key().alias("key"), F.explode(F.array_distinct(_terms(_rest()))).alias("term"))
-    places = staged(stands.join(F.broadcast(wanted) if few else wanted, "term").distinct(), "pii-places")
+    places = staged(stands.join(F.broadcast(wanted) if few else wanted, "term").distinct(), "pii-places", few=True)
     measured = likely.join(places.groupBy("term").agg(F.count("*").alias("n_term")), "term").where(enough("n_term"))
     most = measured.groupBy("term").agg(F.max(F.expr(_lower_bound("joint", "n_term"))).alias("share"))
-    disclosing = staged(most.select("term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("action")), "pii-disclosing")
+    disclosing = staged(most.select("term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("action")), "pii-disclosing", few=True)
     return disclosing, places
 
 

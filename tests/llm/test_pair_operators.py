@@ -16,6 +16,7 @@ from plans import plan
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tablesync import session
 from tablesync.llm import decontaminate, language_id, near_dedup, packing, substring_dedup, warc_archive
 from tablesync.llm.components import connected_components
 from tablesync.llm.queries import ORACLES, QUERIES
@@ -339,6 +340,27 @@ def test_leaks_of_odd_and_no_rows(spark, odd_docs, no_docs):
 # --- near-duplicates
 
 
+def test_small_tables_are_written_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Also where adaptive execution does not merge partitions: each file costs a local file system some processes."""
+    texts = [" ".join(f"w{i // 3}x{k}" for k in range(30)) + f" end{i}" for i in range(120)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").repartition(2)
+    most = 2 * spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": "41", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = near_dedup.near_duplicates(docs, 80).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(i, i - i % 3) for i in range(120)}
+    files = {p.name: len(list(p.glob("part-*"))) for p in (tmp_path / "tablesync").iterdir()}
+    assert {"near-classes", "near-pairs", "components"} <= {name.rpartition("-")[0] for name in files}
+    assert max(files.values()) <= most < 41
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(i, i + 1) for i in range(100, 130)] + [(200, i) for i in range(201, 260)]
